@@ -63,3 +63,15 @@ def safe_ratio(num, den, zero=None) -> Column:
 def pct_change(new, old, digits: int = 1) -> Column:
     """Percent change rounded; zero base -> NULL."""
     return F.round(F.try_divide((col_(new) - col_(old)) * 100, col_(old)), digits)
+
+
+def round_half_up(c, digits: int) -> Column:
+    """``floor(x * 10^d + 0.5) / 10^d`` on doubles.
+
+    Plain IEEE operations, so any engine given the same double returns the
+    same bits (``round`` implementations differ near ties between engines).
+    """
+    x = col_(c)
+    k = float(10 ** digits)
+    return F.when(F.isnan(x) | (F.abs(x) == float("inf")), x).otherwise(
+        F.floor(x * k + 0.5).cast("double") / k)
