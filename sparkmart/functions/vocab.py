@@ -50,6 +50,15 @@ CITY_CANONICAL = "Pointe-Noire"
 SERVICES = ["Imprimerie", "Sérigraphie", "Maintenance", "Vidéosurveillance"]
 PAYMENT_STATUSES = ["Non payé", "Payé", "Partiel"]
 
+# Characters stripped from both ends of text: every character for which
+# Python's str.isspace() is true (the source system strips with str.strip()).
+WHITESPACE_CODEPOINTS = [
+    0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680,
+    0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009, 0x200A,
+    0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+]
+WHITESPACE = "".join(chr(c) for c in WHITESPACE_CODEPOINTS)
+
 # Text that means "missing" after a string cast.
 NULL_TOKENS = ["", "nan", "None"]
 

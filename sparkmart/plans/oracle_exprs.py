@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from ..functions.money import NUMERIC_TEXT
 from ..functions.vocab import (CITY_CANONICAL, CITY_VARIANTS, MONTHS_FR, NULL_TOKENS,
-                               SERVICE_ALIASES, SLUG_FROM, SLUG_TO, STATUS_ALIASES)
+                               SERVICE_ALIASES, SLUG_FROM, SLUG_TO, STATUS_ALIASES,
+                               WHITESPACE_CODEPOINTS)
 from .oracle_feeds import q
 
 FREE_TEXT = r"(?i)([A-Za-zÀ-ÿ]+)\s+(\d{4})"
 
 
+_WS = " || ".join(f"chr({c})" for c in WHITESPACE_CODEPOINTS)
+
+
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    return f"trim({x}, {_WS})"
 
 
 def clean_text(x: str) -> str:
