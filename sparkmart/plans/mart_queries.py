@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -18,12 +19,30 @@ from .registry import query
 
 
 class Mart:
-    """Lazy handles on every mart table built from the three feeds."""
+    """Lazy handles on every mart table built from the three feeds.
+
+    The three cleaned feeds are the common input of every dimension, fact
+    and check; they are persisted (memory, spilling to disk) so one plan that
+    reads them ten times computes them once.  Lost cached blocks are rebuilt
+    from lineage, so an executor loss costs a recomputation, not the job.
+    :meth:`of` keeps one mart per (session, input folder), like a mart that
+    is built once and then read by every report.
+    """
+
+    _built: dict = {}
+
+    @classmethod
+    def of(cls, spark, sf):
+        key = (id(spark), sf)
+        if key not in cls._built:
+            cls._built[key] = cls(spark, sf)
+        return cls._built[key]
 
     def __init__(self, spark, sf):
-        self.sales = C.clean_sales(feeds.sales_feed(spark, sf))
-        self.purchases = C.clean_purchases(feeds.purchases_feed(spark, sf))
-        self.clients_clean = C.clean_clients(feeds.clients_feed(spark, sf))
+        keep = StorageLevel.MEMORY_AND_DISK
+        self.sales = C.clean_sales(feeds.sales_feed(spark, sf)).persist(keep)
+        self.purchases = C.clean_purchases(feeds.purchases_feed(spark, sf)).persist(keep)
+        self.clients_clean = C.clean_clients(feeds.clients_feed(spark, sf)).persist(keep)
         self.clients = MT.merge_client_sources(self.clients_clean, self.sales)
         self.employees = MT.employees(self.sales)
         self.services = MT.services(self.sales)
@@ -115,27 +134,27 @@ def dim_clients_from_sales(spark, sf):
 
 @query("merge_client_sources", _sql("SELECT * FROM clients_merged"))
 def merge_client_sources(spark, sf):
-    return Mart(spark, sf).clients
+    return Mart.of(spark, sf).clients
 
 
 @query("dim_employees", _sql("SELECT * FROM employees"))
 def dim_employees(spark, sf):
-    return Mart(spark, sf).employees
+    return Mart.of(spark, sf).employees
 
 
 @query("dim_suppliers", _sql("SELECT * FROM suppliers"))
 def dim_suppliers(spark, sf):
-    return Mart(spark, sf).suppliers
+    return Mart.of(spark, sf).suppliers
 
 
 @query("dim_categories", _sql("SELECT * FROM categories"))
 def dim_categories(spark, sf):
-    return Mart(spark, sf).categories
+    return Mart.of(spark, sf).categories
 
 
 @query("seed_dimension", _sql("SELECT * FROM services"))
 def seed_dimension(spark, sf):
-    return Mart(spark, sf).services
+    return Mart.of(spark, sf).services
 
 
 @query("dim_keys", _sql("""
@@ -145,7 +164,7 @@ UNION ALL SELECT 'service', id_service, libelle FROM services
 UNION ALL SELECT 'fournisseur', id_fournisseur, nom FROM suppliers
 UNION ALL SELECT 'categorie_achat', id_categorie, libelle FROM categories"""))
 def dim_keys(spark, sf):
-    m = Mart(spark, sf)
+    m = Mart.of(spark, sf)
 
     def k(df, dim, idc, name):
         return df.select(F.lit(dim).alias("dimension"), F.col(idc).alias("id"), F.col(name).alias("name"))
@@ -161,17 +180,17 @@ def dim_keys(spark, sf):
 
 @query("fact_invoice", _sql("SELECT * FROM invoices"))
 def fact_invoice(spark, sf):
-    return Mart(spark, sf).invoices
+    return Mart.of(spark, sf).invoices
 
 
 @query("fact_line", _sql("SELECT * FROM lines"))
 def fact_line(spark, sf):
-    return Mart(spark, sf).lines
+    return Mart.of(spark, sf).lines
 
 
 @query("fact_purchase", _sql("SELECT * FROM purchase_facts"))
 def fact_purchase(spark, sf):
-    return Mart(spark, sf).purchase_facts
+    return Mart.of(spark, sf).purchase_facts
 
 
 @query("merge_duplicate_clients", _sql(f"""
@@ -204,7 +223,7 @@ UNION ALL SELECT 'facture.id_facture', (SELECT COUNT(*) FROM (SELECT id_facture
 UNION ALL SELECT 'series.ds', (SELECT COUNT(*) FROM (SELECT ds FROM mart_daily GROUP BY 1 HAVING COUNT(*) > 1) t)
 UNION ALL SELECT 'series_service.ds_service', (SELECT COUNT(*) FROM (SELECT ds, service FROM mart_by_service GROUP BY 1, 2 HAVING COUNT(*) > 1) t)"""))
 def dq_duplicates(spark, sf):
-    m = Mart(spark, sf)
+    m = Mart.of(spark, sf)
     checks = [
         ("client.nom_client", m.clients, [T.lower_key("nom_client")]),
         ("employe.nom_employe", m.employees, [T.lower_key("nom_employe")]),
@@ -245,7 +264,7 @@ def _mart_tables(m: Mart):
     f"SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_null FROM {_TABLE_SQL[t]}"
     for t, cols in NOT_NULL.items() for c in cols)))
 def dq_not_null(spark, sf):
-    tabs = _mart_tables(Mart(spark, sf))
+    tabs = _mart_tables(Mart.of(spark, sf))
     out = None
     for t, cols in NOT_NULL.items():
         r = Q.null_counts(tabs[t], t, cols)
@@ -265,7 +284,7 @@ def _bounds_by_table():
     f"SUM(CASE WHEN length({c}) > {n} THEN 1 ELSE 0 END)::BIGINT AS n_too_long FROM {_TABLE_SQL[t]}"
     for t, c, n in LENGTH_BOUNDS)))
 def dq_lengths(spark, sf):
-    m = Mart(spark, sf)
+    m = Mart.of(spark, sf)
     tabs = _mart_tables(m)
     tabs["achat"] = m.purchase_facts
     out = None
@@ -285,7 +304,7 @@ SELECT 'facture.statut_paiement' AS check_name,
 UNION ALL
 SELECT 'service.libelle', COUNT(*)::BIGINT FROM services WHERE libelle NOT IN ({_SEEDED})"""))
 def dq_domain(spark, sf):
-    m = Mart(spark, sf)
+    m = Mart.of(spark, sf)
     a = Q.count_where(m.invoices, ~F.col("statut_paiement").isin(PAYMENT_STATUSES), "facture.statut_paiement")
     seed = spark.createDataFrame([(s,) for s in SERVICES], ["libelle"])
     extra = m.services.select("libelle").join(seed, "libelle", "left_anti")
@@ -302,7 +321,7 @@ UNION ALL SELECT 'ligne_facture.id_service', COUNT(*) FILTER (WHERE id_service I
 UNION ALL SELECT 'achat.id_fournisseur', COUNT(*) FILTER (WHERE id_fournisseur IS NULL) FROM purchase_facts
 UNION ALL SELECT 'achat.id_categorie', COUNT(*) FILTER (WHERE id_categorie IS NULL) FROM purchase_facts"""))
 def dq_orphans(spark, sf):
-    m = Mart(spark, sf)
+    m = Mart.of(spark, sf)
     named_emp = m.sales.select(F.col("facture_id").alias("id_facture"), "nom_employe")
     inv_emp = m.invoices.join(named_emp, "id_facture")
     parts = [
@@ -328,7 +347,7 @@ SELECT a.t AS mart_total, b.t AS series_total, c.t AS service_total,
   (SELECT CAST(SUM(y) AS DECIMAL(38,2)) AS t FROM mart_daily) b,
   (SELECT CAST(SUM(y) AS DECIMAL(38,2)) AS t FROM mart_by_service) c"""))
 def dq_revenue_conserved(spark, sf):
-    m = Mart(spark, sf)
+    m = Mart.of(spark, sf)
     mart = (m.lines.join(m.invoices.select("id_facture"), "id_facture")
             .select(F.lit("mart").alias("k"), F.col("total_ligne").cast("decimal(18,2)").alias("v")))
     ser = m.daily().select(F.lit("series").alias("k"), F.col("y").alias("v"))
@@ -345,7 +364,7 @@ SELECT a.n AS mart_orders, b.n AS series_orders, (a.n = b.n) AS conserved FROM
   (SELECT COUNT(DISTINCT i.id_facture) AS n FROM invoices i JOIN lines l ON i.id_facture = l.id_facture) a,
   (SELECT SUM(n_orders)::BIGINT AS n FROM mart_daily) b"""))
 def dq_orders_conserved(spark, sf):
-    m = Mart(spark, sf)
+    m = Mart.of(spark, sf)
     with_lines = m.invoices.select("id_facture").join(m.lines.select("id_facture"), "id_facture", "left_semi")
     a = with_lines.select(F.lit(1).alias("kind"), F.lit(1).cast("bigint").alias("v"))
     b = m.daily().select(F.lit(2).alias("kind"), F.col("n_orders").cast("bigint").alias("v"))
@@ -359,7 +378,7 @@ def dq_orders_conserved(spark, sf):
 SELECT 'ligne_facture.total_ligne' AS check_name,
   COUNT(*) FILTER (WHERE total_ligne = 0 AND quantite > 0 AND prix_unitaire > 0) AS n FROM lines"""))
 def dq_zero_totals(spark, sf):
-    m = Mart(spark, sf)
+    m = Mart.of(spark, sf)
     cond = (F.col("total_ligne") == 0) & (F.col("quantite") > 0) & (F.col("prix_unitaire") > 0)
     return Q.count_where(m.lines, cond, "ligne_facture.total_ligne")
 
@@ -369,7 +388,7 @@ SELECT a.n AS n_fact_null, b.n AS n_source_null, (a.n <= b.n) AS ok FROM
   (SELECT COUNT(*) FILTER (WHERE id_employe IS NULL) AS n FROM invoices) a,
   (SELECT COUNT(*) FILTER (WHERE nom_employe IS NULL) AS n FROM sales_clean) b"""))
 def dq_null_employee(spark, sf):
-    m = Mart(spark, sf)
+    m = Mart.of(spark, sf)
     # one pass: the invoice facts carry the source name beside the resolved key
     src = m.sales.select(F.col("facture_id").alias("id_facture"), "nom_employe")
     j = m.invoices.join(src, "id_facture")
