@@ -141,3 +141,17 @@ def clean_clients(raw: DataFrame) -> DataFrame:
     c = raw.select("seq", *[clean_text(x).alias(x) for x in CLIENT_TEXT])
     c = c.withColumn("ville", normalise_city("ville"))
     return dedup_case_insensitive(c, "nom_client", order=["seq"]).select("seq", *CLIENT_TEXT)
+
+
+# ----------------------------------------------------------------------- all
+
+def clean_all(raw: dict[str, DataFrame], compat_nan: bool = False) -> dict[str, DataFrame]:
+    """The three cleaning jobs over a dict of raw sources, one lazy plan each."""
+    out: dict[str, DataFrame] = {}
+    if "sales" in raw:
+        out["sales"] = clean_sales(raw["sales"])
+    if "purchases" in raw:
+        out["purchases"] = clean_purchases(raw["purchases"], compat_nan)
+    if "clients" in raw:
+        out["clients"] = clean_clients(raw["clients"])
+    return out
