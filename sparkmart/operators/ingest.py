@@ -109,11 +109,11 @@ def order_facts(orders: DataFrame, services: DataFrame) -> DataFrame:
     """Invoice + line of every accepted order (one row: both parts together).
 
     Client and employee keys are the derived keys of the upserted rows; the
-    service is resolved against its dimension (4 rows, broadcast), a miss
-    leaves a NULL key for the quality checks.
+    service is resolved against its dimension (AQE broadcasts it from its
+    measured size); a miss leaves a NULL key for the quality checks.
     """
     a = accepted(orders)
-    svc = F.broadcast(services.select(F.col("libelle").alias("service"), "id_service"))
+    svc = services.select(F.col("libelle").alias("service"), "id_service")
     j = a.join(svc, "service", "left")
     return j.select(
         F.col("facture_id").alias("id_facture"), F.col("date_cmd").alias("date_facture"),

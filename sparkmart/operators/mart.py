@@ -88,8 +88,8 @@ def fact_invoice(sales: DataFrame, clients: DataFrame, emps: DataFrame) -> DataF
 def fact_line(sales: DataFrame, svc: DataFrame) -> DataFrame:
     f = sales.select(F.col("facture_id").alias("id_facture"), "description", "quantite",
                      "prix_unitaire", "total_ligne", "service")
-    # the service dimension is a handful of labels: broadcast is size-safe
-    d = F.broadcast(svc.select(F.col("libelle").alias("service"), "id_service"))
+    # a plain join: AQE broadcasts the service dimension from its measured size
+    d = svc.select(F.col("libelle").alias("service"), "id_service")
     f = f.join(d, "service", "left")
     return f.select("id_facture", "description", "quantite", "prix_unitaire", "total_ligne", "id_service")
 

@@ -57,7 +57,7 @@ class Mart:
                               line_key="id_facture", amount="total_ligne")
 
     def by_service(self):
-        lines = self.lines.join(F.broadcast(self.services), "id_service").select(
+        lines = self.lines.join(self.services, "id_service").select(
             "id_facture", "total_ligne", F.col("libelle").alias("service"))
         return S.daily_series(self.invoices, lines, inv_key="id_facture", inv_date="date_facture",
                               line_key="id_facture", amount="total_ligne", by="service")
