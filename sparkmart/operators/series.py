@@ -42,6 +42,23 @@ def daily_series(invoices: DataFrame, lines: DataFrame, *, inv_key: str, inv_dat
     return out
 
 
+def series_one_pass(invoices: DataFrame, lines: DataFrame, *, inv_key: str, inv_date: str,
+                    line_key: str, amount: str, label: str) -> DataFrame:
+    """Overall and per-label daily series from one pass over the lines.
+
+    Each line is counted under ``'global'`` and under its label (an explode of
+    two entries), reduced per (invoice, series) map-side, joined once to the
+    invoice dates, then summed per (series, day).  One row per invoice and
+    series means ``count`` is the number of distinct invoices of the day.
+    """
+    two = F.explode(F.array(F.lit(GLOBAL), F.col(label))).alias("series")
+    per = (lines.select(line_key, two, F.col(amount).cast("decimal(18,2)").alias("_a"))
+           .groupBy(line_key, "series").agg(F.sum("_a").alias("_y")))
+    inv = invoices.select(F.col(inv_key).alias(line_key), F.to_date(inv_date).alias("ds"))
+    return (per.join(inv, line_key).groupBy("series", "ds")
+            .agg(F.sum("_y").cast(MONEY).alias("y"), F.count(F.lit(1)).alias("n_orders")))
+
+
 def series_long(global_daily: DataFrame, by_service: DataFrame, label: str = "service") -> DataFrame:
     g = global_daily.select(F.lit(GLOBAL).alias("series"), "ds", "y", "n_orders")
     s = by_service.select(F.col(label).alias("series"), "ds", "y", "n_orders")

@@ -66,7 +66,7 @@ def _sql(body: str) -> str:
 
 
 def _series(spark, sf):
-    return I.series(spark, sf)
+    return I.series_table(spark, sf)
 
 
 def _fc(spark, sf):

@@ -21,7 +21,7 @@ from .registry import query
 
 
 def _series(spark, sf):
-    return I.series(spark, sf)
+    return I.series_table(spark, sf)
 
 
 @query("forecast")
