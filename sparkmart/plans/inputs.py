@@ -53,7 +53,7 @@ def series_table(spark: SparkSession, sf: str) -> DataFrame:
     plan its repeated scans of the fact tables.  Lost blocks are rebuilt from
     lineage.
     """
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _SERIES:
         _SERIES[key] = series(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
     return _SERIES[key]

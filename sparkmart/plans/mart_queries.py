@@ -33,7 +33,7 @@ class Mart:
 
     @classmethod
     def of(cls, spark, sf):
-        key = (id(spark), sf)
+        key = (spark.sparkContext.applicationId, sf)
         if key not in cls._built:
             cls._built[key] = cls(spark, sf)
         return cls._built[key]
@@ -43,11 +43,15 @@ class Mart:
         self.sales = C.clean_sales(feeds.sales_feed(spark, sf)).persist(keep)
         self.purchases = C.clean_purchases(feeds.purchases_feed(spark, sf)).persist(keep)
         self.clients_clean = C.clean_clients(feeds.clients_feed(spark, sf)).persist(keep)
-        self.clients = MT.merge_client_sources(self.clients_clean, self.sales)
-        self.employees = MT.employees(self.sales)
-        self.services = MT.services(self.sales)
-        self.suppliers = MT.distinct_dimension(self.purchases, "nom_fournisseur", "id_fournisseur", "nom")
-        self.categories = MT.distinct_dimension(self.purchases, "libelle_categorie", "id_categorie", "libelle")
+        # dimensions: one row per distinct name, small next to the facts; kept
+        # too, since every fact and check resolves keys against them
+        self.clients = MT.merge_client_sources(self.clients_clean, self.sales).persist(keep)
+        self.employees = MT.employees(self.sales).persist(keep)
+        self.services = MT.services(self.sales).persist(keep)
+        self.suppliers = MT.distinct_dimension(
+            self.purchases, "nom_fournisseur", "id_fournisseur", "nom").persist(keep)
+        self.categories = MT.distinct_dimension(
+            self.purchases, "libelle_categorie", "id_categorie", "libelle").persist(keep)
         self.invoices = MT.fact_invoice(self.sales, self.clients, self.employees)
         self.lines = MT.fact_line(self.sales, self.services)
         self.purchase_facts = MT.fact_purchase(self.purchases, self.suppliers, self.categories)
