@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -56,3 +58,26 @@ def shared_dir(spark: SparkSession, name: str = "") -> str:
         spark.sparkContext.setCheckpointDir(base)
     path = os.path.join(base, f"{name or 'work'}-{uuid.uuid4().hex[:12]}")
     return path
+
+
+#: Applications that have the package already.
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, so that Python workers can import it.
+
+    Operators that run Python inside tasks call it; once per application it
+    zips the package's source files and hands them to Spark's own file
+    distribution.  Nothing depends on the workers' current folder or PYTHONPATH.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="sparkmart-ship-")) / "sparkmart.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f"{top.name}/{f.relative_to(top)}")
+    sc.addPyFile(str(path))
+    _shipped.add(sc.applicationId)
