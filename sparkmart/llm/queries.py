@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, token_counts
+from . import decontaminate, packing, token_counts
 from ._common import read, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"))
 
 
+@query("op5_benchmark_decontamination", decontaminate.ORACLE)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+                        (F.size("hits") > 0).alias("contaminated"))
+
+
 @query("op7_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
