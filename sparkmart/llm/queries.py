@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, token_counts
+from . import decontaminate, minhash, packing, token_counts
 from ._common import read, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.size("hits") > 0).alias("contaminated"))
 
 
+@query("op6_circulant_minhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(read(spark, sf_dir, "documents"), width=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 @query("op7_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
