@@ -42,14 +42,15 @@ def lower_ascii() -> np.ndarray:
 
 
 def words(data: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray,
-          lower: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+          lower: np.ndarray | None = None, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, and per row the offset of its first word (n + 1).
 
     ``word_byte`` marks the bytes that words consist of; a word never crosses rows.
+    With ``prefixes`` the hashes are (1 + len(prefixes)) x words: the words' first so many bytes too.
     """
     n, rows = len(data), len(offsets) - 1
     if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(rows + 1, np.int64)
+        return np.zeros((1 + len(prefixes), 0) if prefixes else 0, np.uint64), np.zeros(rows + 1, np.int64)
     if lower is not None:
         data = lower[data]
     inside = word_byte[data]
@@ -64,4 +65,6 @@ def words(data: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray,
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers[:n], out=sums[1:])
     h = (sums[end + 1] - sums[start]) * _inverse[start]
+    if prefixes:  # told apart from whole words by their length
+        h = np.stack([h, *[(sums[np.minimum(end + 1, start + k)] - sums[start]) * _inverse[start] + np.uint64(k) for k in prefixes]])
     return mix(h), np.searchsorted(start, offsets).astype(np.int64)

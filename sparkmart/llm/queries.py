@@ -8,8 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, packing, token_counts
-from ._common import read, text_or_empty
+from . import decontaminate, langid, minhash, packing, token_counts, toxicity
+from ._common import held_out, read, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -58,3 +58,19 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.with_token_counts(docs, tokenizer_file("piece_bpe_32k.model"))
     return counted.select("doc_id", F.octet_length(text_or_empty()).cast("long").alias("n_bytes"), "n_tokens",
                           (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+@query("op8_toxicity_cnn")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    net = toxicity.fit(docs, read(spark, sf_dir, "labels"), learn=~held_out())
+    return (toxicity.with_toxicity(docs, net)
+            .select("doc_id", held_out().alias("held_out"), "score",
+                    (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "toxic_in_lang"))
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    net = langid.fit(docs.where(~held_out()))
+    return langid.with_language(docs, net).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
