@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, minhash, packing, token_counts, toxicity
+from . import decontaminate, langid, line_dedup, minhash, packing, token_counts, toxicity
 from ._common import held_out, read, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     net = langid.fit(docs.where(~held_out()))
     return langid.with_language(docs, net).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_line_alignment")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    before = docs.select("doc_id", "text", F.length("text").alias("chars"))
+    out = line_dedup.deduplicate(before)
+    return out.select("doc_id", F.col("chars").cast("long").alias("n_chars_before"), F.length("text").cast("long").alias("n_chars_after"),
+                      F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), (F.length("text") < F.col("chars")).alias("changed"))
