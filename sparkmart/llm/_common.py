@@ -54,6 +54,20 @@ def id_hash(*cols: str) -> Column:
     return F.xxhash64(F.lit(20240607), *[F.col(c) for c in cols])
 
 
+def thinned(df: DataFrame, by: str, order: str, want: dict, counts: dict) -> DataFrame:
+    """Rows of each value of ``by`` whose hash ``order`` is small: at least about ``want`` of its ``counts`` rows.
+
+    Before a ranking for a bounded sample this leaves about as many rows as the
+    sample needs, however many tasks read the table.
+    """
+    top = 1 << 30
+    some = F.lit(False)
+    for value, k in want.items():
+        share = min(1.0, (1.3 * k + 100) / max(counts.get(value, 0), 1))
+        some = some | ((F.col(by) == value) & (F.pmod(F.col(order), F.lit(top)) < int(share * top)))
+    return df.where(some)
+
+
 def held_out(col: str = "doc_id") -> Column:
     """The test fold: crc32 of the id's text leaves 2 on division by 4 (a null id is in no fold)."""
     return F.coalesce(F.crc32(F.col(col).cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship
-from ._common import id_hash, runs, utf8
+from ._common import id_hash, runs, thinned, utf8
 
 #: The training sample: documents of each language, languages, windows of each document.
 PER_LANG, MAX_LANGS, WINDOWS = 400, 200, 4
@@ -186,11 +186,12 @@ def training_windows(docs: DataFrame, text_col: str, lang_col: str, order: list[
     last = F.greatest(F.length("t") - size, F.lit(0))
     starts = [F.floor(last * k / max(WINDOWS - 1, 1)).cast("int") + 1 for k in range(WINDOWS)]
     row = Window.partitionBy("lang").orderBy("h", "t")
-    return (docs.where(F.col(text_col).rlike(r"\p{L}") & F.col(lang_col).isNotNull())
-            .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("t"), id_hash(*order).alias("h"))
+    usable = (docs.where(F.col(text_col).rlike(r"\p{L}") & F.col(lang_col).isNotNull())
+              .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("t"), id_hash(*order).alias("h")))
+    counts = {r[0]: r[1] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()}
+    return (thinned(usable, "lang", "h", dict.fromkeys(counts, per_lang), counts)
             .select("lang", "h", F.array_distinct(F.array(*[F.substr("t", s, F.lit(size)) for s in starts])).alias("t"))
             .withColumn("k", F.row_number().over(row)).where(F.col("k") <= per_lang)
-            .orderBy("k", "lang").limit(per_lang * MAX_LANGS)
             .select("lang", F.explode("t").alias("t")).collect())
 
 
