@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, line_dedup, minhash, packing, token_counts, toxicity
+from . import decontaminate, langid, line_dedup, minhash, packing, token_counts, topk, toxicity
 from ._common import held_out, read, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,12 @@ def tokenizer_file(name: str) -> bytes:
     return Path(public_tokenizers.path(name)).read_bytes()
 
 
+@query("op1_multi_index_hashing", topk.ORACLE)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.when(F.col("embedding").isNotNull(), topk.sign_code()).alias("code"))
+    return topk.top_k(codes, codes.where("id % 50 = 0"), k=10)
+
+
 @query("op2_best_fit_packing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
