@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, line_dedup, minhash, packing, token_counts, topk, toxicity
+from . import chat, decontaminate, langid, line_dedup, minhash, packing, token_counts, topk, toxicity
 from ._common import held_out, read, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"))
 
 
+@query("op3_preference_format", chat.ORACLE)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chat.format_preferences(chat.swapped_replies(read(spark, sf_dir, "conversations")))
+    runs = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["loss"], x["length"])), ",").alias(c)
+    return out.select("pair_id", "n_prompt_turns", "prompt", "chosen", runs("chosen_mask"), "rejected", runs("rejected_mask"))
+
+
 @query("op5_benchmark_decontamination", decontaminate.ORACLE)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
