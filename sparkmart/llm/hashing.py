@@ -41,6 +41,27 @@ def lower_ascii() -> np.ndarray:
     return t
 
 
+def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes (not mixed yet) of the byte runs [start, end)."""
+    n = len(data)
+    _grow(n)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers[:n], out=sums[1:])
+    return (sums[end] - sums[start]) * _inverse[start]
+
+
+def run_bounds(kind: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes and ends of the runs of one non-zero kind; a run never crosses rows."""
+    n = len(kind)
+    change = np.ones(n + 1, bool)
+    change[1:n] = kind[1:] != kind[:-1]
+    change[offsets] = True
+    at = np.flatnonzero(change)
+    start, end = at[:-1], at[1:]
+    some = kind[start] > 0
+    return start[some], end[some]
+
+
 def words(data: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray,
           lower: np.ndarray | None = None, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, and per row the offset of its first word (n + 1).
@@ -48,23 +69,14 @@ def words(data: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray,
     ``word_byte`` marks the bytes that words consist of; a word never crosses rows.
     With ``prefixes`` the hashes are (1 + len(prefixes)) x words: the words' first so many bytes too.
     """
-    n, rows = len(data), len(offsets) - 1
-    if n == 0:
-        return np.zeros((1 + len(prefixes), 0) if prefixes else 0, np.uint64), np.zeros(rows + 1, np.int64)
+    if len(data) == 0:
+        return np.zeros((1 + len(prefixes), 0) if prefixes else 0, np.uint64), np.zeros(len(offsets), np.int64)
     if lower is not None:
         data = lower[data]
-    inside = word_byte[data]
-    cut = np.zeros(n + 1, bool)
-    cut[offsets] = True
-    first = inside.copy()
-    first[1:] &= ~inside[:-1] | cut[1:n]
-    last = inside.copy()
-    last[:-1] &= ~inside[1:] | cut[1:n]
-    start, end = np.flatnonzero(first), np.flatnonzero(last)
-    _grow(n)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers[:n], out=sums[1:])
-    h = (sums[end + 1] - sums[start]) * _inverse[start]
-    if prefixes:  # told apart from whole words by their length
-        h = np.stack([h, *[(sums[np.minimum(end + 1, start + k)] - sums[start]) * _inverse[start] + np.uint64(k) for k in prefixes]])
+    start, end = run_bounds(word_byte[data].view(np.uint8), offsets)
+    if not prefixes:
+        h = run_hashes(data, start, end)
+    else:  # prefixes are told apart from whole words by their length
+        ends = np.stack([end, *[np.minimum(end, start + k) for k in prefixes]])
+        h = run_hashes(data, np.broadcast_to(start, ends.shape), ends) + np.array([0, *prefixes], np.uint64)[:, None]
     return mix(h), np.searchsorted(start, offsets).astype(np.int64)

@@ -19,9 +19,9 @@ columns of the input are not read.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 from math import isqrt
 
 import numpy as np
@@ -30,96 +30,135 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship
-from ._common import stored, text_or_empty
+from . import hashing
+from ._common import runs, stored, text_or_empty, utf8
 
 # ---------------------------------------------------------------- tokens
 
-#: Chunks and words that a Python worker keeps the ids of.
-HELD_CHUNKS = 500_000
-HELD_WORDS = 500_000
+#: Pieces that a Python worker keeps the ids of.
+HELD = 1_000_000
+#: Bytes of text that are looked up at a time.
+RUN = 1 << 22
 
-#: Latin letters and then ASCII marks (no apostrophe): one word piece and at most one mark piece.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+#: Kinds of bytes: white space that only separates, letters, marks, others.
+_SPACE, _LETTERS, _MARKS, _OTHER = 0, 1, 2, 3
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[[0x20, 0x0A]] = _SPACE
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTERS
+_KIND[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'"]] = _MARKS
+
+
+def word_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(bytes in lower case, kinds, first bytes, ends) of the runs that can be encoded each on its own.
+
+    White space only separates pieces in the tokenizer, and normalisation never works
+    across it, so what stands between spaces or line ends is encoded on its own.  Where
+    that holds nothing but Latin letters and ASCII marks (no apostrophe, no start of a
+    special token), its pieces are the runs of letters and the runs of marks.
+    """
+    data = data.copy()
+    kind = _KIND[data]
+    nxt = np.append(data[1:], 0).astype(np.uint8)
+    wide = np.flatnonzero((data == 0xC3) & (nxt >= 0x80) & (nxt != 0x97) & (nxt != 0xB7))  # the Latin-1 letters
+    kind[wide] = kind[wide + 1] = _LETTERS
+    kind[(data == 0x3C) & (nxt == 0x7C)] = _OTHER  # "<|"
+    first, last = hashing.run_bounds((kind != _SPACE).view(np.uint8), offsets)
+    others = np.concatenate([[0], np.cumsum(kind == _OTHER, dtype=np.int32)])
+    odd = others[last] > others[first]
+    fill = np.zeros(len(data) + 1, np.int8)
+    fill[first[odd]] += 1
+    fill[last[odd]] -= 1
+    kind[np.cumsum(fill[:-1], dtype=np.int8) > 0] = _OTHER  # encoded in one, as it stands
+    plain = kind == _LETTERS
+    data[plain & (data >= 0x41) & (data <= 0x5A)] += 32
+    upper = wide[plain[wide] & (data[wide + 1] <= 0x9E)] + 1
+    data[upper] += 32
+    start, end = hashing.run_bounds(kind, offsets)
+    return data, kind[start], start, end
 
 
 class WordIds:
-    """A text's ids, put together from the ids of its space-separated chunks.
+    """Texts' ids, put together from the ids of their ``word_pieces``.
 
-    White space only separates pieces in the tokenizer, and normalisation never
-    works across it, so chunks can be encoded one by one and kept.  All ids come
-    from the tokenizer; plain chunks share the ids of their lower-case word.
+    All ids come from the tokenizer.  Those of a bounded number of pieces are kept (by
+    their 64-bit hash); the rest is encoded again when it comes.
     """
 
-    def __init__(self, model: bytes):
+    def __init__(self, model: bytes, end_id: int):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_str(model.decode())
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
         n = self.tok.get_vocab_size(with_added_tokens=True)
         self.ends = np.array([(self.tok.id_to_token(i) or "").endswith("</w>") for i in range(n)], bool)
+        self.slot: dict[int, int] = {}  # of a piece's hash; slot 0 is the end of a document
+        self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.flat = np.zeros(1 << 18, "<u4")
+        self.flat[0], self.length[0] = end_id, 1
+        self.slots = self.ids = 1
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words that are one piece each, many to a call; the last id of each ends a word."""
-        out: dict[str, bytes] = {}
-        for k in range(0, len(words), 256):
-            part = words[k:k + 256]
-            ids = np.array(self.tok.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+    def learn(self, pieces: list[str], single: list[bool]) -> list[bytes]:
+        """Ids of pieces; those that are a single piece go many to a call, and the last id of each ends a word."""
+        out = [b"" if one else self.encode(p) for p, one in zip(pieces, single)]
+        todo = [i for i, one in enumerate(single) if one]
+        for k in range(0, len(todo), 256):
+            part = todo[k:k + 256]
+            ids = np.array(self.tok.encode(" ".join([pieces[i] for i in part]), add_special_tokens=False).ids, "<u4")
             end = np.flatnonzero(self.ends[ids]) + 1
             if len(end) != len(part):  # not one piece each after all
-                out.update((w, self.encode(w)) for w in part)
+                for i in part:
+                    out[i] = self.encode(pieces[i])
                 continue
             raw, at = ids.tobytes(), 0
-            for w, e in zip(part, (4 * end).tolist()):
-                out[w] = raw[at:e]
+            for i, e in zip(part, (4 * end).tolist()):
+                out[i] = raw[at:e]
                 at = e
         return out
 
-    def lookup(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of chunks that are not kept."""
-        plain, out, fresh = [], {}, set()
-        for c in chunks:
-            m = _PLAIN.fullmatch(c)
-            if m is None:
-                out[c] = self.encode(c)
-                continue
-            w, marks = m[1].lower(), m[2]
-            plain.append((c, w, marks))
-            if w not in self.words:
-                fresh.add(w)
-            if marks and marks not in self.words:
-                fresh.add(marks)
-        new = self.learn(sorted(fresh))
-        if len(self.words) < HELD_WORDS:
-            self.words.update(new)
-        for c, w, marks in plain:
-            ids = new.get(w) or self.words[w]
-            if marks:
-                ids += new.get(marks) or self.words[marks]
-            out[c] = ids
-        if len(self.chunks) < HELD_CHUNKS:
-            self.chunks.update(out)
-        return out
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        kept = self.chunks
-        extra = self.lookup({c for s in split for c in s if c not in kept and c})
-        kept = self.chunks
-        out = []
-        for s in split:
-            try:
-                out.append(b"".join([kept[c] for c in s if c]))
-            except KeyError:
-                out.append(b"".join([kept[c] if c in kept else extra[c] for c in s if c]))
-        return out
-
-
-_worker: dict[int, WordIds] = {}
+    def put(self, ids: list[bytes]) -> None:
+        """Append slots."""
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        add = int(length.sum())
+        while self.slots + len(ids) > len(self.length):
+            self.start, self.length = np.resize(self.start, 2 * len(self.start)), np.resize(self.length, 2 * len(self.length))
+        while self.ids + add > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        to = slice(self.slots, self.slots + len(ids))
+        self.length[to] = length
+        self.start[to] = self.ids + np.cumsum(length) - length
+        self.flat[self.ids:self.ids + add] = np.frombuffer(b"".join(ids), "<u4")
+        self.slots += len(ids)
+        self.ids += add
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the rows, each row closed by the end id, and the rows' offsets among them (n + 1)."""
+        data, kind, first, end = word_pieces(data, offsets)
+        at = np.searchsorted(first, offsets)
+        seen, one, which = np.unique(hashing.mix(hashing.run_hashes(data, first, end)), return_index=True, return_inverse=True)
+        slot = np.array(list(map(self.slot.get, seen.tolist(), repeat(-1))), np.int64)
+        missing = np.flatnonzero(slot < 0)
+        slots, kept = self.slots, self.ids
+        if len(missing):
+            raw, to = data.tobytes(), one[missing]
+            text = [raw[s:e].decode() for s, e in zip(first[to].tolist(), end[to].tolist())]
+            self.put(self.learn(text, (kind[to] != _OTHER).tolist()))
+            slot[missing] = np.arange(slots, self.slots)
+            if slots + len(missing) <= HELD:
+                self.slot.update(zip(seen[missing].tolist(), range(slots, self.slots)))
+                slots, kept = self.slots, self.ids
+        rows = len(offsets) - 1
+        order = np.zeros(len(which) + rows, np.int64)  # slots, with a document's end after its chunks
+        order[np.arange(len(which)) + np.repeat(np.arange(rows), np.diff(at))] = slot[which]
+        length = self.length[order]
+        total = np.concatenate([[0], np.cumsum(length)])
+        ids = self.flat[np.repeat(self.start[order] - total[:-1], length) + np.arange(total[-1])]
+        self.slots, self.ids = slots, kept  # forget what is over the bound
+        return ids, total[at + np.arange(rows + 1)]
+
+
+_worker: dict[tuple[int, int], WordIds] = {}
 
 
 def pieces_of(docs: DataFrame, model: bytes, capacity: int, end_id: int, keep_ids: bool = False,
@@ -129,40 +168,28 @@ def pieces_of(docs: DataFrame, model: bytes, capacity: int, end_id: int, keep_id
     Only documents longer than the capacity are cut.  ``keep_ids`` adds the ids themselves.
     """
     ship(docs.sparkSession)
-    key = zlib.crc32(model)
+    key = zlib.crc32(model), end_id
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    end = np.array([end_id], "<u4").tobytes()
     id_type = docs.schema[id_col].dataType
-    step = 4 * capacity
+    names = [id_col, "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _worker:
             _worker.clear()
-            _worker[key] = WordIds(sent.value)
-        ids_of = _worker[key]
+            _worker[key] = WordIds(sent.value, end_id)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            at, most = 0, 256
-            while at < len(texts):
-                row, piece, start, length, crc, ids = [], [], [], [], [], []
-                for k, raw in enumerate(ids_of(texts[at:at + most]), at):
-                    raw += end
-                    for p, s in enumerate(range(0, len(raw), step)):
-                        part = raw[s:s + step]
-                        row.append(k)
-                        piece.append(p)
-                        start.append(s // 4)
-                        length.append(len(part) // 4)
-                        crc.append(zlib.crc32(part))
-                        if keep_ids:
-                            ids.append(np.frombuffer(part, "<u4").astype(np.int32))
-                at += most
-                cols = [b.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                        pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
-                names = [id_col, "piece", "start", "length", "ids_crc32"]
+            data, offsets = utf8(b.column(1))
+            for i, j in runs(offsets, RUN):
+                ids, at = _worker[key](data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                n = -(-np.diff(at) // capacity)  # at least 1: the end id is there
+                row = np.repeat(np.arange(j - i), n)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                lo = at[row] + piece * capacity
+                hi = np.minimum(lo + capacity, at[row + 1])
+                cols = [b.column(0).take(pa.array(row + i)), pa.array(piece, pa.int32()), pa.array(piece * capacity, pa.int64()),
+                        pa.array(hi - lo, pa.int64()), pa.array([zlib.crc32(ids[x:y]) for x, y in zip(lo, hi)], pa.int64())]
                 if keep_ids:
-                    cols.append(pa.array(ids, pa.list_(pa.int32())))
-                    names.append("ids")
+                    cols.append(pa.ListArray.from_arrays(pa.array(np.append(lo, len(ids)), pa.int32()), pa.array(ids.view(np.int32))))
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     schema = f"`{id_col}` {id_type.simpleString()}, piece int, start long, length long, ids_crc32 long"
