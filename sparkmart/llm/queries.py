@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, line_dedup, minhash, packing, token_counts, topk, toxicity
+from . import chat, decontaminate, langid, line_dedup, minhash, packing, pii, token_counts, topk, toxicity
 from ._common import held_out, read, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,15 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("pair_id", "n_prompt_turns", "prompt", "chosen", runs("chosen_mask"), "rejected", runs("rejected_mask"))
 
 
+@query("op4_bootstrapped_pii")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.personal_data(read(spark, sf_dir, "documents"))
+    shown = lambda s: F.array_join(F.transform(s, lambda x: F.concat_ws(":", x["kind"], x["s"], x["e"])), ",")
+    base = F.filter("spans", lambda x: x["kind"].isin(*pii.KINDS))
+    n = [F.expr(f"cast(size(filter(spans, x -> x.kind = '{k}')) AS bigint) AS n_{k}") for k in pii.KINDS]
+    return out.select("doc_id", *n, F.sha2(shown(base).cast("binary"), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
+
+
 @query("op5_benchmark_decontamination", decontaminate.ORACLE)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
