@@ -45,6 +45,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for own columns that ``df`` does not have."""
+    has, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while f"_{n}" in has:
+            n = f"_{n}"
+        out.append(f"_{n}")
+    return out
+
+
+def same_document(id_col: str, text_col: str, id_: str, key: str) -> Column:
+    """Whether a row has the id ``id_`` (null or not) and a text with the hash ``key``."""
+    return F.col(id_col).eqNullSafe(F.col(id_)) & (F.xxhash64(text_col) == F.col(key))
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

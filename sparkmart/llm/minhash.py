@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from . import hashing
-from ._common import runs, stored, utf8
+from ._common import fresh, runs, same_document, stored, utf8
 from .components import components
 
 #: Bands and rows: a pair of similarity 0.85 misses all bands with probability 1e-5, one of 0.8 with 4e-4.
@@ -236,9 +236,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     Rows that agree in id and text are one document.  Texts without words all stay.
     """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
+    id_, key = fresh(docs, "id", "key")
     keep = (found.groupBy("component", F.when(F.col("digest").isNull(), F.struct(id_col, "text_key")).alias("alone"))
-            .agg(F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col("text_key"))).alias("row"))
-            .select(F.col(f"row.{id_col}").alias("_id"), F.col("row.text_key").alias("_key")))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_key"))
-    return (docs.join(keep, same, "left_semi").withColumn("_key", F.xxhash64(text_col))
-            .dropDuplicates([id_col, "_key"]).drop("_key"))
+            .agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("text_key").alias("key"))).alias("row"))
+            .select(F.col("row.id").alias(id_), F.col("row.key").alias(key)))
+    return (docs.join(keep, same_document(id_col, text_col, id_, key), "left_semi").withColumn(key, F.xxhash64(text_col))
+            .dropDuplicates([id_col, key]).drop(key))

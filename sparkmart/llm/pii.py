@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import stored, text_or_empty
+from ._common import fresh, same_document, stored, text_or_empty
 
 SUPPORT, CONFIDENCE, ACCEPT, ROUNDS, DIGITS = 5, 0.8, 0.9, 4, 4
 KINDS = ("email", "ip", "card", "phone")
@@ -172,13 +172,14 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: float) -> DataFrame:
     """``docs`` with every span of personal data replaced by its kind in angle brackets."""
+    id_, key, spans_ = fresh(docs, "id", "key", "spans")
     spans = (personal_data(docs, id_col, text_col, **how).where(F.size("spans") > 0).dropDuplicates([id_col, "text_key"])
-             .select(F.col(id_col).alias("_id"), F.col("text_key").alias("_key"), F.col("spans").alias("_spans")))
-    joined = docs.join(spans, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_key")), "left")
+             .select(F.col(id_col).alias(id_), F.col("text_key").alias(key), F.col("spans").alias(spans_)))
+    joined = docs.join(spans, same_document(id_col, text_col, id_, key), "left")
     # from left to right; where spans of two kinds overlap, the earlier one covers the rest
-    text = F.expr(f"""aggregate(array_sort(_spans, (a, b) -> CASE WHEN a.s < b.s THEN -1 WHEN a.s > b.s THEN 1 ELSE b.e - a.e END),
+    text = F.expr(f"""aggregate(array_sort({spans_}, (a, b) -> CASE WHEN a.s < b.s THEN -1 WHEN a.s > b.s THEN 1 ELSE b.e - a.e END),
         named_struct('at', 0, 'out', ''),
         (a, x) -> named_struct('at', greatest(a.at, x.e), 'out', concat(a.out,
             if(x.s >= a.at, concat(substr({text_col}, a.at + 1, x.s - a.at), '<', x.kind, '>'), ''))),
         a -> concat(a.out, substr({text_col}, a.at + 1)))""")
-    return joined.withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(text)).select(*docs.columns)
+    return joined.withColumn(text_col, F.when(F.col(spans_).isNull(), F.col(text_col)).otherwise(text)).select(*[f"`{c}`" for c in docs.columns])
