@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
-from ._common import stored
+from ._common import fresh, same_document, stored
 
 #: Words of a block that is deleted at least, words of a line that seeds pairs at least.
 MIN_WORDS, SEED_WORDS = 25, 5
@@ -155,14 +155,14 @@ def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE, s
                 id_col: str = "doc_id", text_col: str = "text", drop_emptied: bool = False) -> DataFrame:
     """``docs`` with the repeated blocks cut out of the later documents' texts (and ``n_chars`` to match)."""
     gone = stored(deleted_lines(docs, min_words, rare, seed_words, id_col, text_col), "deleted-lines")
-    gone = gone.select(F.col("doc.id").alias("_id"), F.col("doc.text").alias("_text"), F.col("gone").alias("_gone"))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_text"))
-    kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col("_gone"), i))
-    out = (docs.join(gone, same, "left")
-           .withColumn("_new", F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")))
-           .withColumn("_all", F.col("_gone").isNotNull() & (F.size("_gone") == F.size(F.split(F.col(text_col), "\n", -1)))))
+    id_, key, gone_, new = fresh(docs, "id", "key", "gone", "new")
+    gone = gone.select(F.col("doc.id").alias(id_), F.col("doc.text").alias(key), F.col("gone").alias(gone_))
+    lines, cut = F.split(F.col(text_col), "\n", -1), F.col(gone_).isNotNull()
+    # never a broadcast: what is deleted grows with the documents
+    out = docs.join(gone.hint("merge"), same_document(id_col, text_col, id_, key), "left")
     if drop_emptied:
-        out = out.where(~F.col("_all"))
-    return out.select(*[F.col("_new").alias(c) if c == text_col
-                        else F.when(F.col("_gone").isNull(), F.col(c)).otherwise(F.length("_new").cast(docs.schema[c].dataType)).alias(c) if c == "n_chars"
-                        else F.col(c) for c in docs.columns])
+        out = out.where(~cut | (F.size(gone_) < F.size(lines)))
+    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col(gone_), i)), "\n")
+    out = out.withColumn(new, F.when(cut, kept).otherwise(F.col(text_col)))
+    length = lambda c: F.when(cut, F.length(new).cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+    return out.select(*[F.col(new).alias(c) if c == text_col else length(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
