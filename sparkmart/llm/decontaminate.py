@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import stored
+from ._common import fresh, same_document, stored
 
 NGRAM = 10
 #: Rows of the broadcast table at most (each about 100 bytes).
@@ -96,7 +96,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, id_col: str
                       f"p -> named_struct('p', p, 'key', {_key(str(n), 'w', 'p', str(block))})))")
     seen = (docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), words(F.col(text_col)).alias("w"))
             .withColumn("probes", F.expr(f"concat({', '.join(probes)})"))
-            .select("id", "text_key", "w", F.inline("probes")))
+             # outer: every row has its mark, and an inner one would filter on the whole expression once more
+            .select("id", "text_key", "w", F.inline_outer("probes")))
     met = (seen.join(table, "key")
            .where(f"p = -1 OR (p >= d AND p - d + n <= size(w) AND {_joined('w', 'greatest(p - d, 0)', 'n')} = window)")
            .select("id", "text_key", F.size("w").cast("long").alias("n_words"), "p",
@@ -113,23 +114,24 @@ def scan(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, id_col: str
 def remove_documents(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, **cols: str) -> DataFrame:
     """``docs`` without the documents that hold a window of the benchmark."""
     id_col, text_col = cols.get("id_col", "doc_id"), cols.get("text_col", "text")
+    id_, key = fresh(docs, "id", "key")
     hit = (scan(docs, benchmark, ngram, **cols).where(F.size("hits") > 0)
-           .select(F.col(id_col).alias("_id"), F.col("text_key").alias("_key")).distinct())
-    return docs.join(hit, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_key")), "left_anti")
+           .select(F.col(id_col).alias(id_), F.col("text_key").alias(key)).distinct())
+    return docs.join(hit, same_document(id_col, text_col, id_, key), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, **cols: str) -> DataFrame:
     """``docs`` with the hit words, and what stands before each, cut out of the texts."""
     id_col, text_col = cols.get("id_col", "doc_id"), cols.get("text_col", "text")
+    id_, key, hits = fresh(docs, "id", "key", "hits")
     hit = (scan(docs, benchmark, ngram, **cols).where(F.size("hits") > 0)
-           .select(F.col(id_col).alias("_id"), F.col("text_key").alias("_key"), F.col("hits").alias("_hits"))
-           .dropDuplicates(["_id", "_key"]))
-    joined = docs.join(hit, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_key")), "left")
+           .select(F.col(id_col).alias(id_), F.col("text_key").alias(key), F.col("hits").alias(hits)).dropDuplicates([id_, key]))
+    joined = docs.join(hit, same_document(id_col, text_col, id_, key), "left")
     pieces = F.regexp_extract_all(F.col(text_col), F.lit(f"[{_OTHER}]*[^{_OTHER}]+"), F.lit(0))
-    kept = F.filter(pieces, lambda x, i: ~F.array_contains(F.col("_hits"), i))
+    kept = F.filter(pieces, lambda x, i: ~F.array_contains(F.col(hits), i))
     tail = F.regexp_extract(F.col(text_col), f"[{_OTHER}]*$", 0)
-    text = F.when(F.col("_hits").isNull(), F.col(text_col)).otherwise(F.concat(F.array_join(kept, ""), tail))
-    return joined.withColumn(text_col, text).select(*docs.columns)
+    text = F.when(F.col(hits).isNull(), F.col(text_col)).otherwise(F.concat(F.array_join(kept, ""), tail))
+    return joined.withColumn(text_col, text).select(*[f"`{c}`" for c in docs.columns])
 
 
 #: DuckDB: the digest of op5 over the whole tables.
