@@ -33,19 +33,3 @@ def parse_date(c) -> Column:
     )
     tries = [F.try_to_date(v, fmt) for fmt in DATE_FORMATS]
     return F.coalesce(*tries, free)
-
-
-def parse_date_any(c, dtype: str) -> Column:
-    """Like :func:`parse_date`, but a DATE/TIMESTAMP column is just cast."""
-    if dtype in ("date", "timestamp", "timestamp_ntz"):
-        return F.to_date(col_(c))
-    return parse_date(c)
-
-
-def month_start(c) -> Column:
-    return F.trunc(col_(c), "month")
-
-
-def week_start(c) -> Column:
-    """Monday of the week (same as the calendar weeks used for evaluation)."""
-    return F.trunc(col_(c), "week")

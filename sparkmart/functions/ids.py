@@ -27,8 +27,13 @@ def hash_seq(*parts) -> Column:
     return F.conv(h, 16, 10).cast("bigint")
 
 
-def invoice_id(order_date, event_key) -> Column:
-    """``FAC-<year>-<8 hex>``, hashed from the event key so replays are idempotent."""
+def invoice_key(event_key) -> Column:
+    """The invoice's key: the whole hash of the event key, so that replays are idempotent and keys do not collide."""
+    return F.md5(col_(event_key).cast("string"))
+
+
+def invoice_number(order_date, event_key) -> Column:
+    """``FAC-<year>-<8 hex>``: for display only, as 32 bits are not unique."""
     return F.concat(
         F.lit("FAC-"), F.year(col_(order_date)).cast("string"), F.lit("-"),
         F.upper(F.substring(F.md5(col_(event_key).cast("string")), 1, 8)),

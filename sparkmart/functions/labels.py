@@ -35,12 +35,3 @@ def normalise_status(c) -> Column:
 def normalise_city(c) -> Column:
     s = strip(c)
     return F.when(F.lower(s).isin(CITY_VARIANTS), F.lit(CITY_CANONICAL)).otherwise(s)
-
-
-def normalise_with_table(df: DataFrame, column: str, aliases: DataFrame,
-                         key: str = "alias", value: str = "canonical") -> DataFrame:
-    """Join-based variant for alias tables too large for a literal map."""
-    k = "__alias_key"
-    a = aliases.select(F.col(key).alias(k), F.col(value).alias("__canon"))
-    out = df.withColumn(k, F.lower(strip(col_(column)))).join(a, k, "left")
-    return out.withColumn(column, F.coalesce("__canon", strip(col_(column)))).drop(k, "__canon")

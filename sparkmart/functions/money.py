@@ -54,17 +54,6 @@ def div_round_half_up(num, den) -> Column:
     return idiv(col_(num) * 2 + col_(den), col_(den) * 2)
 
 
-def safe_ratio(num, den, zero=None) -> Column:
-    """num/den; a zero denominator gives ``zero`` (NULL by default)."""
-    d = col_(den)
-    return F.when(d == 0, F.lit(zero)).otherwise(F.try_divide(col_(num), d))
-
-
-def pct_change(new, old, digits: int = 1) -> Column:
-    """Percent change rounded; zero base -> NULL."""
-    return F.round(F.try_divide((col_(new) - col_(old)) * 100, col_(old)), digits)
-
-
 def round_half_up(c, digits: int) -> Column:
     """``floor(x * 10^d + 0.5) / 10^d`` on doubles.
 

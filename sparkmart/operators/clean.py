@@ -6,7 +6,7 @@ Each job is one lazy plan; row counters come from the same plan
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date
@@ -68,29 +68,27 @@ def clean_sales(raw: DataFrame) -> DataFrame:
     )
 
 
+def _n(cond) -> Column:
+    return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
+
+
 def sales_report(raw: DataFrame) -> DataFrame:
     """Step counters of :func:`clean_sales`, from one pass over the raw rows.
 
-    The keep-first window is partitioned by (invoice id, usable) so unusable
-    rows never shadow a usable duplicate, exactly as filtering first would.
+    The first row of each (invoice id, usable) is found by ``min_by``, so rows are
+    combined before the exchange and a frequent or missing id meets no single task.
     """
-    p = sales_parsed(raw)
     usable = F.col("date_facture").isNotNull() & F.col("client").isNotNull()
-    w = Window.partitionBy("facture_id", "_usable").orderBy("seq")
-    r = recompute_totals(p.withColumn("_usable", usable))
-    r = r.withColumn("_kept", F.col("_usable") & (F.row_number().over(w) == 1))
-    kept = F.col("_kept")
-
-    def n(cond):
-        return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
-
-    a = r.agg(F.count(F.lit(1)).alias("n_input"), n(~F.col("_usable")).alias("n_dropped_missing"),
-              n(kept).alias("n_kept"), n(kept & F.col("recomputed")).alias("n_recomputed"),
-              n(kept & F.col("employe_en_charge").isNull()).alias("n_without_employee"))
-    return a.select(
-        "n_input", "n_dropped_missing",
-        (F.col("n_input") - F.col("n_dropped_missing") - F.col("n_kept")).alias("n_duplicates"),
-        "n_recomputed", "n_kept", "n_without_employee")
+    r = recompute_totals(sales_parsed(raw)).select("facture_id", "seq", usable.alias("usable"), "recomputed",
+                                                   F.col("employe_en_charge").isNull().alias("no_employee"))
+    g = r.groupBy("facture_id", "usable").agg(F.count(F.lit(1)).alias("n"), F.min_by(F.struct("recomputed", "no_employee"), "seq").alias("first"))
+    kept = F.col("usable")
+    return g.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_input"),
+        F.sum(F.when(~kept, F.col("n")).otherwise(0)).cast("bigint").alias("n_dropped_missing"),
+        F.sum(F.when(kept, F.col("n") - 1).otherwise(0)).cast("bigint").alias("n_duplicates"),
+        _n(kept & F.col("first.recomputed")).alias("n_recomputed"), _n(kept).alias("n_kept"),
+        _n(kept & F.col("first.no_employee")).alias("n_without_employee"))
 
 
 # ----------------------------------------------------------------- purchases
@@ -131,6 +129,17 @@ def clean_purchases(raw: DataFrame, compat_nan: bool = False) -> DataFrame:
     )
 
 
+def purchases_report(raw: DataFrame) -> DataFrame:
+    """Step counters of :func:`clean_purchases`: one aggregate over the raw rows."""
+    empty = F.coalesce(*[F.col(c) for c in PURCHASE_COLS]).isNull()
+    partial = ~empty & (F.col("fournisseur").isNull() | F.col("article").isNull())
+    undated = ~empty & ~partial & parse_date("date").isNull()
+    kept = ~empty & ~partial & ~undated
+    return fix_negatives(raw).agg(
+        F.count(F.lit(1)).alias("n_input"), _n(empty).alias("n_empty"), _n(partial).alias("n_incomplete"), _n(undated).alias("n_undated"),
+        _n(kept & F.col("was_negative")).alias("n_sign_fixed"), _n(kept).alias("n_kept"))
+
+
 # ------------------------------------------------------------------- clients
 
 CLIENT_TEXT = ["nom_client", "entreprise", "telephone", "email", "ville"]
@@ -143,6 +152,16 @@ def clean_clients(raw: DataFrame) -> DataFrame:
     return dedup_case_insensitive(c, "nom_client", order=["seq"]).select("seq", *CLIENT_TEXT)
 
 
+def clients_report(raw: DataFrame) -> DataFrame:
+    """Step counters of :func:`clean_clients`; rows are combined per name before the exchange."""
+    c = raw.select(clean_text("nom_client").alias("n"), clean_text("ville").alias("v"))
+    moved = F.coalesce(normalise_city("v") != F.col("v"), F.lit(False))
+    g = c.groupBy(F.lower("n").alias("k")).agg(F.count(F.lit(1)).alias("rows"), _n(moved).alias("moved"))
+    return g.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("n_input"),
+                 F.sum(F.col("rows") - 1).cast("bigint").alias("n_duplicates"),
+                 F.sum("moved").cast("bigint").alias("n_city_normalised"), F.count(F.lit(1)).alias("n_kept"))
+
+
 # ----------------------------------------------------------------------- all
 
 def clean_all(raw: dict[str, DataFrame], compat_nan: bool = False) -> dict[str, DataFrame]:

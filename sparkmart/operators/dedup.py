@@ -32,7 +32,3 @@ def dedup_case_insensitive(df: DataFrame, name: str, order: Sequence[str | Colum
     key = lower_key(name)
     o = [*prefix, is_all_upper(F.col(name)).asc(), *order]
     return keep_first(df, [key], o)
-
-
-def count_per_key(df: DataFrame, key: Column, alias: str = "n_rows") -> DataFrame:
-    return df.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias(alias))

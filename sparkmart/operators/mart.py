@@ -77,12 +77,13 @@ def _resolve(facts: DataFrame, fact_col: str, dim: DataFrame, dim_col: str, id_c
     return facts.withColumn("_k", fk).join(d, "_k", "left").drop("_k")
 
 
-def fact_invoice(sales: DataFrame, clients: DataFrame, emps: DataFrame) -> DataFrame:
+def fact_invoice(sales: DataFrame, clients: DataFrame, emps: DataFrame, with_source: bool = False) -> DataFrame:
+    """Invoices with resolved keys; ``with_source`` carries the employee's name along for the checks."""
     f = sales.select(F.col("facture_id").alias("id_facture"), "date_facture", "statut_paiement",
                      "nom_client", "nom_employe")
     f = _resolve(f, "nom_client", clients, "nom_client", "id_client", True)
     f = _resolve(f, "nom_employe", emps, "nom_employe", "id_employe", True)
-    return f.select("id_facture", "date_facture", "statut_paiement", "id_client", "id_employe")
+    return f.select("id_facture", "date_facture", "statut_paiement", "id_client", "id_employe", *(["nom_employe"] * with_source))
 
 
 def fact_line(sales: DataFrame, svc: DataFrame) -> DataFrame:
@@ -106,10 +107,17 @@ def merge_duplicate_clients(dim: DataFrame, invoices: DataFrame) -> DataFrame:
 
     ``dim``: (id_client, nom_client, seq) with exact-case duplicates;
     ``invoices``: (id_facture, id_client).  Kept row per lower-cased name:
-    mixed case first, then ``seq``.  Returns the remapped invoices.
+    mixed case first, then ``seq``.  Returns the remapped invoices; the rows that no
+    invoice points to any more are removed by :func:`without_duplicate_clients`.
     """
     from pyspark.sql import Window
     w = Window.partitionBy(lower_key("nom_client")).orderBy(is_all_upper("nom_client"), "seq")
     remap = dim.select("id_client", F.first("id_client").over(w).alias("kept_id"))
     j = invoices.join(remap, "id_client", "left")
     return j.select("id_facture", F.coalesce("kept_id", "id_client").alias("id_client"))
+
+
+def without_duplicate_clients(dim: DataFrame) -> DataFrame:
+    """The client rows that :func:`merge_duplicate_clients` keeps, one per lower-cased name."""
+    kept = dedup_case_insensitive(dim, "nom_client", order=["seq"])
+    return kept.select(*dim.columns)

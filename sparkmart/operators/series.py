@@ -17,11 +17,14 @@ GLOBAL = "global"
 
 
 def _per_invoice(lines: DataFrame, key: str, amount: str, by: list[str]) -> DataFrame:
-    # Map-side partial sums per invoice: the line table is reduced before the
-    # join, and the result is already hash-partitioned on the invoice key, so
-    # the join below shuffles only the invoice side.
-    return (lines.groupBy(key, *by)
-            .agg(F.sum(F.col(amount).cast("decimal(18,2)")).alias("_y")))
+    """Sums per invoice (and label), partitioned by the invoice key alone.
+
+    Without labels the sums are partial before the only exchange.  With labels the
+    lines are dealt by invoice once; the sums per (invoice, label) and the join to
+    the invoices both need no other exchange then.
+    """
+    rows = lines.select(key, *by, F.col(amount).cast("decimal(18,2)").alias("_a"))
+    return (rows.repartition(F.col(key)) if by else rows).groupBy(key, *by).agg(F.sum("_a").alias("_y"))
 
 
 def daily_series(invoices: DataFrame, lines: DataFrame, *, inv_key: str, inv_date: str,
@@ -36,33 +39,26 @@ def daily_series(invoices: DataFrame, lines: DataFrame, *, inv_key: str, inv_dat
     extra = [by] if by else []
     per_inv = _per_invoice(lines, line_key, amount, extra)
     inv = invoices.select(F.col(inv_key).alias(line_key), F.to_date(inv_date).alias("ds"))
-    j = per_inv.join(inv, line_key)
-    out = (j.groupBy("ds", *extra)
-           .agg(F.sum("_y").cast(MONEY).alias("y"), F.count(F.lit(1)).alias("n_orders")))
-    return out
+    return (per_inv.join(inv, line_key).groupBy("ds", *extra)
+            .agg(F.sum("_y").cast(MONEY).alias("y"), F.count(F.lit(1)).alias("n_orders")))
 
 
 def series_one_pass(invoices: DataFrame, lines: DataFrame, *, inv_key: str, inv_date: str,
                     line_key: str, amount: str, label: str) -> DataFrame:
-    """Overall and per-label daily series from one pass over the lines.
+    """Overall and per-label daily series from one pass and one exchange of the lines.
 
-    Each line is counted under ``'global'`` and under its label (an explode of
-    two entries), reduced per (invoice, series) map-side, joined once to the
-    invoice dates, then summed per (series, day).  One row per invoice and
-    series means ``count`` is the number of distinct invoices of the day.
+    Lines are summed per (invoice, label); an invoice's sums (at most one for each
+    label) and their total are then exploded into its series, so ``count`` per
+    series and day is the number of distinct invoices.  Lines without a label count
+    in the overall series only.
     """
-    two = F.explode(F.array(F.lit(GLOBAL), F.col(label))).alias("series")
-    per = (lines.select(line_key, two, F.col(amount).cast("decimal(18,2)").alias("_a"))
-           .groupBy(line_key, "series").agg(F.sum("_a").alias("_y")))
+    per = (_per_invoice(lines.withColumnRenamed(label, "series"), line_key, amount, ["series"]).groupBy(line_key)
+           .agg(F.collect_list(F.when(F.col("series").isNotNull(), F.struct("series", "_y"))).alias("_parts"), F.sum("_y").alias("_y")))
     inv = invoices.select(F.col(inv_key).alias(line_key), F.to_date(inv_date).alias("ds"))
-    return (per.join(inv, line_key).groupBy("series", "ds")
-            .agg(F.sum("_y").cast(MONEY).alias("y"), F.count(F.lit(1)).alias("n_orders")))
-
-
-def series_long(global_daily: DataFrame, by_service: DataFrame, label: str = "service") -> DataFrame:
-    g = global_daily.select(F.lit(GLOBAL).alias("series"), "ds", "y", "n_orders")
-    s = by_service.select(F.col(label).alias("series"), "ds", "y", "n_orders")
-    return g.unionByName(s)
+    whole = F.array(F.struct(F.lit(GLOBAL).alias("series"), F.col("_y")))
+    return (per.join(inv, line_key).select("ds", F.explode(F.concat(whole, "_parts")).alias("_s"))
+            .groupBy(F.col("_s.series").alias("series"), "ds")
+            .agg(F.sum("_s._y").cast(MONEY).alias("y"), F.count(F.lit(1)).alias("n_orders")))
 
 
 def series_profile(series: DataFrame) -> DataFrame:

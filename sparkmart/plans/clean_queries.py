@@ -10,9 +10,10 @@ from ..functions import money as M
 from ..functions import text as T
 from ..operators import clean as C
 from ..operators.dedup import keep_first
-from ..sources import feeds
-from ..sources.store import archive_frame
+from ..sources import files
+from ..sources import store as ST
 from . import oracle_exprs as X
+from .mart_store import FORMATS, Store
 from .oracle_feeds import with_ctes
 from .registry import query
 
@@ -58,27 +59,38 @@ CLIENT_CTES = [("clients_clean", CLIENTS_CLEAN)]
 # ---------------------------------------------------------------- raw scans
 
 
+
+
+def _scanned(spark, sf, name):
+    """The landed source files, scanned as text."""
+    store = Store.of(spark, sf)
+    store.raw(name)  # lands the files
+    df = files.scan_source(spark, name, f"{store.root}/landing/{name}", FORMATS[name])
+    return df.withColumn("seq", F.col("seq").cast("bigint"))
+
+
 @query("raw_scan_orders", with_ctes("SELECT * FROM sales", feeds=["sales"]))
 def raw_scan_orders(spark, sf):
-    return feeds.sales_feed(spark, sf)
+    return _scanned(spark, sf, "sales")
 
 
 @query("raw_scan_purchases", with_ctes("SELECT * FROM purchases", feeds=["purchases"]))
 def raw_scan_purchases(spark, sf):
-    return feeds.purchases_feed(spark, sf)
+    return _scanned(spark, sf, "purchases")
 
 
 @query("raw_scan_clients", with_ctes("SELECT * FROM clients", feeds=["clients"]))
 def raw_scan_clients(spark, sf):
-    return feeds.clients_feed(spark, sf)
+    return _scanned(spark, sf, "clients")
 
 
-@query("raw_archive", with_ctes("SELECT * FROM sales", feeds=["sales"]))
+@query("raw_archive", with_ctes("SELECT *, true AS stamped FROM sales", feeds=["sales"]))
 def raw_archive(spark, sf):
-    # headers as they appear in the spreadsheets, lower-cased by the archive
-    raw = feeds.sales_feed(spark, sf)
-    shouting = raw.toDF(*[c if c == "seq" else c.title() for c in raw.columns])
-    return archive_frame(shouting, stamp=False)
+    """The archived sales, as the current version of the raw tables has them."""
+    store = Store.of(spark, sf)
+    store.raw("sales")  # publishes the archive
+    df = ST.read_published(spark, f"{store.root}/raw", "sales")
+    return df.withColumn("seq", F.col("seq").cast("bigint")).withColumn("stamped", F.col("charge_le").isNotNull()).drop("charge_le")
 
 
 # ------------------------------------------------------------------ scalars
@@ -87,7 +99,7 @@ def raw_archive(spark, sf):
 @query("parse_dates", with_ctes(f"SELECT seq, date, {X.parse_date('date')} AS date_facture FROM sales",
                                 feeds=["sales"]))
 def parse_dates(spark, sf):
-    return feeds.sales_feed(spark, sf).select("seq", "date", D.parse_date("date").alias("date_facture"))
+    return Store.of(spark, sf).raw("sales").select("seq", "date", D.parse_date("date").alias("date_facture"))
 
 
 @query("normalise_labels", with_ctes(f"""
@@ -99,22 +111,23 @@ UNION ALL
 SELECT 'city', ville, {X.norm_city('ville')}, COUNT(*) FROM clients GROUP BY 2""",
                                      feeds=["sales", "clients"]))
 def normalise_labels(spark, sf):
-    s = feeds.sales_feed(spark, sf)
-    c = feeds.clients_feed(spark, sf)
-
-    def tally(df, kind, col, fn):
-        return (df.groupBy(F.col(col).alias("raw_value")).agg(F.count(F.lit(1)).alias("n"))
-                .select(F.lit(kind).alias("kind"), "raw_value", fn("raw_value").alias("canonical"), "n"))
-    return (tally(s, "service", "service_type", L.normalise_service)
-            .unionByName(tally(s, "status", "statut_paiement", L.normalise_status))
-            .unionByName(tally(c, "city", "ville", L.normalise_city)))
+    """One scan of each source: its labels as (kind, value) pairs, counted, then normalised once per distinct value."""
+    store = Store.of(spark, sf)
+    pair = lambda kind, col: F.struct(F.lit(kind).alias("kind"), F.col(col).alias("raw_value"))
+    sales = store.raw("sales").select(F.explode(F.array(pair("service", "service_type"), pair("status", "statut_paiement"))).alias("p"))
+    pairs = sales.select("p.*").unionByName(store.raw("clients").select(F.lit("city").alias("kind"), F.col("ville").alias("raw_value")))
+    kind, value = F.col("kind"), "raw_value"
+    canonical = (F.when(kind == "service", L.normalise_service(value)).when(kind == "status", L.normalise_status(value))
+                 .otherwise(L.normalise_city(value)))
+    return (pairs.groupBy("kind", "raw_value").agg(F.count(F.lit(1)).alias("n"))
+            .select("kind", "raw_value", canonical.alias("canonical"), "n"))
 
 
 @query("safe_numeric", with_ctes(f"""
 SELECT seq, {X.safe_number('quantite')} AS quantite_num, {X.safe_number('prix_unitaire')} AS prix_num,
        {X.safe_number('total')} AS total_num FROM sales""", feeds=["sales"]))
 def safe_numeric(spark, sf):
-    s = feeds.sales_feed(spark, sf)
+    s = Store.of(spark, sf).raw("sales")
     return s.select("seq", M.safe_number("quantite").alias("quantite_num"),
                     M.safe_number("prix_unitaire").alias("prix_num"),
                     M.safe_number("total").alias("total_num"))
@@ -126,7 +139,7 @@ SELECT seq, facture_id,
        ELSE {X.safe_number('total')} END AS DECIMAL(18,2)) AS total_ligne,
   {_BAD} AS recomputed FROM sales""", feeds=["sales"]))
 def recompute_totals(spark, sf):
-    r = C.recompute_totals(feeds.sales_feed(spark, sf))
+    r = C.recompute_totals(Store.of(spark, sf).raw("sales"))
     return r.select("seq", "facture_id", F.col("total_num").cast("decimal(18,2)").alias("total_ligne"),
                     "recomputed")
 
@@ -137,7 +150,7 @@ SELECT seq, {X.safe_number('prix_achat_total')} / 4 AS quarter,
   CAST(round_even({X.safe_number('prix_achat_total')} / 4, 2) AS DECIMAL(18,2)) AS r2
 FROM purchases""", feeds=["purchases"]))
 def round_money(spark, sf):
-    p = feeds.purchases_feed(spark, sf)
+    p = Store.of(spark, sf).raw("purchases")
     x = M.safe_number("prix_achat_total") / 4
     return p.select("seq", x.alias("quarter"), M.round_even(x, 0).cast("bigint").alias("r0"),
                     M.round_even(x, 2).cast("decimal(18,2)").alias("r2"))
@@ -148,7 +161,7 @@ SELECT seq, {_PNUM} AS amount_raw,
   CASE WHEN COALESCE({_PNUM} < 0, false) THEN abs({_PNUM}) ELSE {_PNUM} END AS amount,
   COALESCE({_PNUM} < 0, false) AS was_negative FROM purchases""", feeds=["purchases"]))
 def fix_negatives(spark, sf):
-    return C.fix_negatives(feeds.purchases_feed(spark, sf)).select("seq", "amount_raw", "amount", "was_negative")
+    return C.fix_negatives(Store.of(spark, sf).raw("purchases")).select("seq", "amount_raw", "amount", "was_negative")
 
 
 @query("drop_empty_rows", with_ctes("""
@@ -156,14 +169,14 @@ SELECT * FROM purchases WHERE NOT (date IS NULL AND fournisseur IS NULL AND arti
   AND categorie IS NULL AND quantite IS NULL AND prix_achat_total IS NULL AND mode_paiement IS NULL)""",
                                     feeds=["purchases"]))
 def drop_empty_rows(spark, sf):
-    return C.drop_empty_rows(feeds.purchases_feed(spark, sf))
+    return C.drop_empty_rows(Store.of(spark, sf).raw("purchases"))
 
 
 @query("slugify", with_ctes(f"""
 SELECT DISTINCT {X.norm_service('service_type')} AS label, {X.slugify(X.norm_service('service_type'))} AS slug
 FROM sales""", feeds=["sales"]))
 def slugify(spark, sf):
-    s = feeds.sales_feed(spark, sf).select(L.normalise_service("service_type").alias("label")).distinct()
+    s = Store.of(spark, sf).raw("sales").select(L.normalise_service("service_type").alias("label")).distinct()
     return s.select("label", T.slugify("label").alias("slug"))
 
 
@@ -174,7 +187,7 @@ def slugify(spark, sf):
 SELECT facture_id, seq, client FROM sales
 QUALIFY row_number() OVER (PARTITION BY facture_id ORDER BY seq) = 1""", feeds=["sales"]))
 def dedup_keep_first(spark, sf):
-    return keep_first(feeds.sales_feed(spark, sf), ["facture_id"], ["seq"]).select("facture_id", "seq", "client")
+    return keep_first(Store.of(spark, sf).raw("sales"), ["facture_id"], ["seq"]).select("facture_id", "seq", "client")
 
 
 @query("dedup_clients", with_ctes(f"""
@@ -183,7 +196,7 @@ SELECT {X.lower_key('nom_client')} AS nom_key,
        COUNT(*) AS n_rows
 FROM clients GROUP BY 1""", feeds=["clients"]))
 def dedup_clients(spark, sf):
-    c = feeds.clients_feed(spark, sf)
+    c = Store.of(spark, sf).raw("clients")
     key = T.lower_key("nom_client")
     # one aggregate: survivor by (ALL CAPS last, then file order) and group size
     return c.groupBy(key.alias("nom_key")).agg(
@@ -196,17 +209,17 @@ def dedup_clients(spark, sf):
 
 @query("clean_sales", with_ctes("SELECT * FROM sales_clean", feeds=["sales"], ctes=SALES_CTES))
 def clean_sales(spark, sf):
-    return C.clean_sales(feeds.sales_feed(spark, sf))
+    return C.clean_sales(Store.of(spark, sf).raw("sales"))
 
 
 @query("clean_purchases", with_ctes("SELECT * FROM purch_clean", feeds=["purchases"], ctes=PURCH_CTES))
 def clean_purchases(spark, sf):
-    return C.clean_purchases(feeds.purchases_feed(spark, sf))
+    return C.clean_purchases(Store.of(spark, sf).raw("purchases"))
 
 
 @query("clean_clients", with_ctes("SELECT * FROM clients_clean", feeds=["clients"], ctes=CLIENT_CTES))
 def clean_clients(spark, sf):
-    return C.clean_clients(feeds.clients_feed(spark, sf))
+    return C.clean_clients(Store.of(spark, sf).raw("clients"))
 
 
 @query("clean_report", with_ctes("""
@@ -219,4 +232,27 @@ SELECT COUNT(*) AS n_input,
   (SELECT SUM(CASE WHEN nom_employe IS NULL THEN 1 ELSE 0 END) FROM sales_clean)::BIGINT AS n_without_employee
 FROM sales_parsed""", feeds=["sales"], ctes=SALES_CTES))
 def clean_report(spark, sf):
-    return C.sales_report(feeds.sales_feed(spark, sf))
+    return C.sales_report(Store.of(spark, sf).raw("sales"))
+
+
+@query("clean_report_purchases", with_ctes("""
+SELECT COUNT(*) AS n_input, SUM(CASE WHEN empty THEN 1 ELSE 0 END)::BIGINT AS n_empty,
+  SUM(CASE WHEN NOT empty AND partial THEN 1 ELSE 0 END)::BIGINT AS n_incomplete,
+  SUM(CASE WHEN NOT empty AND NOT partial AND d IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_undated,
+  SUM(CASE WHEN NOT empty AND NOT partial AND d IS NOT NULL AND neg THEN 1 ELSE 0 END)::BIGINT AS n_sign_fixed,
+  (SELECT COUNT(*) FROM purch_clean) AS n_kept
+FROM (SELECT date IS NULL AND fournisseur IS NULL AND article IS NULL AND categorie IS NULL AND quantite IS NULL
+        AND prix_achat_total IS NULL AND mode_paiement IS NULL AS empty, fournisseur IS NULL OR article IS NULL AS partial,
+        """ + X.parse_date("date") + """ AS d, COALESCE(""" + X.safe_number("prix_achat_total") + """ < 0, false) AS neg FROM purchases) p""",
+                                           feeds=["purchases"], ctes=PURCH_CTES))
+def clean_report_purchases(spark, sf):
+    return C.purchases_report(Store.of(spark, sf).raw("purchases"))
+
+
+@query("clean_report_clients", with_ctes(f"""
+SELECT COUNT(*) AS n_input, (COUNT(*) - (SELECT COUNT(*) FROM clients_clean))::BIGINT AS n_duplicates,
+  SUM(CASE WHEN COALESCE({X.norm_city('v')} <> v, false) THEN 1 ELSE 0 END)::BIGINT AS n_city_normalised,
+  (SELECT COUNT(*) FROM clients_clean) AS n_kept
+FROM (SELECT {X.clean_text('ville')} AS v FROM clients) c""", feeds=["clients"], ctes=CLIENT_CTES))
+def clean_report_clients(spark, sf):
+    return C.clients_report(Store.of(spark, sf).raw("clients"))

@@ -6,8 +6,8 @@ Concept mapping: invoice = ``orders`` (one date per order), invoice line =
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import series as S
 from ..sources.tables import read_table
@@ -41,22 +41,20 @@ def series(spark: SparkSession, sf: str) -> DataFrame:
                              line_key="l_orderkey", amount="l_extendedprice", label="service")
 
 
-_SERIES: dict = {}
+def series_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The published long series table of the session's store."""
+    from .mart_store import Store
 
+    return Store.of(spark, sf).series()
 
-def series_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The long series, persisted once per (session, input folder).
-
-    It is reduced data (one row per series and active day, bounded by the
-    calendar, not by the fact volume), read many times by each evaluation,
-    drift and model plan: caching it is cheap at any scale and spares every
-    plan its repeated scans of the fact tables.  Lost blocks are rebuilt from
-    lineage.
-    """
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _SERIES:
-        _SERIES[key] = series(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
-    return _SERIES[key]
+
+def stored_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """The overall series: one partition of the store."""
+    return series_table(spark, sf).where(F.col("series") == S.GLOBAL).drop("series")
+
+
+def stored_by_service(spark: SparkSession, sf: str) -> DataFrame:
+    return series_table(spark, sf).where(F.col("series") != S.GLOBAL).withColumnRenamed("series", "service")
 
 
 DAILY_SQL = """

@@ -2,69 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.vocab import LENGTH_BOUNDS, PAYMENT_STATUSES, SERVICES
-from ..operators import clean as C
 from ..operators import mart as MT
 from ..operators import quality as Q
+from ..operators import serving as SV
 from ..operators import series as S
-from ..sources import feeds
 from . import oracle_exprs as X
 from .clean_queries import CLIENT_CTES, PURCH_CTES, SALES_CTES
+from .mart_store import Store
 from .oracle_feeds import q, with_ctes
 from .registry import query
 
 
 class Mart:
-    """Lazy handles on every mart table built from the three feeds.
+    """The mart's published tables: scans of the session's store, columns pruned."""
 
-    The three cleaned feeds are the common input of every dimension, fact
-    and check; they are persisted (memory, spilling to disk) so one plan that
-    reads them ten times computes them once.  Lost cached blocks are rebuilt
-    from lineage, so an executor loss costs a recomputation, not the job.
-    :meth:`of` keeps one mart per (session, input folder), like a mart that
-    is built once and then read by every report.
-    """
-
-    _built: dict = {}
+    def __init__(self, spark, sf):
+        self.store = Store.of(spark, sf)
 
-    @classmethod
-    def of(cls, spark, sf):
-        key = (spark.sparkContext.applicationId, sf)
-        if key not in cls._built:
-            cls._built[key] = cls(spark, sf)
-        return cls._built[key]
+    of = classmethod(lambda cls, spark, sf: cls(spark, sf))
 
-    def __init__(self, spark, sf):
-        keep = StorageLevel.MEMORY_AND_DISK
-        self.sales = C.clean_sales(feeds.sales_feed(spark, sf)).persist(keep)
-        self.purchases = C.clean_purchases(feeds.purchases_feed(spark, sf)).persist(keep)
-        self.clients_clean = C.clean_clients(feeds.clients_feed(spark, sf)).persist(keep)
-        # dimensions: one row per distinct name, small next to the facts; kept
-        # too, since every fact and check resolves keys against them
-        self.clients = MT.merge_client_sources(self.clients_clean, self.sales).persist(keep)
-        self.employees = MT.employees(self.sales).persist(keep)
-        self.services = MT.services(self.sales).persist(keep)
-        self.suppliers = MT.distinct_dimension(
-            self.purchases, "nom_fournisseur", "id_fournisseur", "nom").persist(keep)
-        self.categories = MT.distinct_dimension(
-            self.purchases, "libelle_categorie", "id_categorie", "libelle").persist(keep)
-        self.invoices = MT.fact_invoice(self.sales, self.clients, self.employees)
-        self.lines = MT.fact_line(self.sales, self.services)
-        self.purchase_facts = MT.fact_purchase(self.purchases, self.suppliers, self.categories)
+    clients = property(lambda self: self.store.mart("client"))
+    employees = property(lambda self: self.store.mart("employe"))
+    services = property(lambda self: self.store.mart("service"))
+    suppliers = property(lambda self: self.store.mart("fournisseur"))
+    categories = property(lambda self: self.store.mart("categorie_achat"))
+    invoices = property(lambda self: self.store.mart("facture"))
+    lines = property(lambda self: self.store.mart("ligne_facture"))
+    purchase_facts = property(lambda self: self.store.mart("achat"))
 
     def daily(self):
-        return S.daily_series(self.invoices, self.lines, inv_key="id_facture", inv_date="date_facture",
-                              line_key="id_facture", amount="total_ligne")
+        return self.store.mart_series().where(F.col("series") == S.GLOBAL).drop("series")
 
     def by_service(self):
-        lines = self.lines.join(self.services, "id_service").select(
-            "id_facture", "total_ligne", F.col("libelle").alias("service"))
-        return S.daily_series(self.invoices, lines, inv_key="id_facture", inv_date="date_facture",
-                              line_key="id_facture", amount="total_ligne", by="service")
+        return self.store.mart_series().where(F.col("series") != S.GLOBAL).withColumnRenamed("series", "service")
 
 
 # ----------------------------------------------------------------- SQL parts
@@ -133,7 +107,7 @@ def _sql(body):
 SELECT nom_client, telephone FROM sales_clean
 QUALIFY row_number() OVER (PARTITION BY nom_client ORDER BY seq) = 1"""))
 def dim_clients_from_sales(spark, sf):
-    return MT.clients_from_sales(C.clean_sales(feeds.sales_feed(spark, sf))).select("nom_client", "telephone")
+    return MT.clients_from_sales(Store.of(spark, sf).clean("sales")).select("nom_client", "telephone")
 
 
 @query("merge_client_sources", _sql("SELECT * FROM clients_merged"))
@@ -206,14 +180,25 @@ FROM sales_clean s LEFT JOIN (
     SELECT {X.clean_text('nom_client')} AS n, seq FROM clients) c WHERE n IS NOT NULL GROUP BY n) d
 ) r ON md5({X.strip('s.nom_client')}) = r.id_client"""))
 def merge_duplicate_clients(spark, sf):
-    raw = feeds.clients_feed(spark, sf).select(T.clean_text("nom_client").alias("nom_client"), "seq")
+    raw = Store.of(spark, sf).raw("clients").select(T.clean_text("nom_client").alias("nom_client"), "seq")
     dim = (raw.filter(F.col("nom_client").isNotNull()).groupBy("nom_client").agg(F.min("seq").alias("seq"))
            .withColumn("id_client", F.md5("nom_client")))
-    sales = C.clean_sales(feeds.sales_feed(spark, sf))
+    sales = Store.of(spark, sf).clean("sales")
     inv = sales.select(F.col("facture_id").alias("id_facture"), F.md5(T.strip("nom_client")).alias("id_client"))
     return MT.merge_duplicate_clients(dim, inv)
 
 
+@query("merge_duplicate_clients_kept", _sql(f"""
+SELECT md5(n) AS id_client, n AS nom_client, seq FROM (
+  SELECT n, min(seq) AS seq FROM (SELECT {X.clean_text('nom_client')} AS n, seq FROM clients) c WHERE n IS NOT NULL GROUP BY n) d
+QUALIFY row_number() OVER (PARTITION BY {_LK('n')} ORDER BY {X.is_upper('n')}, seq) = 1"""))
+def merge_duplicate_clients_kept(spark, sf):
+    raw = Store.of(spark, sf).raw("clients").select(T.clean_text("nom_client").alias("nom_client"), "seq")
+    dim = (raw.filter(F.col("nom_client").isNotNull()).groupBy("nom_client").agg(F.min("seq").alias("seq"))
+           .select(F.md5("nom_client").alias("id_client"), "nom_client", "seq"))
+    return MT.without_duplicate_clients(dim)
+
+
 # ------------------------------------------------------------ data quality
 
 
@@ -251,16 +236,22 @@ NOT_NULL = {
     "ligne_facture": ["description", "quantite", "total_ligne", "id_facture", "id_service"],
     "fournisseur": ["nom"], "categorie_achat": ["libelle"],
     "achat": ["date_achat", "libelle_article", "quantite", "prix_achat_total", "id_fournisseur", "id_categorie"],
+    "serie": ["series", "ds", "y", "n_orders"],
+    "prevision": ["series", "ds", "yhat", "yhat_lower", "yhat_upper"],
 }
 _TABLE_SQL = {"client": "clients_merged", "employe": "employees", "service": "services",
               "facture": "invoices", "ligne_facture": "lines", "fournisseur": "suppliers",
-              "categorie_achat": "categories", "achat": "purchase_facts"}
+              "categorie_achat": "categories", "achat": "purchase_facts",
+              "serie": "(SELECT 'global' AS series, ds, y, n_orders FROM mart_daily UNION ALL SELECT service, ds, y, n_orders FROM mart_by_service)",
+              # the weekly forecast's rows: 180 days for each series, every value set
+              "prevision": "(SELECT s AS series, s AS ds, s AS yhat, s AS yhat_lower, s AS yhat_upper FROM (SELECT 'x' AS s FROM services LIMIT 1))"}
 
 
 def _mart_tables(m: Mart):
     return {"client": m.clients, "employe": m.employees, "service": m.services, "facture": m.invoices,
             "ligne_facture": m.lines, "fournisseur": m.suppliers, "categorie_achat": m.categories,
-            "achat": m.purchase_facts}
+            "achat": m.purchase_facts, "serie": m.store.mart_series(),
+            "prevision": SV.weekly_repeat_forecast(m.store.mart_series())}
 
 
 @query("dq_not_null", _sql("\nUNION ALL ".join(
@@ -325,17 +316,15 @@ UNION ALL SELECT 'ligne_facture.id_service', COUNT(*) FILTER (WHERE id_service I
 UNION ALL SELECT 'achat.id_fournisseur', COUNT(*) FILTER (WHERE id_fournisseur IS NULL) FROM purchase_facts
 UNION ALL SELECT 'achat.id_categorie', COUNT(*) FILTER (WHERE id_categorie IS NULL) FROM purchase_facts"""))
 def dq_orphans(spark, sf):
+    """One aggregate per stored table; the only join is the lines' anti-join to the invoices."""
     m = Mart.of(spark, sf)
-    named_emp = m.sales.select(F.col("facture_id").alias("id_facture"), "nom_employe")
-    inv_emp = m.invoices.join(named_emp, "id_facture")
+    lost = F.col("id_employe").isNull() & F.col("nom_employe").isNotNull()
     parts = [
-        Q.count_where(m.invoices, F.col("id_client").isNull(), "facture.id_client"),
-        Q.count_where(inv_emp, F.col("id_employe").isNull() & F.col("nom_employe").isNotNull(),
-                      "facture.id_employe"),
+        Q.counts_where(m.store.mart_invoices_with_source(), {"facture.id_client": F.col("id_client").isNull(), "facture.id_employe": lost}),
         Q.orphans(m.lines, "id_facture", m.invoices, "id_facture", "ligne_facture.id_facture"),
-        Q.count_where(m.lines, F.col("id_service").isNull(), "ligne_facture.id_service"),
-        Q.count_where(m.purchase_facts, F.col("id_fournisseur").isNull(), "achat.id_fournisseur"),
-        Q.count_where(m.purchase_facts, F.col("id_categorie").isNull(), "achat.id_categorie"),
+        Q.counts_where(m.lines, {"ligne_facture.id_service": F.col("id_service").isNull()}),
+        Q.counts_where(m.purchase_facts, {"achat.id_fournisseur": F.col("id_fournisseur").isNull(),
+                                          "achat.id_categorie": F.col("id_categorie").isNull()}),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -393,9 +382,7 @@ SELECT a.n AS n_fact_null, b.n AS n_source_null, (a.n <= b.n) AS ok FROM
   (SELECT COUNT(*) FILTER (WHERE nom_employe IS NULL) AS n FROM sales_clean) b"""))
 def dq_null_employee(spark, sf):
     m = Mart.of(spark, sf)
-    # one pass: the invoice facts carry the source name beside the resolved key
-    src = m.sales.select(F.col("facture_id").alias("id_facture"), "nom_employe")
-    j = m.invoices.join(src, "id_facture")
-    a = j.agg(F.sum(F.when(F.col("id_employe").isNull(), 1).otherwise(0)).cast("bigint").alias("n_fact_null"),
-              F.sum(F.when(F.col("nom_employe").isNull(), 1).otherwise(0)).cast("bigint").alias("n_source_null"))
+    a = m.store.mart_invoices_with_source().agg(  # one pass: the stored invoices carry the source's name beside the resolved key
+        F.sum(F.when(F.col("id_employe").isNull(), 1).otherwise(0)).cast("bigint").alias("n_fact_null"),
+        F.sum(F.when(F.col("nom_employe").isNull(), 1).otherwise(0)).cast("bigint").alias("n_source_null"))
     return a.select("*", (F.col("n_fact_null") <= F.col("n_source_null")).alias("ok"))

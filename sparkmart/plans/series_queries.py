@@ -27,7 +27,7 @@ def daily_series_by_service(spark, sf):
 
 @query("series_read", _sql("SELECT series, ds, y, n_orders FROM series"))
 def series_read(spark, sf):
-    return I.series(spark, sf).orderBy("series", "ds")
+    return I.series_table(spark, sf).orderBy("series", "ds")
 
 
 @query("kpi_totals", _sql("""
@@ -36,14 +36,14 @@ SELECT (CAST(SUM(y) * 100 AS BIGINT) * 2 + 100) // 200 AS ca_total,
        (CAST(SUM(y) * 100 AS BIGINT) * 2 + COUNT(*) * 100) // (COUNT(*) * 200) AS ca_moyen_jour
 FROM daily HAVING COUNT(*) > 0"""))
 def kpi_totals(spark, sf):
-    return K.kpi_totals(I.daily(spark, sf))
+    return K.kpi_totals(I.stored_daily(spark, sf))
 
 
 @query("kpi_top_service", _sql("""
 SELECT service AS top_service, CAST(SUM(y) AS DECIMAL(38,2)) AS top_y
 FROM by_service GROUP BY service ORDER BY SUM(y) DESC, service LIMIT 1"""))
 def kpi_top_service(spark, sf):
-    return K.top_service(I.by_service(spark, sf))
+    return K.top_service(I.stored_by_service(spark, sf))
 
 
 @query("kpi_summary", _sql("""
@@ -54,7 +54,7 @@ SELECT (CAST(SUM(y) * 100 AS BIGINT) * 2 + 100) // 200 AS ca_total,
                  ORDER BY SUM(y) DESC, service LIMIT 1), 'N/A') AS top_service
 FROM daily HAVING COUNT(*) > 0"""))
 def kpi_summary(spark, sf):
-    return K.kpi_summary(I.series(spark, sf))
+    return K.kpi_summary(I.series_table(spark, sf))
 
 
 @query("kpi_delta", _sql("""
@@ -64,7 +64,7 @@ SELECT CAST(SUM(CASE WHEN rn <= 30 THEN y END) AS DECIMAL(38,2)) AS last_y,
              / CAST(SUM(CASE WHEN rn > 30 THEN y END) AS DOUBLE), 1) AS delta_pct
 FROM (SELECT y, row_number() OVER (ORDER BY ds DESC) AS rn FROM daily) t WHERE rn <= 60"""))
 def kpi_delta(spark, sf):
-    return K.kpi_delta(I.daily(spark, sf))
+    return K.kpi_delta(I.stored_daily(spark, sf))
 
 
 @query("revenue_by_month", _sql("""
@@ -72,21 +72,21 @@ SELECT CAST(date_trunc('month', ds) AS DATE) AS month, service, CAST(SUM(y) AS D
        SUM(n_orders)::BIGINT AS n_orders
 FROM by_service GROUP BY 1, 2"""))
 def revenue_by_month(spark, sf):
-    return K.revenue_by_month(I.by_service(spark, sf))
+    return K.revenue_by_month(I.stored_by_service(spark, sf))
 
 
 @query("revenue_by_service", _sql("""
 SELECT service, CAST(SUM(y) AS DECIMAL(38,2)) AS y, SUM(n_orders)::BIGINT AS n_orders
 FROM by_service GROUP BY 1"""))
 def revenue_by_service(spark, sf):
-    return K.revenue_by_service(I.by_service(spark, sf))
+    return K.revenue_by_service(I.stored_by_service(spark, sf))
 
 
 @query("revenue_share", _sql("""
 SELECT service, y, round(CAST(y AS DOUBLE) * 100 / CAST(SUM(y) OVER () AS DOUBLE), 1) AS share_pct
 FROM (SELECT service, CAST(SUM(y) AS DECIMAL(38,2)) AS y FROM by_service GROUP BY 1) t"""))
 def revenue_share(spark, sf):
-    return K.revenue_share(I.by_service(spark, sf))
+    return K.revenue_share(I.stored_by_service(spark, sf))
 
 
 _TRAIL = """SELECT series, ds, y, n_orders FROM (
@@ -99,7 +99,7 @@ _ROLL = f"""SELECT series, CAST(date_trunc('month', ds) AS DATE) AS month, CAST(
 
 @query("trailing_history", _sql(_TRAIL))
 def trailing_history(spark, sf):
-    return S.trailing_history(I.series(spark, sf))
+    return S.trailing_history(I.series_table(spark, sf))
 
 
 @query("month_rollup_min_days", _sql(f"""
@@ -107,7 +107,7 @@ SELECT series, month, y, n_days FROM (
   SELECT *, max(n_days) OVER (PARTITION BY series) AS mx FROM ({_ROLL}) r) t
 WHERE n_days >= 20 OR mx < 20"""))
 def month_rollup_min_days(spark, sf):
-    return S.keep_full_months(S.month_rollup(S.trailing_history(I.series(spark, sf))))
+    return S.keep_full_months(S.month_rollup(S.trailing_history(I.series_table(spark, sf))))
 
 
 @query("months_excluded", _sql(f"""
@@ -115,7 +115,7 @@ SELECT series, month, y, n_days FROM (
   SELECT *, max(n_days) OVER (PARTITION BY series) AS mx FROM ({_ROLL}) r) t
 WHERE n_days < 20 AND mx >= 20"""))
 def months_excluded(spark, sf):
-    return S.excluded_months(S.month_rollup(S.trailing_history(I.series(spark, sf))))
+    return S.excluded_months(S.month_rollup(S.trailing_history(I.series_table(spark, sf))))
 
 
 @query("series_profile", _sql("""
@@ -124,4 +124,4 @@ SELECT series, min(ds) AS first_ds, max(ds) AS last_ds,
        round(COUNT(*) / CAST(greatest(date_diff('day', min(ds), max(ds)), 1) AS DOUBLE), 4) AS density
 FROM series GROUP BY series"""))
 def series_profile(spark, sf):
-    return S.series_profile(I.series(spark, sf))
+    return S.series_profile(I.series_table(spark, sf))

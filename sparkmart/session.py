@@ -48,16 +48,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def shared_dir(spark: SparkSession, name: str = "") -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) is a temporary folder created and registered.
+    ``spark.checkpoint.dir`` is read from the session; only where it is unset and
+    every task runs inside this process (local tests) is a temporary folder made.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="sparkmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
-    path = os.path.join(base, f"{name or 'work'}-{uuid.uuid4().hex[:12]}")
-    return path
+    return f"{base.rstrip('/')}/{name or 'work'}-{uuid.uuid4().hex[:12]}"
 
 
 #: Applications that have the package already.

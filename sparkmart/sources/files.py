@@ -6,11 +6,8 @@ all ``string`` and cleaning happens later with explicit, NULL-safe casts.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 # Logical source name -> expected header (as it appears in the files).
 SOURCE_HEADERS = {
@@ -22,36 +19,39 @@ SOURCE_HEADERS = {
 }
 
 
-def text_schema(columns: Iterable[str]) -> StructType:
-    return StructType([StructField(c, StringType(), True) for c in columns])
-
-
 def scan_text(spark: SparkSession, path: str, fmt: str = "csv",
               columns: list[str] | None = None, **options) -> DataFrame:
     """Read a CSV / JSON / Parquet source with every column as text.
 
-    CSV headers are trimmed and lower-cased; for CSV an explicit all-string
-    schema avoids an inference pass over the files.
+    Columns are matched by their trimmed, lower-case header name, so files with
+    reordered or additional columns read right; a missing column is an error.
+    Nothing is inferred: a CSV scan reads the header line only to name the columns.
     """
-    reader = spark.read
+    reader = spark.read.options(**options)
     if fmt == "csv":
-        reader = reader.option("header", True).option("multiLine", False)
-        if columns:
-            reader = reader.schema(text_schema(columns)).option("enforceSchema", True)
-        df = reader.options(**options).csv(path)
+        df = reader.option("header", True).option("inferSchema", False).csv(path)
     elif fmt == "json":
-        df = reader.options(**options).schema(text_schema(columns)).json(path) if columns \
-            else reader.options(**options).option("primitivesAsString", True).json(path)
+        df = reader.option("primitivesAsString", True).json(path)
     elif fmt == "parquet":
-        df = reader.options(**options).parquet(path)
+        df = reader.parquet(path)
     else:
         raise ValueError(f"unsupported format {fmt}")
-    df = df.toDF(*[c.strip().lower() for c in df.columns])
-    return df.select([F.col(c).cast("string").alias(c) for c in df.columns])
+    by_name = {c.strip().lower(): c for c in df.columns}
+    wanted = [c.strip().lower() for c in columns] if columns else list(by_name)
+    missing = [c for c in wanted if c not in by_name]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}")
+    return df.select([F.col(f"`{by_name[c]}`").cast("string").alias(c) for c in wanted])
 
 
 def scan_source(spark: SparkSession, name: str, path: str, fmt: str = "csv") -> DataFrame:
-    return scan_text(spark, path, fmt, SOURCE_HEADERS[name] if fmt != "parquet" else None)
+    """One registered source; ``seq`` (arrival order) is kept where the files have it."""
+    df = scan_text(spark, path, fmt)
+    wanted = [c.lower() for c in SOURCE_HEADERS[name]]
+    missing = [c for c in wanted if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}")
+    return df.select(*(["seq"] if "seq" in df.columns else []), *wanted)
 
 
 def scan_all(spark: SparkSession, registry: dict[str, tuple[str, str]]) -> dict[str, DataFrame]:

@@ -1,21 +1,22 @@
-"""Sinks: raw archive, versioned table publish, partition replace, model params.
-
-Tables live on the shared file system (HDFS / object store / local in
-tests).  A full replace writes a *new* version directory and then switches a
-small pointer file, so readers never see a half-written table and a failed
-job leaves the previous version in place (the reference's truncate + insert
-has an empty-table window).  File-system calls go through Hadoop's
-``FileSystem`` of the session, never through the driver's local disk.
+"""Sinks: raw archive, versioned publish, partition replace.
+
+Tables live on the shared file system (HDFS / object store / local in tests).  A
+full replace writes a *new* version folder and then adds one numbered, immutable
+manifest that names it, so readers never see half-written or missing tables and a
+failed job leaves the previous version in place.  File-system calls go through
+Hadoop's ``FileSystem`` of the session, never through the driver's local disk.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-POINTER = "_CURRENT"
+MANIFESTS = "_manifests"
 
 
 def archive_frame(raw: DataFrame, stamp: bool = True) -> DataFrame:
@@ -24,62 +25,117 @@ def archive_frame(raw: DataFrame, stamp: bool = True) -> DataFrame:
     return df.withColumn("charge_le", F.current_timestamp()) if stamp else df
 
 
-def write_raw_archive(raw: dict[str, DataFrame], root: str) -> None:
-    """Full replace of each raw table; every anomaly is kept as text."""
-    for name, df in raw.items():
-        archive_frame(df).write.mode("overwrite").parquet(f"{root}/raw/{name}")
-
-
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p, jvm = _fs(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
-    out = fs.create(tmp, True)
-    out.write(bytearray(text.encode("utf-8")))
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    fs, p, _ = _fs(spark, folder)
+    return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _number(name: str) -> int:
+    return int(name.removesuffix(".json"))
+
+
+def commit(spark: SparkSession, root: str, content: dict, number: int | None = None) -> int:
+    """Add the next manifest (or manifest ``number``) of ``root``: a complete file under its final name at once.
+
+    Manifests are never changed; readers take the one with the highest number, so
+    a table set switches in one step and is there at every moment.
+    """
+    folder = f"{root}/{MANIFESTS}"
+    fs, p, jvm = _fs(spark, folder)
+    fs.mkdirs(p)
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{root}/_tmp-{uuid.uuid4().hex}.json")
+    out = fs.create(tmp, False)
+    out.write(bytearray(json.dumps(content).encode("utf-8")))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    n = number if number is not None else max(map(_number, _manifests(spark, root)), default=-1) + 1
+    while True:
+        to = jvm.org.apache.hadoop.fs.Path(f"{folder}/{n:012d}.json")
+        if not fs.exists(to) and fs.rename(tmp, to):
+            return n
+        if number is not None:  # somebody has committed it: theirs counts
+            fs.delete(tmp, False)
+            return n
+        n += 1
+
 
+def _manifests(spark: SparkSession, root: str) -> list[str]:
+    return [x for x in _names(spark, f"{root}/{MANIFESTS}") if x.endswith(".json")]
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p, jvm = _fs(spark, path)
-    if not fs.exists(p):
+
+def manifest(spark: SparkSession, root: str) -> dict | None:
+    """The current manifest of ``root`` (None before the first)."""
+    names = _manifests(spark, root)
+    if not names:
         return None
-    stream = fs.open(p)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    fs, p, jvm = _fs(spark, f"{root}/{MANIFESTS}/{names[-1]}")
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
     line = reader.readLine()
     reader.close()
-    return line
+    return {"number": _number(names[-1])} | json.loads(line)
 
 
-def publish(df: DataFrame, table_root: str, version: str | None = None,
-            partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as a new version of the table, then switch the pointer."""
+def publish_all(tables: dict[str, DataFrame], root: str, version: str | None = None,
+                partition_by: dict[str, list[str]] | None = None) -> str:
+    """Write all tables as one new version, then commit one manifest for the set."""
     version = version or uuid.uuid4().hex[:16]
-    target = f"{table_root}/v={version}"
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(target)
-    _write_text(df.sparkSession, f"{table_root}/{POINTER}", version)
+    spark, schemas = next(iter(tables.values())).sparkSession, {}
+    for name, df in tables.items():
+        w = df.write.mode("overwrite")
+        if (partition_by or {}).get(name):
+            w = w.partitionBy(*partition_by[name])
+        w.parquet(f"{root}/v={version}/{name}")
+        schemas[name] = df.schema.json()
+    commit(spark, root, {"version": version, "schemas": schemas})
     return version
 
 
+def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One table of the current version of ``root``."""
+    m = manifest(spark, root)
+    if m is None:
+        raise FileNotFoundError(f"no published version under {root}")
+    schema = StructType.fromJson(json.loads(m["schemas"][name]))
+    return spark.read.schema(schema).parquet(f"{root}/v={m['version']}/{name}").select(*schema.names)
+
+
+def retain(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete all but the last ``keep`` published versions; the deleted versions' names."""
+    names, gone = _manifests(spark, root), []
+    for old in names[:-keep]:
+        fs, p, jvm = _fs(spark, f"{root}/{MANIFESTS}/{old}")
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+        version = json.loads(reader.readLine())["version"]
+        reader.close()
+        fs.delete(p, False)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/v={version}"), True)
+        gone.append(version)
+    return gone
+
+
+def publish(df: DataFrame, table_root: str, version: str | None = None,
+            partition_by: list[str] | None = None) -> str:
+    """Publish a single table."""
+    return publish_all({"data": df}, table_root, version, {"data": partition_by or []})
+
+
 def current_version(spark: SparkSession, table_root: str) -> str | None:
-    return _read_text(spark, f"{table_root}/{POINTER}")
+    m = manifest(spark, table_root)
+    return m and m["version"]
 
 
 def read_current(spark: SparkSession, table_root: str) -> DataFrame:
-    v = current_version(spark, table_root)
-    if v is None:
-        raise FileNotFoundError(f"no published version under {table_root}")
-    return spark.read.parquet(f"{table_root}/v={v}")
+    return read_published(spark, table_root, "data")
+
+
+def write_raw_archive(raw: dict[str, DataFrame], root: str) -> str:
+    """Full replace of all raw tables as one version; every anomaly is kept as text."""
+    return publish_all({name: archive_frame(df) for name, df in raw.items()}, root)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
@@ -91,10 +147,3 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> Non
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
-
-
-def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)

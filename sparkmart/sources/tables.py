@@ -13,24 +13,11 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str,
-               min_partitions: int | None = None) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """Parquet scan; naming the columns keeps ``ReadSchema`` to what is used.
 
-    Parallelism floor: a parquet split cannot be smaller than a row group,
-    so a small table written as one row group scans in a single task and all
-    the row-level work fused into that stage runs on one core.  When the
-    scan has fewer partitions than ``min_partitions`` (default: the
-    cluster's default parallelism), the pruned columns are spread round-robin
-    over that many partitions.  A large input (many files / row groups)
-    already has more partitions than cores and is left as it is, so no
-    shuffle is added where the data is big.  Filters still reach the scan
-    (they are pushed through a repartition).
+    The number of partitions follows the files' row groups and
+    ``spark.sql.files.maxPartitionBytes`` alone, whatever the number of cores.
     """
     df = spark.read.parquet(table_path(sf_dir, name))
-    if cols:
-        df = df.select(*cols)
-    floor = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < floor:
-        df = df.repartition(floor)
-    return df
+    return df.select(*cols) if cols else df

@@ -3,6 +3,7 @@
 import os
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from sparkmart.operators import clean as C
@@ -26,11 +27,23 @@ def test_csv_scan_keeps_text_and_trims_header(spark):
     assert r.telephone == "007" and r.email == "nan"      # leading zero kept: nothing inferred
 
 
+def test_csv_columns_are_matched_by_name(spark):
+    d = _dir(spark, "csv")
+    os.makedirs(d)
+    with open(os.path.join(d, "clients.csv"), "w", encoding="utf-8") as fh:
+        fh.write("Extra,Notes,Ville,Email,Telephone,Entreprise,Nom_Client\nx,n,PN,e@x,007,Co,Acme\n")
+    r = FS.scan_source(spark, "clients", d, "csv").collect()[0]
+    assert r.asDict() == {"nom_client": "Acme", "entreprise": "Co", "telephone": "007", "email": "e@x", "ville": "PN", "notes": "n"}
+    with pytest.raises(ValueError, match="missing columns"):
+        FS.scan_source(spark, "sales", d, "csv")
+
+
 def test_json_scan_all_text(spark):
     d = _dir(spark, "json")
     os.makedirs(d)
     with open(os.path.join(d, "p.json"), "w", encoding="utf-8") as fh:
-        fh.write('{"Date": "01/06/2024", "Quantite": 3, "Prix_Achat_Total": -5.5}\n')
+        fh.write('{"Date": "01/06/2024", "Fournisseur": "F", "Article": "A", "Categorie": "C", "Quantite": 3, '
+                 '"Prix_Achat_Total": -5.5, "Mode_Paiement": null}\n')
     df = FS.scan_all(spark, {"purchases": (d, "json")})["purchases"]
     assert dict(df.dtypes)["quantite"] == "string"
     assert df.collect()[0].prix_achat_total == "-5.5"
@@ -48,7 +61,7 @@ def test_publish_switches_pointer_and_keeps_old_version(spark):
     v2 = ST.publish(spark.range(5), root, "v2")
     assert (v1, v2) == ("v1", "v2") and ST.current_version(spark, root) == "v2"
     assert ST.read_current(spark, root).count() == 5
-    assert spark.read.parquet(f"{root}/v=v1").count() == 3
+    assert spark.read.parquet(f"{root}/v=v1/data").count() == 3
 
 
 def test_replace_partitions_touches_only_given_series(spark):
@@ -62,7 +75,8 @@ def test_replace_partitions_touches_only_given_series(spark):
 
 def test_clean_all_builds_each_job(spark, sf_small):
     from sparkmart.sources import feeds
-    raw = {"sales": feeds.sales_feed(spark, sf_small), "clients": feeds.clients_feed(spark, sf_small)}
+    raw = {"sales": feeds.sales_feed(spark, sf_small), "clients": feeds.clients_feed(spark, sf_small),
+           "purchases": feeds.purchases_feed(spark, sf_small)}
     out = C.clean_all(raw)
-    assert sorted(out) == ["clients", "sales"]
+    assert sorted(out) == ["clients", "purchases", "sales"] and out["purchases"].filter("prix_achat_total < 0").count() == 0
     assert out["sales"].filter(F.col("date_facture").isNull()).count() == 0
