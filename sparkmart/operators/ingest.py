@@ -14,13 +14,14 @@ serves a daily batch and a streaming micro-batch (``streaming.orders``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ids import invoice_id, name_key
+from ..functions.ids import invoice_key, invoice_number, name_key
 from ..functions.text import lower_key
 from ..functions.vocab import (ORDER_CLIENT_MAX, ORDER_DESCRIPTION_MAX, ORDER_EMPLOYEE_MAX,
                                ORDER_PHONE_MAX, PAYMENT_STATUSES, SERVICES)
+from .dedup import keep_first
 
 DEFAULT_STATUS = "Non payé"
 
@@ -57,24 +58,43 @@ def reasons(orders: DataFrame) -> Column:
 
 
 def validate_orders(orders: DataFrame) -> DataFrame:
-    """All events with ``reject_reasons``, ``is_valid``, defaults and total."""
+    """All events with ``reject_reasons``, ``is_valid``, defaults and total.
+
+    An order without a date has the day of its arrival (``arrived_on`` of the event,
+    where the feed has it), so a replay gives the same row on any day.
+    """
     r = reasons(orders)
+    arrived = F.col("arrived_on") if "arrived_on" in orders.columns else F.current_date()
     return orders.select(
         "*",
         r.alias("reject_reasons"), (r == "").alias("is_valid"),
         F.coalesce(F.col("statut_paiement"), F.lit(DEFAULT_STATUS)).alias("statut"),
-        F.coalesce(F.col("date_facture"), F.current_date()).alias("date_cmd"),
+        F.coalesce(F.col("date_facture"), arrived).alias("date_cmd"),
         F.when(r == "", F.col("quantite") * F.col("prix_unitaire")).alias("total"),
     )
 
 
 def accepted(orders: DataFrame) -> DataFrame:
-    """Valid events with their invoice id (hashed from the event key)."""
+    """Valid events with their invoice key and display number (both hashed from the event key)."""
     v = validate_orders(orders).filter("is_valid")
-    return v.select("*", invoice_id("date_cmd", "event_key").alias("facture_id"),
+    return v.select("*", invoice_key("event_key").alias("facture_id"), invoice_number("date_cmd", "event_key").alias("facture_no"),
                     F.when(F.col("telephone") == "", None).otherwise(F.col("telephone")).alias("tel"))
 
 
+def with_known_service(orders: DataFrame, services: DataFrame) -> DataFrame:
+    """Validated events; one whose service is not in the dimension is rejected with ``service:unknown``."""
+    svc = services.select(F.col("libelle").alias("service"), "id_service")
+    v = validate_orders(orders).join(svc, "service", "left")
+    unknown = F.col("is_valid") & F.col("id_service").isNull()
+    return (v.withColumn("reject_reasons", F.when(unknown, F.lit("service:unknown")).otherwise(F.col("reject_reasons")))
+            .withColumn("is_valid", F.col("is_valid") & ~unknown))
+
+
+def rejected(orders: DataFrame, services: DataFrame) -> DataFrame:
+    """Events that are not taken, with their reasons."""
+    return with_known_service(orders, services).filter(~F.col("is_valid"))
+
+
 def upsert_clients(dim: DataFrame, orders: DataFrame) -> DataFrame:
     """Client dimension after the batch (``dim``: id_client, nom_client, telephone, …).
 
@@ -108,22 +128,29 @@ def upsert_employees(dim: DataFrame, orders: DataFrame) -> DataFrame:
 def order_facts(orders: DataFrame, services: DataFrame) -> DataFrame:
     """Invoice + line of every accepted order (one row: both parts together).
 
-    Client and employee keys are the derived keys of the upserted rows; the
-    service is resolved against its dimension (AQE broadcasts it from its
-    measured size); a miss leaves a NULL key for the quality checks.
+    Client and employee keys are the derived keys of the upserted rows; the service is
+    looked up in its dimension, and an order whose service is not there is rejected
+    (see :func:`rejected`).  :func:`invoices_of` and :func:`lines_of` split the two tables.
     """
     a = accepted(orders)
     svc = services.select(F.col("libelle").alias("service"), "id_service")
-    j = a.join(svc, "service", "left")
+    j = a.join(svc, "service")
     return j.select(
-        F.col("facture_id").alias("id_facture"), F.col("date_cmd").alias("date_facture"),
+        F.col("facture_id").alias("id_facture"), "facture_no", F.col("date_cmd").alias("date_facture"),
         F.col("statut").alias("statut_paiement"),
         name_key(F.col("client")).alias("id_client"), name_key(F.col("employe")).alias("id_employe"),
         "description", "quantite", "prix_unitaire", F.col("total").alias("total_ligne"), "id_service",
         "event_key")
 
 
+def invoices_of(facts: DataFrame) -> DataFrame:
+    return facts.select("id_facture", "facture_no", "date_facture", "statut_paiement", "id_client", "id_employe", "event_key")
+
+
+def lines_of(facts: DataFrame) -> DataFrame:
+    return facts.select("id_facture", "description", "quantite", "prix_unitaire", "total_ligne", "id_service")
+
+
 def first_per_event(orders: DataFrame) -> DataFrame:
     """Drop repeated deliveries of the same event (at-least-once sources)."""
-    w = Window.partitionBy("event_key").orderBy("seq")
-    return orders.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return keep_first(orders, ["event_key"], ["seq"])

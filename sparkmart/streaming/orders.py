@@ -2,15 +2,16 @@
 
 ``readStream`` over a landing folder of order files -> ``foreachBatch``:
 
-1. repeated deliveries of an event inside the batch are dropped;
-2. accepted orders become invoice+line facts, rejected ones go to a reject
-   table with their reasons; both are written to the ``batch_id=<n>``
-   partition with dynamic overwrite, so a replayed batch (after an executor
-   or driver loss) rewrites its own partition instead of appending twice;
-3. the client and employee dimensions are upserted into version
-   ``b<n>`` computed from version ``b<n-1>`` (or ``base``), then the
-   pointer is switched: a replay recomputes the same version from the same
-   input, and readers never see a half-written dimension.
+1. repeated deliveries are dropped, inside the batch and against all invoices that
+   earlier batches stored (an anti-join on the event key);
+2. accepted orders become rows of the invoice and the line table, rejected ones go to
+   the reject table with their reasons; the client and employee dimensions are upserted
+   in hashed buckets, of which only those that the batch touches are rewritten; the
+   daily revenue of the touched days is computed again from the stored facts;
+3. one manifest commits the batch: it names every file set that readers may see.  Until
+   it is there nothing of the batch is visible, and a batch that has one is not
+   processed again, so a replay after a crash at any point neither loses nor doubles
+   an order, and no reader sees an invoice without its line or client.
 
 The checkpoint and every table live under folders the caller passes (the
 cluster's shared checkpoint folder in the registered query).
@@ -18,38 +19,108 @@ cluster's shared checkpoint folder in the registered query).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..functions.text import lower_key
 from ..operators import ingest as G
-from ..sources.store import publish, replace_partitions
+from ..sources.store import commit, manifest
 
 REJECT_COLS = ["event_key", "seq", "client", "service", "reject_reasons"]
+#: Buckets of a dimension; a batch rewrites those that hold one of its names.
+BUCKETS = 32
+_NAME = {"client": "nom_client", "employe": "nom_employe"}
+
 
+def _bucket(name):
+    return F.pmod(F.xxhash64(lower_key(name)), F.lit(BUCKETS)).cast("int")
 
-def _version(batch_id: int) -> str:
-    return f"b{batch_id:09d}"
 
+def _write(df: DataFrame, path: str, content: dict, table: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+    content["files"].setdefault(table, []).append(path)
+    content["schemas"].setdefault(table, df.schema.json())
 
-def _previous(batch_id: int) -> str:
-    return "base" if batch_id == 0 else _version(batch_id - 1)
+
+def seed_dimensions(clients: DataFrame, employees: DataFrame, root: str) -> None:
+    """Commit the starting dimensions as the manifest before the first batch."""
+    content: dict = {"batch": -1, "files": {}, "schemas": {}, "buckets": {}}
+    for table, df in (("client", clients), ("employe", employees)):
+        path = f"{root}/{table}/base"
+        df.withColumn("bucket", _bucket(_NAME[table])).write.mode("overwrite").partitionBy("bucket").parquet(path)
+        content["buckets"][table] = {str(r[0]): f"{path}/bucket={r[0]}" for r in
+                                     df.select(_bucket(_NAME[table])).distinct().collect()}  # at most BUCKETS
+        content["schemas"][table] = df.schema.json()
+    commit(clients.sparkSession, root, content)
+
+
+def read_table(spark: SparkSession, root: str, table: str, buckets: list[int] | None = None) -> DataFrame:
+    """A table as the last manifest names it (of a dimension also some buckets only)."""
+    return _read(spark, manifest(spark, root), table, buckets)
+
+
+def _read(spark: SparkSession, content: dict, table: str, buckets: list[int] | None = None) -> DataFrame:
+    if table in content["buckets"]:
+        paths = [p for b, p in content["buckets"][table].items() if buckets is None or int(b) in buckets]
+    else:
+        paths = content["files"].get(table, [])
+    if not paths:
+        if table not in content["schemas"]:
+            raise FileNotFoundError(f"no table {table} yet")
+        return spark.createDataFrame([], StructType.fromJson(json.loads(content["schemas"][table])))
+    return spark.read.parquet(*paths)
+
+
+def read_days(spark: SparkSession, root: str) -> DataFrame:
+    """(ds, y, n_orders, rafraichi_le): each day as the last batch that touched it left it."""
+    last = F.max_by(F.struct("y", "n_orders", "rafraichi_le"), "batch_id")
+    return read_table(spark, root, "jours").groupBy("ds").agg(last.alias("d")).select("ds", "d.*")
+
+
+def _upserted(spark: SparkSession, content: dict, table: str, batch: DataFrame, name: str, upsert, folder: str) -> dict[str, str]:
+    """Rewrite the buckets that hold one of the batch's names; the new places of all buckets."""
+    touched = [r[0] for r in batch.select(_bucket(name)).distinct().collect()]  # at most BUCKETS
+    if not touched:
+        return content["buckets"][table]
+    path = f"{folder}/{table}"
+    after = upsert(_read(spark, content, table, touched), batch)
+    after.withColumn("bucket", _bucket(_NAME[table])).write.mode("overwrite").partitionBy("bucket").parquet(path)
+    return content["buckets"][table] | {str(b): f"{path}/bucket={b}" for b in touched}
 
 
 def process_batch(batch: DataFrame, batch_id: int, root: str, services: DataFrame) -> None:
     spark = batch.sparkSession
-    b = G.first_per_event(batch).persist()
-    try:
-        facts = G.order_facts(b, services).withColumn("batch_id", F.lit(batch_id))
-        replace_partitions(facts, f"{root}/facts", ["batch_id"])
-        rej = (G.validate_orders(b).filter(~F.col("is_valid")).select(*REJECT_COLS)
-               .withColumn("batch_id", F.lit(batch_id)))
-        replace_partitions(rej, f"{root}/rejects", ["batch_id"])
-        clients = spark.read.parquet(f"{root}/clients/v={_previous(batch_id)}")
-        publish(G.upsert_clients(clients, b), f"{root}/clients", _version(batch_id))
-        emps = spark.read.parquet(f"{root}/employees/v={_previous(batch_id)}")
-        publish(G.upsert_employees(emps, b), f"{root}/employees", _version(batch_id))
-    finally:
-        b.unpersist()
+    now = manifest(spark, root)
+    if now["batch"] >= batch_id:
+        return  # committed before a crash
+    content = {"batch": batch_id, "files": {k: list(v) for k, v in now["files"].items()}, "schemas": dict(now["schemas"]),
+               "buckets": dict(now["buckets"])}
+    folder = f"{root}/batch={batch_id:09d}"
+    new = G.first_per_event(batch)
+    if "facture" in now["files"]:
+        new = new.join(_read(spark, now, "facture").select("event_key"), "event_key", "left_anti")
+    new.write.mode("overwrite").parquet(f"{folder}/events")  # read several times below
+    new = spark.read.schema(new.schema).parquet(f"{folder}/events")
+    ok = new.join(services.select(F.col("libelle").alias("service")), "service", "left_semi").select(*new.columns)
+
+    facts = G.order_facts(new, services)
+    _write(G.invoices_of(facts), f"{folder}/facture", content, "facture")
+    _write(G.lines_of(facts), f"{folder}/ligne_facture", content, "ligne_facture")
+    _write(G.rejected(new, services).select(*REJECT_COLS), f"{folder}/rejets", content, "rejets")
+    taken = G.accepted(ok).select(*new.columns)
+    content["buckets"]["client"] = _upserted(spark, now, "client", taken, "client", G.upsert_clients, folder)
+    content["buckets"]["employe"] = _upserted(spark, now, "employe", taken, "employe", G.upsert_employees, folder)
+    # the days that this batch adds to, from all stored facts
+    invoices, lines = _read(spark, content, "facture"), _read(spark, content, "ligne_facture")
+    days = spark.read.parquet(f"{folder}/facture").select(F.col("date_facture").alias("ds")).distinct()
+    of_days = invoices.join(days, invoices.date_facture == days.ds).select("id_facture", "ds")
+    sums = (lines.join(of_days, "id_facture").groupBy("ds")
+            .agg(F.sum(F.col("total_ligne").cast("decimal(18,2)")).cast("decimal(38,2)").alias("y"), F.count_distinct("id_facture").alias("n_orders")))
+    _write(sums.withColumn("rafraichi_le", F.current_timestamp()).withColumn("batch_id", F.lit(batch_id)), f"{folder}/jours", content, "jours")
+    commit(spark, root, content, now["number"] + 1)
 
 
 def run_order_stream(spark: SparkSession, landing: str, root: str, checkpoint: str,
@@ -65,9 +136,3 @@ def run_order_stream(spark: SparkSession, landing: str, root: str, checkpoint: s
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-
-
-def seed_dimensions(clients: DataFrame, employees: DataFrame, root: str) -> None:
-    """Publish the starting dimensions as version ``base``."""
-    publish(clients, f"{root}/clients", "base")
-    publish(employees, f"{root}/employees", "base")
