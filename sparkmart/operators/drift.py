@@ -1,10 +1,9 @@
 """Drift monitoring: hold out the last calendar days, measure, classify.
 
-The validation window is a number of *calendar* days before the last date of
-each series (not a number of rows: series only hold active days).  The naive
-reference may only read training days, so past the 28th day of the window no
-weekly lag lands in the history and the day is left out of the ratio; the
-number of compared days is returned beside it.
+The validation window counts calendar days back from each series' last date, as a
+series holds active days only.  The reference forecast looks back whole weeks into the
+training days; where that finds nothing (from the 29th day on) the day does not enter
+the ratio, and the number of compared days stands beside it.
 """
 
 from __future__ import annotations
@@ -66,7 +65,7 @@ def drift_measures(series: DataFrame, forecasts: DataFrame,
     v = val.join(fc, ["series", "ds"], "left").join(naive, ["series", "split_ds", "ds"], "left")
     y = F.col("y")
     err = F.abs(y - F.col("yhat"))
-    has_ref = F.col("naive_y").isNotNull()
+    has_ref = F.col("naive_y").isNotNull() & F.col("yhat").isNotNull()  # days with both forecasts
 
     def mean(c):
         return F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double"))
@@ -96,6 +95,7 @@ def drift_measures(series: DataFrame, forecasts: DataFrame,
         F.when(measured, round_half_up("mae", 2)).alias("mae"),
         F.when(measured, round_half_up(F.col("_mape") * 100, 2)).alias("mape_pct"),
         F.when(measured, round_half_up(relmae, 4)).alias("relmae"),
+        F.when(measured, relmae).alias("relmae_raw"),
         F.when(measured, F.coalesce("n_relmae", F.lit(0).cast("bigint"))).alias("n_relmae"),
         F.col("span_days").cast("bigint").alias("span_days"),
         (F.col("span_days") < SHORT_HISTORY_DAYS).alias("short_history"),
@@ -112,7 +112,7 @@ def drift_status(measures: DataFrame, error: float = DRIFT_ERROR, warn: float =
     at or above ``error`` is an error for the overall series and a warning for
     the others.  ``notes`` carries the history notices.
     """
-    r = F.col("relmae")
+    r = F.col("relmae_raw")  # levels by the ratio itself; the rounded one is for display
     level = (F.when(F.col("status") == "skipped", "skipped")
              .when(F.col("n_relmae") < min_points, "insufficient_points")
              .when((r >= error) & (F.col("series") == overall), "error")

@@ -32,6 +32,7 @@ from pyspark.sql.types import (ArrayType, DateType, DoubleType, LongType, String
                                StructType)
 
 from ..functions.vocab import CV_HORIZON, CV_INITIAL, CV_PERIOD
+from ..session import ship
 
 Z80 = 1.2815515655446004
 YEAR, WEEK = 365.25, 7.0
@@ -139,50 +140,49 @@ def forecast_schema(keys: list[tuple[str, object]]) -> StructType:
         StructField("yhat_lower", DoubleType()), StructField("yhat_upper", DoubleType())])
 
 
-def _fit_group(key_names: list[str], horizon: int):
-    """Grouped-map body: rows ``(keys…, origin, ds, y, cps, daily)`` of one group."""
+def _fit_group(key_names: list[str], horizon: int, variants: list[tuple[str, float, bool]] | None):
+    """Grouped-map body: rows ``(keys…, origin, ds, y)`` of one group, fitted once per variant."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        cols = key_names + ["ds", "yhat", "yhat_lower", "yhat_upper"]
-        if pdf.empty:
-            return pd.DataFrame(columns=cols)
-        m = fit(_days(pdf["ds"]), pdf["y"].astype(float).to_numpy(),
-                float(pdf["cps"].iloc[0]), bool(pdf["daily"].iloc[0]))
-        if m is None:
-            return pd.DataFrame(columns=cols)
-        origin = int(_days(pdf["origin"].iloc[:1])[0])
-        days = np.arange(origin + 1, origin + horizon + 1)
-        yhat, lo, hi = predict(m, days)
-        out = pd.DataFrame({"ds": (_EPOCH + pd.to_timedelta(days, unit="D")).date,
-                            "yhat": yhat, "yhat_lower": lo, "yhat_upper": hi})
-        for k in key_names:
-            out.insert(len(out.columns) - 4, k, pdf[k].iloc[0])
-        return out[cols]
+        cols = key_names + (["variant"] if variants else []) + ["ds", "yhat", "yhat_lower", "yhat_upper"]
+        parts = []
+        if not pdf.empty:
+            ds, y = _days(pdf["ds"]), pdf["y"].astype(float).to_numpy()
+            origin = int(_days(pdf["origin"].iloc[:1])[0])
+            days = np.arange(origin + 1, origin + horizon + 1)
+            when = (_EPOCH + pd.to_timedelta(days, unit="D")).date
+            for name, cps, daily in variants or [(None, DEFAULT["changepoint_prior_scale"], DEFAULT["daily"])]:
+                m = fit(ds, y, cps, daily)
+                if m is None:
+                    continue
+                yhat, lo, hi = predict(m, days)
+                out = pd.DataFrame({"ds": when, "yhat": yhat, "yhat_lower": lo, "yhat_upper": hi})
+                for k in key_names:
+                    out[k] = pdf[k].iloc[0]
+                if variants:
+                    out["variant"] = name
+                parts.append(out[cols])
+        return pd.concat(parts) if parts else pd.DataFrame(columns=cols)
     return run
 
 
-def fit_forecast(rows: DataFrame, keys: list[str], horizon: int) -> DataFrame:
-    """Fit one model per ``keys`` group and forecast ``horizon`` days after ``origin``.
+def fit_forecast(rows: DataFrame, keys: list[str], horizon: int,
+                 variants: list[tuple[str, float, bool]] | None = None) -> DataFrame:
+    """Fit one model per ``keys`` group (and variant) and forecast ``horizon`` days after ``origin``.
 
-    ``rows``: ``(keys…, origin, ds, y, cps, daily)``, history rows only.  The
-    groups are hash-partitioned by their keys before the Python workers run,
-    so many small series fill every core.
+    ``rows``: ``(keys…, origin, ds, y)``, history rows only; all variants of a group
+    are fitted from the same rows.  The groups are hash-partitioned by their keys
+    before the Python workers run, so many small series fill every core.
     """
+    ship(rows.sparkSession)
     types = {f.name: f.dataType for f in rows.schema.fields}
-    schema = forecast_schema([(k, types[k]) for k in keys])
-    body = _fit_group(keys, horizon)
-    return rows.groupBy(*keys).applyInPandas(body, schema)
-
-
-def _with_params(df: DataFrame, cps: float = DEFAULT["changepoint_prior_scale"],
-                 daily: bool = DEFAULT["daily"]) -> DataFrame:
-    return df.withColumn("cps", F.lit(float(cps))).withColumn("daily", F.lit(bool(daily)))
+    fields = [(k, types[k]) for k in keys] + ([("variant", StringType())] if variants else [])
+    return rows.groupBy(*keys).applyInPandas(_fit_group(keys, horizon, variants), forecast_schema(fields))
 
 
 def forecast_series(series: DataFrame, horizon: int = 180) -> DataFrame:
     """Fit every series on its whole history; ``horizon`` days after its last day."""
     last = series.groupBy("series").agg(F.max("ds").alias("origin"))
-    rows = _with_params(series.select("series", "ds", F.col("y").cast("double").alias("y"))
-                        .join(last, "series"))
+    rows = series.select("series", "ds", F.col("y").cast("double").alias("y")).join(last, "series")
     return fit_forecast(rows, ["series"], horizon)
 
 
@@ -206,6 +206,7 @@ def model_params(series: DataFrame) -> DataFrame:
             "changepoints": [float(c) for c in m["cps"]],
             "coefficients": [float(b) for b in m["beta"]]}])
 
+    ship(series.sparkSession)
     s = series.select("series", "ds", F.col("y").cast("double").alias("y"))
     return s.groupBy("series").applyInPandas(run, schema)
 
@@ -234,16 +235,11 @@ def cv_forecasts(series: DataFrame, horizon: int = CV_HORIZON, initial: int = CV
                  period: int = CV_PERIOD, variants: list[tuple[str, float, bool]] | None = None) -> DataFrame:
     """Expanding-window refit at every cut-off (and variant); forecasts joined to actuals.
 
-    Variants are an exploded literal array on the history rows (no join).
-    Groups are (series, cut-off, variant): many independent fits.
+    Groups are (series, cut-off): many independent fits, all variants from the same rows.
     """
-    variants = variants or [VARIANTS[0]]
-    grid = F.explode(F.array(*[F.struct(F.lit(v).alias("variant"), F.lit(float(c)).alias("cps"),
-                                        F.lit(bool(d)).alias("daily")) for v, c, d in variants]))
     rows = (cv_history(series, initial, period, horizon)
-            .select("series", "cutoff", F.col("cutoff").alias("origin"), "ds", "y", grid.alias("v"))
-            .select("series", "cutoff", "origin", "ds", "y", "v.variant", "v.cps", "v.daily"))
-    fc = fit_forecast(rows, ["series", "cutoff", "variant"], horizon)
+            .select("series", "cutoff", F.col("cutoff").alias("origin"), "ds", "y"))
+    fc = fit_forecast(rows, ["series", "cutoff"], horizon, variants or [VARIANTS[0]])
     actual = series.select("series", "ds", F.col("y").cast("decimal(38,2)").alias("y"))
     return fc.join(actual, ["series", "ds"]).select(
         "series", "variant", "cutoff", "ds", "y", "yhat", "yhat_lower", "yhat_upper")
@@ -254,7 +250,7 @@ def drift_forecasts(series: DataFrame, window: int) -> DataFrame:
     last = series.groupBy("series").agg(F.date_sub(F.max("ds"), window).alias("origin"))
     rows = (series.join(last, "series").filter(F.col("ds") <= F.col("origin"))
             .select("series", "origin", "ds", F.col("y").cast("double").alias("y")))
-    return fit_forecast(_with_params(rows), ["series"], window).select("series", "ds", "yhat")
+    return fit_forecast(rows, ["series"], window).select("series", "ds", "yhat")
 
 
 def variant_compare(cv: DataFrame) -> DataFrame:

@@ -200,6 +200,8 @@ MEASURES = f"""SELECT p.series,
   CASE WHEN NOT (p.span_days < {3 * _WD} OR COALESCE(a.n_obs, 0) < 5) THEN
     (CASE WHEN a.n_relmae = 0 THEN NULL WHEN a.mae_n = 0 THEN 'inf'::DOUBLE
           ELSE {rhu('a.mae_m / a.mae_n', 4)} END) END AS relmae,
+  CASE WHEN NOT (p.span_days < {3 * _WD} OR COALESCE(a.n_obs, 0) < 5) THEN
+    (CASE WHEN a.n_relmae = 0 THEN NULL WHEN a.mae_n = 0 THEN 'inf'::DOUBLE ELSE a.mae_m / a.mae_n END) END AS relmae_raw,
   CASE WHEN NOT (p.span_days < {3 * _WD} OR COALESCE(a.n_obs, 0) < 5) THEN COALESCE(a.n_relmae, 0) END AS n_relmae,
   CAST(p.span_days AS BIGINT) AS span_days, p.span_days < 365 AS short_history, p.n_obs_total,
   {rhu('CAST(p.n_obs_total AS DOUBLE) / CAST(greatest(p.span_days, 1) AS DOUBLE)', 4)} AS density
@@ -231,16 +233,16 @@ def drift_split(spark, sf):
     return DR.drift_split(_series(spark, sf))
 
 
-@query("relmae", _dsql("SELECT * FROM measures"))
+@query("relmae", _dsql("SELECT * EXCLUDE (relmae_raw) FROM measures"))
 def relmae(spark, sf):
-    return _measures(spark, sf)
+    return _measures(spark, sf).drop("relmae_raw")
 
 
 @query("drift_status", _dsql("""
 SELECT series, relmae, n_relmae, level, note, MAX(CASE WHEN level = 'error' THEN 1 ELSE 0 END) OVER () = 1 AS run_failed
 FROM (SELECT series, relmae, n_relmae,
   CASE WHEN status = 'skipped' THEN 'skipped' WHEN n_relmae < 10 THEN 'insufficient_points'
-       WHEN relmae >= 1.0 AND series = 'global' THEN 'error' WHEN relmae >= 0.85 THEN 'warning' ELSE 'ok' END AS level,
+       WHEN relmae_raw >= 1.0 AND series = 'global' THEN 'error' WHEN relmae_raw >= 0.85 THEN 'warning' ELSE 'ok' END AS level,
   CASE WHEN status = 'skipped' THEN detail
        WHEN short_history THEN 'short history: yearly seasonality not identifiable'
        WHEN density < 0.5 THEN 'sparse history: seasonality estimated on few points' END AS note

@@ -60,3 +60,46 @@ def test_cv_history_rows_equal_join_definition(spark):
     cut = E.cv_cutoffs(s, 365, 30, 90).collect()
     exp = {c.cutoff: (c.cutoff - dt.date(2020, 1, 1)).days + 1 for c in cut}
     assert {r.cutoff: r["count"] for r in got} == exp
+
+
+def _noisy(n, seed=0, slope=0.4):
+    rng = np.random.default_rng(seed)
+    t = np.arange(n, dtype=float)
+    return np.maximum(1000 + slope * t + 150 * np.cos(2 * np.pi * t / 7) + rng.normal(0, 60, n), 1.0)
+
+
+def _cv_as_money(spark, y):
+    from pyspark.sql import functions as F
+    s = _series_df(spark, y)
+    fc = FM.cv_forecasts(s)
+    cast = [F.col(c).cast("decimal(38,2)").alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")]
+    return s.withColumn("y", F.col("y").cast("decimal(38,2)")), fc.select("series", "cutoff", "ds", "y", *cast)
+
+
+def test_interval_coverage_is_near_80_percent(spark):
+    _, fc = _cv_as_money(spark, _noisy(900))
+    inside = fc.selectExpr("avg(cast(y between yhat_lower and yhat_upper as int)) c").first().c
+    assert 0.7 < inside < 0.92
+
+
+def test_model_beats_the_weekly_naive(spark):
+    from sparkmart.operators import evaluation as E
+    s, fc = _cv_as_money(spark, _noisy(900, seed=1))
+    table = {r.model: r for r in E.relmae_table(E.with_baselines(s, fc)).collect()}
+    assert table["model"].relmae < 1 and table["seasonal_naive"].relmae == 1
+
+
+def test_rising_series_of_90_days(spark):
+    out = SV.publish(FM.forecast_series(_series_df(spark, np.arange(1.0, 91.0)), 180)).toPandas().sort_values("ds")
+    assert len(out) == 180 and out.ds.min() == dt.date(2020, 1, 1) + dt.timedelta(days=90)
+    assert (out.yhat_upper >= out.yhat).all() and (out.yhat >= out.yhat_lower).all()
+    assert out.yhat.iloc[:30].mean() > 80  # goes on from where it rose to
+
+
+def test_all_variants_of_a_group_equal_single_fits(spark):
+    s = _series_df(spark, _noisy(560))
+    key = ["variant", "cutoff", "ds"]
+    together = FM.cv_forecasts(s, horizon=30, variants=FM.VARIANTS).toPandas().sort_values(key).reset_index(drop=True)
+    for v in FM.VARIANTS[:2]:
+        alone = FM.cv_forecasts(s, horizon=30, variants=[v]).toPandas().sort_values(key).reset_index(drop=True)
+        assert together[together.variant == v[0]].reset_index(drop=True).yhat.equals(alone.yhat)
