@@ -46,15 +46,30 @@ def recompute_totals(df: DataFrame) -> DataFrame:
     )
 
 
+def _fractional(qty) -> Column:
+    """A quantity that is a number but not a whole one."""
+    return qty.isNotNull() & integral(qty).isNull()
+
+
+def _first_sales(raw: DataFrame) -> DataFrame:
+    p = sales_parsed(raw).filter(F.col("date_facture").isNotNull() & F.col("client").isNotNull())
+    return recompute_totals(keep_first(p, ["facture_id"], ["seq"]))
+
+
+def sales_rejects(raw: DataFrame) -> DataFrame:
+    """Invoices that :func:`clean_sales` does not take, with the reason."""
+    r = _first_sales(raw).filter(_fractional(F.col("qty_num")))
+    return r.select("seq", "facture_id", "quantite", F.lit("quantite:not_whole").alias("reason"))
+
+
 def clean_sales(raw: DataFrame) -> DataFrame:
     """Flat cleaned sales, one row per kept invoice.
 
     Order matters (it decides which duplicate survives): drop rows lacking a
-    date or client, then keep the first row per invoice id, then repair totals.
+    date or client, then keep the first row per invoice id, then repair totals;
+    invoices with a fractional quantity are rejected (:func:`sales_rejects`).
     """
-    p = sales_parsed(raw).filter(F.col("date_facture").isNotNull() & F.col("client").isNotNull())
-    first = keep_first(p, ["facture_id"], ["seq"])
-    r = recompute_totals(first)
+    r = _first_sales(raw).filter(~_fractional(F.col("qty_num")))
     return r.select(
         "seq", "facture_id", "date_facture",
         F.col("statut").alias("statut_paiement"),
@@ -80,13 +95,16 @@ def sales_report(raw: DataFrame) -> DataFrame:
     """
     usable = F.col("date_facture").isNotNull() & F.col("client").isNotNull()
     r = recompute_totals(sales_parsed(raw)).select("facture_id", "seq", usable.alias("usable"), "recomputed",
-                                                   F.col("employe_en_charge").isNull().alias("no_employee"))
-    g = r.groupBy("facture_id", "usable").agg(F.count(F.lit(1)).alias("n"), F.min_by(F.struct("recomputed", "no_employee"), "seq").alias("first"))
-    kept = F.col("usable")
+                                                   F.col("employe_en_charge").isNull().alias("no_employee"),
+                                                   _fractional(F.col("qty_num")).alias("fractional"))
+    g = r.groupBy("facture_id", "usable").agg(F.count(F.lit(1)).alias("n"),
+                                              F.min_by(F.struct("recomputed", "no_employee", "fractional"), "seq").alias("first"))
+    kept = F.col("usable") & ~F.col("first.fractional")
     return g.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_input"),
-        F.sum(F.when(~kept, F.col("n")).otherwise(0)).cast("bigint").alias("n_dropped_missing"),
-        F.sum(F.when(kept, F.col("n") - 1).otherwise(0)).cast("bigint").alias("n_duplicates"),
+        F.sum(F.when(~F.col("usable"), F.col("n")).otherwise(0)).cast("bigint").alias("n_dropped_missing"),
+        F.sum(F.when(F.col("usable"), F.col("n") - 1).otherwise(0)).cast("bigint").alias("n_duplicates"),
+        _n(F.col("usable") & F.col("first.fractional")).alias("n_rejected"),
         _n(kept & F.col("first.recomputed")).alias("n_recomputed"), _n(kept).alias("n_kept"),
         _n(kept & F.col("first.no_employee")).alias("n_without_employee"))
 
@@ -116,7 +134,7 @@ def clean_purchases(raw: DataFrame, compat_nan: bool = False) -> DataFrame:
     """
     d = drop_empty_rows(raw).na.drop("any", subset=["fournisseur", "article"])
     d = d.withColumn("date_achat", parse_date("date")).filter(F.col("date_achat").isNotNull())
-    d = fix_negatives(d)
+    d = fix_negatives(d).filter(~_fractional(safe_number("quantite")))
     txt = text_or_nan if compat_nan else strip
     return d.select(
         "seq", "date_achat",
@@ -134,7 +152,7 @@ def purchases_report(raw: DataFrame) -> DataFrame:
     empty = F.coalesce(*[F.col(c) for c in PURCHASE_COLS]).isNull()
     partial = ~empty & (F.col("fournisseur").isNull() | F.col("article").isNull())
     undated = ~empty & ~partial & parse_date("date").isNull()
-    kept = ~empty & ~partial & ~undated
+    kept = ~empty & ~partial & ~undated & ~_fractional(safe_number("quantite"))
     return fix_negatives(raw).agg(
         F.count(F.lit(1)).alias("n_input"), _n(empty).alias("n_empty"), _n(partial).alias("n_incomplete"), _n(undated).alias("n_undated"),
         _n(kept & F.col("was_negative")).alias("n_sign_fixed"), _n(kept).alias("n_kept"))

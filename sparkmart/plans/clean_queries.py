@@ -25,14 +25,17 @@ FROM sales"""
 
 _BAD = f"({X.safe_number('total')} IS NULL OR {X.safe_number('total')} IN (0, 999))"
 
+SALES_FIRST = """SELECT * FROM sales_parsed WHERE date_facture IS NOT NULL AND client IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY facture_id ORDER BY seq) = 1"""
+_FRACTION = f"({X.safe_number('quantite')} IS NOT NULL AND {X.integral(X.safe_number('quantite'))} IS NULL)"
+
 SALES_CLEAN = f"""SELECT seq, facture_id, date_facture, statut AS statut_paiement,
   client AS nom_client, telephone, employe_en_charge AS nom_employe, service, description,
   {X.integral(X.safe_number('quantite'))} AS quantite,
   {X.money_int(X.safe_number('prix_unitaire'))} AS prix_unitaire,
   {X.money_int(f"CASE WHEN {_BAD} THEN {X.safe_number('quantite')} * {X.safe_number('prix_unitaire')} ELSE {X.safe_number('total')} END")} AS total_ligne,
   {_BAD} AS recomputed
-FROM (SELECT * FROM sales_parsed WHERE date_facture IS NOT NULL AND client IS NOT NULL
-      QUALIFY row_number() OVER (PARTITION BY facture_id ORDER BY seq) = 1) k"""
+FROM sales_first WHERE NOT {_FRACTION}"""
 
 _PNUM = X.safe_number("prix_achat_total")
 PURCH_CLEAN = f"""SELECT seq, date_achat, {X.strip('fournisseur')} AS nom_fournisseur,
@@ -44,7 +47,7 @@ FROM (SELECT *, {X.parse_date('date')} AS date_achat FROM purchases
       WHERE NOT (date IS NULL AND fournisseur IS NULL AND article IS NULL AND categorie IS NULL
                  AND quantite IS NULL AND prix_achat_total IS NULL AND mode_paiement IS NULL)
         AND fournisseur IS NOT NULL AND article IS NOT NULL) p
-WHERE date_achat IS NOT NULL"""
+WHERE date_achat IS NOT NULL AND NOT {_FRACTION}"""
 
 _CT = ["nom_client", "entreprise", "telephone", "email", "ville"]
 CLIENTS_CLEAN = f"""SELECT seq, nom_client, entreprise, telephone, email, {X.norm_city('ville')} AS ville
@@ -52,7 +55,7 @@ FROM (SELECT seq, {', '.join(f"{X.clean_text(c)} AS {c}" for c in _CT)} FROM cli
 QUALIFY row_number() OVER (PARTITION BY {X.lower_key('nom_client')}
                            ORDER BY {X.is_upper('nom_client')}, seq) = 1"""
 
-SALES_CTES = [("sales_parsed", SALES_PARSED), ("sales_clean", SALES_CLEAN)]
+SALES_CTES = [("sales_parsed", SALES_PARSED), ("sales_first", SALES_FIRST), ("sales_clean", SALES_CLEAN)]
 PURCH_CTES = [("purch_clean", PURCH_CLEAN)]
 CLIENT_CTES = [("clients_clean", CLIENTS_CLEAN)]
 
@@ -212,6 +215,12 @@ def clean_sales(spark, sf):
     return C.clean_sales(Store.of(spark, sf).raw("sales"))
 
 
+@query("sales_rejects", with_ctes(f"""SELECT seq, facture_id, quantite, 'quantite:not_whole' AS reason
+FROM sales_first WHERE {_FRACTION}""", feeds=["sales"], ctes=SALES_CTES))
+def sales_rejects(spark, sf):
+    return C.sales_rejects(Store.of(spark, sf).raw("sales"))
+
+
 @query("clean_purchases", with_ctes("SELECT * FROM purch_clean", feeds=["purchases"], ctes=PURCH_CTES))
 def clean_purchases(spark, sf):
     return C.clean_purchases(Store.of(spark, sf).raw("purchases"))
@@ -226,7 +235,8 @@ def clean_clients(spark, sf):
 SELECT COUNT(*) AS n_input,
   SUM(CASE WHEN date_facture IS NULL OR client IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_dropped_missing,
   (COUNT(*) - SUM(CASE WHEN date_facture IS NULL OR client IS NULL THEN 1 ELSE 0 END)
-     - (SELECT COUNT(*) FROM sales_clean))::BIGINT AS n_duplicates,
+     - (SELECT COUNT(*) FROM sales_first))::BIGINT AS n_duplicates,
+  ((SELECT COUNT(*) FROM sales_first) - (SELECT COUNT(*) FROM sales_clean))::BIGINT AS n_rejected,
   (SELECT SUM(CASE WHEN recomputed THEN 1 ELSE 0 END) FROM sales_clean)::BIGINT AS n_recomputed,
   (SELECT COUNT(*) FROM sales_clean) AS n_kept,
   (SELECT SUM(CASE WHEN nom_employe IS NULL THEN 1 ELSE 0 END) FROM sales_clean)::BIGINT AS n_without_employee
@@ -243,7 +253,8 @@ SELECT COUNT(*) AS n_input, SUM(CASE WHEN empty THEN 1 ELSE 0 END)::BIGINT AS n_
   (SELECT COUNT(*) FROM purch_clean) AS n_kept
 FROM (SELECT date IS NULL AND fournisseur IS NULL AND article IS NULL AND categorie IS NULL AND quantite IS NULL
         AND prix_achat_total IS NULL AND mode_paiement IS NULL AS empty, fournisseur IS NULL OR article IS NULL AS partial,
-        """ + X.parse_date("date") + """ AS d, COALESCE(""" + X.safe_number("prix_achat_total") + """ < 0, false) AS neg FROM purchases) p""",
+        """ + X.parse_date("date") + """ AS d, COALESCE(""" + X.safe_number("prix_achat_total") + """ < 0, false) AS neg
+      FROM purchases) p""",
                                            feeds=["purchases"], ctes=PURCH_CTES))
 def clean_report_purchases(spark, sf):
     return C.purchases_report(Store.of(spark, sf).raw("purchases"))

@@ -41,12 +41,6 @@ def test_labels_and_statuses_normalised(spark):
     assert (r["service"], r["statut_paiement"]) == ("Sérigraphie", "Payé")
 
 
-def test_fractional_quantity_becomes_null_not_crash(spark):
-    rows = [(1, "2024-06-01", "F1", "A", None, "Imprimerie", "d", "2.5", "10", None, "E", "Payé")]
-    r = C.clean_sales(_sales(spark, rows)).collect()[0]
-    assert r["quantite"] is None and r["total_ligne"] == 25
-
-
 def test_purchases_negative_empty_and_incomplete(spark):
     cols = "seq bigint, " + ", ".join(f"{c} string" for c in C.PURCHASE_COLS)
     rows = [(1, "01/06/2024", "S", "a", "c", "1", "-500", "Espèces"),
@@ -84,3 +78,13 @@ def test_sales_report_counts(spark):
     r = C.sales_report(_sales(spark, rows)).collect()[0].asDict()
     assert r == {"n_input": 3, "n_dropped_missing": 1, "n_duplicates": 1, "n_recomputed": 1,
                  "n_kept": 1, "n_without_employee": 1}
+
+
+def test_fractional_quantity_is_rejected_with_a_reason(spark):
+    rows = [(i, "2024-06-01", f, "A", None, "Imprimerie", "d", q, "10", "20", "E", "Payé") for i, (f, q) in enumerate(
+        [("F1", "2"), ("F2", "2.5"), ("F2", "3"), ("F3", "abc"), ("F4", "4.0")])]
+    raw = _sales(spark, rows)
+    assert sorted(r.facture_id for r in C.clean_sales(raw).collect()) == ["F1", "F3", "F4"]
+    assert [(r.facture_id, r.quantite, r.reason) for r in C.sales_rejects(raw).collect()] == [("F2", "2.5", "quantite:not_whole")]
+    rep = C.sales_report(raw).first()
+    assert (rep.n_input, rep.n_duplicates, rep.n_rejected, rep.n_kept) == (5, 1, 1, 3)
