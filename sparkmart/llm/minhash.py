@@ -43,8 +43,8 @@ from .components import components
 #: Bands and rows: a pair of similarity 0.85 misses all bands with probability 1e-5, one of 0.8 with 4e-4.
 BANDS, ROWS = 20, 5
 UNIVERSE_BITS = 20
-#: Classes in a block of the comparison within a pivot's group.
-BLOCK = 512
+#: Classes in a block of the comparison within a pivot's group, and shingles of their sets, at most, on average.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 
 _WORD = np.ones(256, bool)
 _WORD[[0x20, *range(0x09, 0x0E)]] = False
@@ -189,9 +189,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
                     .select("pivot", "digest", "n", "pn", "common", _linked(F.col("common"), F.col("n"), F.col("pn"), percent).alias("linked")), "judged")
 
     # groups where a pivot left something open: at least two members, one of them not linked to it
-    group = (judged.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"), F.count_if(~F.col("linked")).alias("open"))
-             .where("members > 1 AND open > 0"))
-    todo = judged.join(group, "pivot").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    group = (judged.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"), F.sum(F.col("n") + F.col("pn")).alias("shingles"),
+                                         F.count_if(~F.col("linked")).alias("open"))
+             .where("members > 1 AND open > 0")
+             .select("pivot", F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
+    todo = judged.join(group, "pivot")
     apart = (todo.select("pivot", "digest", "linked", "blocks").join(own, "digest").join(other, "pivot")
              .select("pivot", "digest", "n", "linked", "blocks",
                      F.concat(F.array_except("e", "pe"), F.array_except("pe", "e")).alias("apart")))
