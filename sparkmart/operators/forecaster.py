@@ -46,6 +46,7 @@ VARIANTS = [
     ("cps_0.01", 0.01, False),
     ("cps_0.50", 0.50, False),
 ]
+# What each variant stands for.
 VARIANT_LABELS = {
     "cps_0.01": "too rigid: underfitting",
     "base": "moderate flexibility: best bias/variance balance",
