@@ -76,7 +76,7 @@ def test_sales_report_counts(spark):
             (2, "01/06/2024", "F1", "A", None, "Imprimerie", "d", "1", "100", "100", "E", "Payé"),
             (3, "bad", "F2", "A", None, "Imprimerie", "d", "1", "100", "100", "E", "Payé")]
     r = C.sales_report(_sales(spark, rows)).collect()[0].asDict()
-    assert r == {"n_input": 3, "n_dropped_missing": 1, "n_duplicates": 1, "n_recomputed": 1,
+    assert r == {"n_input": 3, "n_dropped_missing": 1, "n_duplicates": 1, "n_rejected": 0, "n_recomputed": 1,
                  "n_kept": 1, "n_without_employee": 1}
 
 
