@@ -138,17 +138,25 @@ def links_in_block(a: list[np.ndarray], b: list[np.ndarray] | None, size_a: np.n
     """Links between two lists of differences to one pivot (b None: within a), where a side is open."""
     left, right = a, a if b is None else b
     da, db = np.array([len(x) for x in left]), np.array([len(x) for x in right])
-    elems, where = np.unique(np.concatenate([*left, *([] if b is None else right)]), return_inverse=True)
-    ends = np.cumsum([len(x) for x in left] + ([] if b is None else [len(x) for x in right]))[:-1]
-    rows = np.split(where, ends)
-    n = len(left)
+    n, both = len(left), left if b is None else [*left, *right]
+    flat = np.concatenate(both)
+    owner = np.repeat(np.arange(len(both), dtype=np.int32), [len(x) for x in both])
     shared = np.zeros((n, len(right)), np.float32)
+    # about half a million shingles at a time, by their low bits
+    parts = 1 << (len(flat) >> 19).bit_length()
+    low = (flat & (parts - 1)).astype(np.uint16)
     step = 1024
-    for lo in range(0, len(elems), step):  # dense columns, a bounded number at a time
-        m = np.zeros((len(rows), min(step, len(elems) - lo)), np.float32)
-        for i, r in enumerate(rows):
-            m[i, r[(r >= lo) & (r < lo + step)] - lo] = 1
-        shared += m[:n] @ (m if b is None else m[n:]).T
+    for part in range(parts):
+        at = np.flatnonzero(low == part)
+        _, where, count = np.unique(flat[at], return_inverse=True, return_counts=True)
+        met = count > 1  # what only one member has is shared with nobody
+        col, some = (np.cumsum(met) - 1)[where], met[where]
+        col, row = col[some], owner[at][some]
+        for lo in range(0, int(met.sum()), step):  # dense columns, a bounded number at a time
+            here = (col >= lo) & (col < lo + step)
+            m = np.zeros((len(both), step), np.float32)
+            m[row[here], col[here] - lo] = 1
+            shared += m[:n] @ (m if b is None else m[n:]).T
     apart = da[:, None] + db[None] - 2 * shared
     common = (size_a[:, None] + size_b[None] - apart) / 2
     ok = _linked(common, size_a[:, None], size_b[None], percent) & (open_a[:, None] | open_b[None])
