@@ -1,14 +1,15 @@
 """Operator 10 - line-level deduplication by pairwise alignment.
 
-Documents that share rare lines are aligned in pairs by patience diff, and the
+Documents that share runs of lines are aligned in pairs by patience diff, and the
 common blocks are deleted from the later document of the pair (the larger id).
 
-Candidates: a line that is long enough to tell something seeds pairs.  A rare line
-(in at most ``RARE`` documents) pairs all its documents; a more frequent one pairs
-each of its documents with the first one that holds it, so a line in a third of all
-documents makes one pair for each of them and no group is collected.  As a line's
-first holder is among the candidates of all its other holders, a repeated passage is
-found however often it occurs.
+Candidates: from every line of a document, the shortest run of consecutive lines with
+at least ``min_words`` words that begins there, and the shortest that ends there, seed
+pairs: each document that holds a run is paired with the first one that does, so a run
+in a third of all documents makes one pair for each of them and no group is collected.
+Every line of a common block lies in such a run within the block, and the run's first
+holder has it whole, so a later document loses what it would lose if all pairs of
+documents were aligned.  Runs are told apart by 64-bit hashes, as lines are.
 
 Alignment works on the documents' line hashes alone: lines that are unique in both
 documents and in increasing order in both (the longest such sequence) anchor it,
@@ -30,6 +31,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,10 +39,15 @@ from pyspark.sql import functions as F
 from ..session import ship
 from ._common import fresh, same_document, stored
 
-#: Words of a block that is deleted at least, words of a line that seeds pairs at least.
-MIN_WORDS, SEED_WORDS = 25, 5
-#: A line in at most so many documents is rare.
-RARE = 8
+#: Words of a block that is deleted at least.
+MIN_WORDS = 25
+#: Bounds of the single-line seeds that runs replaced; only the first test of candidates still reads them.
+SEED_WORDS, RARE = 5, 8
+#: Base of the runs' hashes modulo 2^64, and its inverse.
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+#: Rows of seeds that leave a task's Python at once.
+ROWS = 1 << 17
 
 
 def common_lines(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -113,25 +120,50 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     .alias("words")))
 
 
-def candidate_pairs(lines: DataFrame, rare: int = RARE, seed_words: int = SEED_WORDS) -> DataFrame:
+def run_hashes(hashes: np.ndarray, words: np.ndarray, offsets: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(document, hash) of the shortest runs with ``min_words`` words from and up to each line, once a document.
+
+    The documents' lines follow each other; document d has those from ``offsets[d]`` to ``offsets[d + 1]``.
+    """
+    n, min_words = len(hashes), max(min_words, 1)
+    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    before = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    line = np.arange(n)
+    end = np.searchsorted(before, before[:-1] + min_words, "left")  # the first end that makes a run long enough
+    start = np.searchsorted(before, before[1:] - min_words, "right") - 1  # the last such start
+    on, up = end <= offsets[1:][doc], start >= offsets[:-1][doc]
+    lo, hi = np.concatenate([line[on], start[up]]), np.concatenate([end[on], line[up] + 1])
+    power = lambda b: np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, b, np.uint64)]), dtype=np.uint64)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes.view(np.uint64) * power(BASE)[:n], dtype=np.uint64)])
+    run = (total[hi] - total[lo]) * power(INVERSE)[lo] * np.uint64(BASE) + (hi - lo).astype(np.uint64)
+    of = np.concatenate([doc[on], doc[up]])
+    order = np.lexsort((run, of))
+    of, run = of[order], run[order].view(np.int64)
+    new = np.ones(len(of), bool)
+    new[1:] = (of[1:] != of[:-1]) | (run[1:] != run[:-1])
+    return of[new], run[new]
+
+
+def candidate_pairs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(first, later): documents to align."""
-    seed = (lines.select("doc", F.explode(F.arrays_zip("hashes", "words")).alias("l"))
-            .where(F.col("l.words") >= seed_words).select("doc", F.col("l.hashes").alias("line")).distinct())
-    shared = (seed.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("first")).where("n > 1"))
-    held = stored(seed.join(shared, "line"), "shared-lines")
-    star = held.where("doc <> first").select("first", F.col("doc").alias("later"))
-    few = (held.where(f"n BETWEEN 3 AND {rare}").groupBy("line").agg(F.sort_array(F.collect_list("doc")).alias("docs"))  # at most ``rare``
-           .select("docs", F.posexplode("docs").alias("k", "later"))
-           .select(F.explode(F.expr("if(k < 2, array(), slice(docs, 2, k - 1))")).alias("first"), "later"))
-    return star.union(few).distinct()
-
-
-def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE, seed_words: int = SEED_WORDS,
-                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+    def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets = batch["hashes"].offsets.to_numpy()
+            of, run = run_hashes(batch["hashes"].flatten().to_numpy(), batch["words"].flatten().to_numpy(), offsets - offsets[0], min_words)
+            for i in range(0, len(of), ROWS):
+                yield pa.RecordBatch.from_arrays([batch["doc"].take(pa.array(of[i:i + ROWS])), pa.array(run[i:i + ROWS])], ["doc", "run"])
+
+    seed = lines.mapInArrow(seeds, f"doc {lines.schema['doc'].dataType.simpleString()}, run long")
+    shared = seed.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("first")).where("n > 1").drop("n")
+    return seed.join(shared, "run").where("doc <> first").select("first", F.col("doc").alias("later")).distinct()
+
+
+def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, gone): the positions of the lines that a document loses."""
     ship(docs.sparkSession)
     lines = stored(lines_of(docs, id_col, text_col).dropDuplicates(["doc"]), "lines")
-    pairs = candidate_pairs(lines, rare, seed_words)
+    pairs = candidate_pairs(lines, min_words)
     later = lines.select(F.col("doc").alias("later"), F.col("hashes").alias("b"), "words")
     first = lines.select(F.col("doc").alias("first"), F.col("hashes").alias("a"))
     sides = pairs.join(later, "later").join(first, "first").select("later", "a", "b", "words")
@@ -147,14 +179,14 @@ def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE,
 
     kind = lines.schema["doc"].dataType.simpleString()
     found = sides.mapInArrow(align, f"doc {kind}, gone array<int>")
-    return (found.groupBy("doc").agg(F.collect_set("gone").alias("g"))  # a document's pairs: at most its lines times ``rare``
+    return (found.groupBy("doc").agg(F.collect_set("gone").alias("g"))  # a document's pairs: at most two for each of its lines
             .select("doc", F.array_distinct(F.flatten("g")).alias("gone")))
 
 
-def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE, seed_words: int = SEED_WORDS,
-                id_col: str = "doc_id", text_col: str = "text", drop_emptied: bool = False) -> DataFrame:
+def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text",
+                drop_emptied: bool = False) -> DataFrame:
     """``docs`` with the repeated blocks cut out of the later documents' texts (and ``n_chars`` to match)."""
-    gone = stored(deleted_lines(docs, min_words, rare, seed_words, id_col, text_col), "deleted-lines")
+    gone = stored(deleted_lines(docs, min_words, id_col, text_col), "deleted-lines")
     id_, key, gone_, new = fresh(docs, "id", "key", "gone", "new")
     gone = gone.select(F.col("doc.id").alias(id_), F.col("doc.text").alias(key), F.col("gone").alias(gone_))
     lines, cut = F.split(F.col(text_col), "\n", -1), F.col(gone_).isNotNull()

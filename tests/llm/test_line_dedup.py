@@ -77,3 +77,22 @@ def test_query(spark, sf, documents):
     for i, t in documents:
         assert got[i].text_sha256 == hashlib.sha256(want[i, t].encode()).hexdigest()
         assert got[i].changed == (want[i, t] != t)
+
+
+def all_pairs(rows, min_words=line_dedup.MIN_WORDS):
+    """{id: new text}: every two documents are aligned."""
+    lines = {i: t.split("\n") for i, t in rows}
+    gone = collections.defaultdict(set)
+    for a in lines:
+        for b in lines:
+            if a < b:
+                gone[b].update(line_dedup.blocks(lines[a], lines[b], [len(x.split()) for x in lines[b]], min_words))
+    return {i: "\n".join(x for k, x in enumerate(ls) if k not in gone[i]) for i, ls in lines.items()}
+
+
+def test_passage_whose_lines_were_first_held_alone(spark, make):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(20)) for c in "xyz")
+    rows = [(1, x), (2, y), (3, z)] + [(k, f"own {k}\n{x}\n{y}\n{z}\nend {k}") for k in range(4, 24)]
+    got = {r.doc_id: r.text for r in line_dedup.deduplicate(make(rows)).collect()}
+    assert got == all_pairs(rows)
+    assert got[4] == rows[3][1] and got[23] == "own 23\nend 23"
