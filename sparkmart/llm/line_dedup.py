@@ -15,8 +15,11 @@ Alignment works on the documents' line hashes alone: lines that are unique in bo
 documents and in increasing order in both (the longest such sequence) anchor it,
 each gap between anchors is aligned in the same way, and anchors extend to equal
 neighbours.  A block is a run of lines that are next to each other in both
-documents; it is deleted if it has at least ``min_words`` words.  A line's first
-holder never loses it, so nothing disappears from the corpus.
+documents; it is deleted if it has at least ``min_words`` words.  Where lines that the
+alignment leaves (repeated ones, moved ones) could still make a block, the earlier
+document's suffix automaton gives the longest common runs at any positions, in linear
+time; so every common block goes, each of its repeats in the later document too.  A
+line's first holder never loses it, so nothing disappears from the corpus.
 
 Defined cases: null and empty texts share nothing and stay as they are; rows that
 agree in id and text are one document (each comes out as often as it came in); rows
@@ -30,6 +33,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -91,19 +95,72 @@ def common_lines(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def longest_ends(a: list[int], b: list[int]) -> list[int]:
+    """For each position of ``b``, how many items up to it stand somewhere in ``a`` in a row (by ``a``'s suffix automaton)."""
+    after: list[dict[int, int]] = [{}]
+    link, length, last = [-1], [0], 0
+    for x in a:
+        new, p = len(after), last
+        after.append({})
+        length.append(length[last] + 1)
+        link.append(0)
+        while p >= 0 and x not in after[p]:
+            after[p][x] = new
+            p = link[p]
+        if p >= 0:
+            q = after[p][x]
+            if length[q] == length[p] + 1:
+                link[new] = q
+            else:
+                copy = len(after)
+                after.append(dict(after[q]))
+                length.append(length[p] + 1)
+                link.append(link[q])
+                while p >= 0 and after[p].get(x) == q:
+                    after[p][x] = copy
+                    p = link[p]
+                link[q] = link[new] = copy
+        last = new
+    out, state, n = [], 0, 0
+    for x in b:
+        while state and x not in after[state]:
+            state = link[state]
+            n = length[state]
+        if x in after[state]:
+            state, n = after[state][x], n + 1
+        out.append(n)
+    return out
+
+
 def blocks(a: list[int], b: list[int], words_b: list[int], min_words: int) -> list[int]:
-    """Positions in ``b`` of the common blocks with at least ``min_words`` words."""
-    out: list[int] = []
+    """Positions in ``b`` of the common blocks with at least ``min_words`` words, at any two positions."""
+    out: set[int] = set()
     run: list[int] = []
     last = (-2, -2)
     for i, j in [*common_lines(a, b), (-9, -9)]:
         if (i, j) != (last[0] + 1, last[1] + 1):
             if sum(words_b[k] for k in run) >= min_words:
-                out += run
+                out.update(run)
             run = []
         run.append(j)
         last = (i, j)
-    return out
+    # the alignment is one increasing sequence of lines that are unique: it leaves out repeated and moved blocks
+    has, lo = set(a), 0
+    ends = None
+    for hi in range(len(b) + 1):
+        if hi < len(b) and b[hi] in has:
+            continue
+        if sum(words_b[lo:hi]) >= min_words and not out.issuperset(range(lo, hi)):
+            ends = ends or longest_ends(a, b)
+            before = [0, *accumulate(words_b[lo:hi])]
+            begin = hi
+            for j in range(hi - 1, lo - 1, -1):  # from the right, each position at most once
+                start = j + 1 - ends[j]
+                if before[j + 1 - lo] - before[start - lo] >= min_words and start < begin:
+                    out.update(range(start, min(j + 1, begin)))
+                    begin = start
+        lo = hi + 1
+    return sorted(out)
 
 
 def _key(id_col: str, text_col: str) -> Column:

@@ -96,3 +96,39 @@ def test_passage_whose_lines_were_first_held_alone(spark, make):
     got = {r.doc_id: r.text for r in line_dedup.deduplicate(make(rows)).collect()}
     assert got == all_pairs(rows)
     assert got[4] == rows[3][1] and got[23] == "own 23\nend 23"
+
+
+def test_candidates_reach_what_all_pairs_reach(spark, make):
+    rnd = random.Random(8)
+    pool = [" ".join(f"p{k}x{i}" for i in range(rnd.choice([0, 1, 3, 4, 9, 14, 30]))) for k in range(40)]
+    rows = []
+    for i in range(80):
+        own = [f"own {i} {n}" for n in range(4)]
+        for _ in range(2):
+            k, at = rnd.randrange(40), rnd.randrange(5)
+            own[at:at] = pool[k:k + rnd.randint(1, 6)]
+        rows.append((i, "\n".join(own)))
+    rows += [(100 + i, "\n".join(f"short line number n{k}" for k in range(20))) for i in range(3)]
+    got = {r.doc_id: r.text for r in line_dedup.deduplicate(make(rows)).collect()}
+    want = all_pairs(rows)
+    assert got == want and sum(want[i] != t for i, t in rows) > 20
+
+
+def test_blocks_of_all_pairs_of_positions():
+    assert line_dedup.blocks([1, 60, 3, 60, 5], [7, 60, 8], [1, 60, 1], 25) == [1]
+    assert line_dedup.blocks([60, 61], [61, 60, 61], [30, 30, 30], 25) == [0, 1, 2]
+    rnd = random.Random(6)
+    for n in range(3000):
+        words = [rnd.randrange(4) for _ in range(6)]
+        a, b = [[rnd.randrange(6 if n % 2 else 3) for _ in range(rnd.randrange(14))] for _ in "ab"]
+        want = set()
+        for i in range(len(a)):
+            for j in range(len(b)):
+                k = 0
+                while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k]:
+                    k += 1
+                if sum(words[x] for x in b[j:j + k]) >= 5:
+                    want |= set(range(j, j + k))
+        assert line_dedup.blocks(a, b, [words[x] for x in b], 5) == sorted(want)
+    long = [k % 700 // 7 for k in range(20_000)]
+    assert line_dedup.blocks(long, long[5:] + [-1] + long[:9_000], [1] * 28_996, 25) == [k for k in range(28_996) if k != 19_995]
