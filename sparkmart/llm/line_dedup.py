@@ -15,7 +15,8 @@ Alignment works on the documents' line hashes alone: lines that are unique in bo
 documents and in increasing order in both (the longest such sequence) anchor it,
 each gap between anchors is aligned in the same way, and anchors extend to equal
 neighbours.  A block is a run of lines that are next to each other in both
-documents; it is deleted if it has at least ``min_words`` words.  Where lines that the
+documents; it is deleted if it has at least ``min_words`` words (by white space; in
+scripts without spaces letters count as well, see ``n_words``).  Where lines that the
 alignment leaves (repeated ones, moved ones) could still make a block, the earlier
 document's suffix automaton gives the longest common runs at any positions, in linear
 time; so every common block goes, each of its repeats in the later document too.  A
@@ -47,6 +48,9 @@ from ._common import fresh, same_document, stored
 MIN_WORDS = 25
 #: Bounds of the single-line seeds that runs replaced; only the first test of candidates still reads them.
 SEED_WORDS, RARE = 5, 8
+#: Letters of scripts that are written without spaces: about 2 and about 5 make a word.
+IDEOGRAMS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsBopomofo}"
+NO_SPACES = r"\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
 #: Base of the runs' hashes modulo 2^64, and its inverse.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -168,13 +172,20 @@ def _key(id_col: str, text_col: str) -> Column:
     return F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text"))
 
 
+def n_words(line: Column) -> Column:
+    """Words by white space, and in scripts written without spaces one more for each 2 (``IDEOGRAMS``) or 5 (``NO_SPACES``) letters."""
+    shown = F.trim(line)
+    spaced = F.when(shown == "", 0).otherwise(F.size(F.split(shown, r"\s+")))
+    letters = lambda kind: F.length(F.regexp_replace(line, f"[^{kind}]+", ""))
+    more = F.floor(letters(IDEOGRAMS) / 2 + letters(NO_SPACES) / 5).cast("int")
+    return spaced + F.when(F.octet_length(line) > F.length(line), more).otherwise(0)
+
+
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, hashes, words): each document's line hashes and their numbers of words; documents with a word only."""
+    """(doc, hashes, words): each document's line hashes and their numbers of words; documents with a text only."""
     lines = F.split(F.col(text_col), "\n", -1)
     return (docs.where(F.col(text_col).isNotNull()).select(_key(id_col, text_col).alias("doc"), lines.alias("l"))
-            .select("doc", F.transform("l", lambda x: F.xxhash64(x)).alias("hashes"),
-                    F.transform("l", lambda x: F.when(F.trim(x) == "", 0).otherwise(F.size(F.split(F.trim(x), r"\s+"))))
-                    .alias("words")))
+            .select("doc", F.transform("l", lambda x: F.xxhash64(x)).alias("hashes"), F.transform("l", n_words).alias("words")))
 
 
 def run_hashes(hashes: np.ndarray, words: np.ndarray, offsets: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:

@@ -132,3 +132,12 @@ def test_blocks_of_all_pairs_of_positions():
         assert line_dedup.blocks(a, b, [words[x] for x in b], 5) == sorted(want)
     long = [k % 700 // 7 for k in range(20_000)]
     assert line_dedup.blocks(long, long[5:] + [-1] + long[:9_000], [1] * 28_996, 25) == [k for k in range(28_996) if k != 19_995]
+
+
+def test_short_lines_and_scripts_without_spaces(spark, make):
+    rows = [(i, f"own {i}\n" + "\n".join(f"a line {k} here" for k in range(20)) + f"\nend {i}") for i in range(2)]
+    texts = ["".join(chr(0x4E00 + 7 * k) for k in range(60)), "これはながいぶんしょうです。" * 8, "ภาษาไทยไม่มีช่องว่าง" * 9]
+    rows += [(10 * n + i, "\n".join([t, t[::-1], f"own {i}"])) for n, t in enumerate(texts, 1) for i in range(2)]
+    rows += [(50, "short 日本語\nx"), (51, "short 日本語\ny")]
+    got = {r.doc_id: r.text for r in line_dedup.deduplicate(make(rows)).collect()}
+    assert got == dict(rows) | {1: "own 1\nend 1", 11: "own 1", 21: "own 1", 31: "own 1"}
