@@ -11,7 +11,7 @@ sides.  Patterns and instances (identifiers, known or not) form a graph; in each
 * an unknown instance that such patterns extract, with a joint confidence (1 minus the
   product of their doubts) of ``ACCEPT``, becomes known and is a seed of the next round.
 
-Rounds end when nothing new is found, ``ROUNDS`` at the latest.  Texts are read once; the
+Rounds go on until one finds nothing new; what is found only grows, so they end.  Texts are read once; the
 rounds work on the stored distinct edges of the graph, with sums and joins only.
 
 Unknown instances are runs of identifier characters with at least ``DIGITS`` digits that
@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 
 from ._common import fresh, same_document, stored, text_or_empty
 
-SUPPORT, CONFIDENCE, ACCEPT, ROUNDS, DIGITS = 5, 0.8, 0.9, 4, 4
+SUPPORT, CONFIDENCE, ACCEPT, DIGITS = 5, 0.8, 0.9, 4
+#: The former number of rounds, which only the test of few rounds still reads; rounds have no bound.
+ROUNDS = 4
 KINDS = ("email", "ip", "card", "phone")
 
 # The kinds' patterns find the leftmost non-overlapping matches.  Their beginnings are fixed by what
@@ -132,14 +134,13 @@ def graph(found: DataFrame, other: DataFrame) -> DataFrame:
             .distinct())
 
 
-def bootstrap(edges: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, confidence: float = CONFIDENCE,
-              accept: float = ACCEPT) -> DataFrame:
-    """(value, kind): the unknown instances that become known."""
+def bootstrap(edges: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE, accept: float = ACCEPT) -> DataFrame:
+    """(value, kind): the unknown instances that become known, up to the fixed point."""
     edges = stored(edges, "pii-edges")
     size = stored(edges.groupBy("pattern").agg(F.count_distinct("value").alias("n")), "pii-patterns")
     seeds = edges.where("kind IS NOT NULL").select("value", "kind").distinct()
-    found = None
-    for _ in range(rounds):
+    found, before = None, 0
+    while True:
         known = seeds if found is None else seeds.union(found)
         hits = (edges.select("pattern", "value").distinct().join(known, "value")
                 .groupBy("pattern", "kind").agg(F.count_distinct("value").alias("f")).where(F.col("f") >= support))
@@ -148,11 +149,11 @@ def bootstrap(edges: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, co
         score = (fresh.groupBy("value", "kind").agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("c"), F.lit(1e-9)))))).alias("score"))
                  .where(F.col("score") >= accept))
         best = score.groupBy("value").agg(F.max_by("kind", F.struct("score", "kind")).alias("kind"))
-        before = 0 if found is None else found.count()
         found = stored(best if found is None else best.join(found, "value", "left_anti").union(found), "pii-found")
-        if found.count() == before:
-            break
-    return found
+        now = found.count()
+        if now == before:
+            return found
+        before = now
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: float) -> DataFrame:

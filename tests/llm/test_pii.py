@@ -96,6 +96,14 @@ def test_rounds_against_brute_force(spark):
     assert got == plain_bootstrap(edges)
 
 
+def test_rounds_go_on_to_the_fixed_point(spark):
+    hops = 8
+    edges = [(p, "phone", f"s{i}") for h in range(1, hops + 1) for p in (f"a p{h}", f"c q{h}") for i in range(5 if h == 1 else 4)]
+    edges += [(p, None, f"u{k}") for h in range(1, hops + 1) for p in (f"a p{h}", f"c q{h}") for k in (h - 1, h) if k]
+    got = {r.value: r.kind for r in pii.bootstrap(spark.createDataFrame(edges, "pattern string, kind string, value string")).collect()}
+    assert got == {f"u{k}": "phone" for k in range(1, hops + 1)}
+
+
 def test_masked(spark, make):
     out = {r._id: r.text for r in pii.masked(make([(1, "mail a@b.c, host 1.2.3.4"), (2, None), (3, "none")])).collect()}
     assert out == {0: "mail <email>, host <ip>", 1: None, 2: "none"}
