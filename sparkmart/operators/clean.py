@@ -126,15 +126,26 @@ def fix_negatives(df: DataFrame, col: str = "prix_achat_total") -> DataFrame:
                      neg.alias("was_negative"))
 
 
+def _usable_purchases(raw: DataFrame) -> DataFrame:
+    d = drop_empty_rows(raw).na.drop("any", subset=["fournisseur", "article"])
+    d = d.withColumn("date_achat", parse_date("date")).filter(F.col("date_achat").isNotNull())
+    return fix_negatives(d)
+
+
+def purchases_rejects(raw: DataFrame) -> DataFrame:
+    """Purchases that :func:`clean_purchases` does not take, with the reason and their amount."""
+    r = _usable_purchases(raw).filter(_fractional(safe_number("quantite")))
+    return r.select("seq", "date_achat", "fournisseur", "article", "quantite", "prix_achat_total", F.lit("quantite:not_whole").alias("reason"))
+
+
 def clean_purchases(raw: DataFrame, compat_nan: bool = False) -> DataFrame:
     """Drop empty / incomplete / undated rows, fix signs, type, trim.
 
+    Purchases with a fractional quantity are rejected (:func:`purchases_rejects`).
     ``compat_nan`` reproduces the source behaviour of turning NULL text into
     the string ``nan``; by default NULL stays NULL (and is reported by DQ).
     """
-    d = drop_empty_rows(raw).na.drop("any", subset=["fournisseur", "article"])
-    d = d.withColumn("date_achat", parse_date("date")).filter(F.col("date_achat").isNotNull())
-    d = fix_negatives(d).filter(~_fractional(safe_number("quantite")))
+    d = _usable_purchases(raw).filter(~_fractional(safe_number("quantite")))
     txt = text_or_nan if compat_nan else strip
     return d.select(
         "seq", "date_achat",
@@ -152,10 +163,11 @@ def purchases_report(raw: DataFrame) -> DataFrame:
     empty = F.coalesce(*[F.col(c) for c in PURCHASE_COLS]).isNull()
     partial = ~empty & (F.col("fournisseur").isNull() | F.col("article").isNull())
     undated = ~empty & ~partial & parse_date("date").isNull()
-    kept = ~empty & ~partial & ~undated & ~_fractional(safe_number("quantite"))
+    usable, fractional = ~empty & ~partial & ~undated, _fractional(safe_number("quantite"))
+    kept = usable & ~fractional
     return fix_negatives(raw).agg(
         F.count(F.lit(1)).alias("n_input"), _n(empty).alias("n_empty"), _n(partial).alias("n_incomplete"), _n(undated).alias("n_undated"),
-        _n(kept & F.col("was_negative")).alias("n_sign_fixed"), _n(kept).alias("n_kept"))
+        _n(usable & fractional).alias("n_rejected"), _n(kept & F.col("was_negative")).alias("n_sign_fixed"), _n(kept).alias("n_kept"))
 
 
 # ------------------------------------------------------------------- clients

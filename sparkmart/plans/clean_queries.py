@@ -57,6 +57,9 @@ QUALIFY row_number() OVER (PARTITION BY {X.lower_key('nom_client')}
 
 SALES_CTES = [("sales_parsed", SALES_PARSED), ("sales_first", SALES_FIRST), ("sales_clean", SALES_CLEAN)]
 PURCH_CTES = [("purch_clean", PURCH_CLEAN)]
+_PURCH_REJECTS = f"""SELECT seq, {X.parse_date('date')} AS date_achat, fournisseur, article, quantite, prix_achat_total,
+  'quantite:not_whole' AS reason FROM purchases
+WHERE fournisseur IS NOT NULL AND article IS NOT NULL AND {X.parse_date('date')} IS NOT NULL AND {_FRACTION}"""
 CLIENT_CTES = [("clients_clean", CLIENTS_CLEAN)]
 
 # ---------------------------------------------------------------- raw scans
@@ -226,6 +229,11 @@ def clean_purchases(spark, sf):
     return C.clean_purchases(Store.of(spark, sf).raw("purchases"))
 
 
+@query("purchases_rejects", with_ctes(_PURCH_REJECTS, feeds=["purchases"]))
+def purchases_rejects(spark, sf):
+    return C.purchases_rejects(Store.of(spark, sf).raw("purchases"))
+
+
 @query("clean_clients", with_ctes("SELECT * FROM clients_clean", feeds=["clients"], ctes=CLIENT_CTES))
 def clean_clients(spark, sf):
     return C.clean_clients(Store.of(spark, sf).raw("clients"))
@@ -257,7 +265,23 @@ FROM (SELECT date IS NULL AND fournisseur IS NULL AND article IS NULL AND catego
       FROM purchases) p""",
                                            feeds=["purchases"], ctes=PURCH_CTES))
 def clean_report_purchases(spark, sf):
-    return C.purchases_report(Store.of(spark, sf).raw("purchases"))
+    # the columns of its SQL; purchases_balance has n_rejected too
+    return C.purchases_report(Store.of(spark, sf).raw("purchases")).drop("n_rejected")
+
+
+@query("purchases_balance", with_ctes("""
+SELECT COUNT(*) AS n_input, SUM(CASE WHEN empty THEN 1 ELSE 0 END)::BIGINT AS n_empty,
+  SUM(CASE WHEN NOT empty AND partial THEN 1 ELSE 0 END)::BIGINT AS n_incomplete,
+  SUM(CASE WHEN NOT empty AND NOT partial AND d IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_undated,
+  (SELECT COUNT(*) FROM purch_rejects) AS n_rejected, (SELECT COUNT(*) FROM purch_clean) AS n_kept
+FROM (SELECT date IS NULL AND fournisseur IS NULL AND article IS NULL AND categorie IS NULL AND quantite IS NULL
+        AND prix_achat_total IS NULL AND mode_paiement IS NULL AS empty, fournisseur IS NULL OR article IS NULL AS partial,
+        """ + X.parse_date("date") + """ AS d FROM purchases) p""",
+                                      feeds=["purchases"], ctes=[*PURCH_CTES, ("purch_rejects", _PURCH_REJECTS)]))
+def purchases_balance(spark, sf):
+    """Where each input row went: the other counters add up to n_input."""
+    r = C.purchases_report(Store.of(spark, sf).raw("purchases"))
+    return r.select("n_input", "n_empty", "n_incomplete", "n_undated", "n_rejected", "n_kept")
 
 
 @query("clean_report_clients", with_ctes(f"""

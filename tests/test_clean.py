@@ -88,3 +88,16 @@ def test_fractional_quantity_is_rejected_with_a_reason(spark):
     assert [(r.facture_id, r.quantite, r.reason) for r in C.sales_rejects(raw).collect()] == [("F2", "2.5", "quantite:not_whole")]
     rep = C.sales_report(raw).first()
     assert (rep.n_input, rep.n_duplicates, rep.n_rejected, rep.n_kept) == (5, 1, 1, 3)
+
+
+def test_purchase_with_a_fractional_quantity_is_rejected_with_a_reason(spark):
+    cols = "seq bigint, " + ", ".join(f"{c} string" for c in C.PURCHASE_COLS)
+    rows = [(1, "01/06/2024", "S", "a", "c", "2", "10", None), (2, "01/06/2024", "S", "a", "c", "2.5", "-70", None),
+            (3, "01/06/2024", "S", "a", "c", "abc", "10", None), (4, "01/06/2024", "S", "a", "c", "4.0", "10", None),
+            (5, None, None, None, None, None, None, None), (6, "01/06/2024", None, "a", "c", "1.5", "10", None),
+            (7, "bad", "S", "a", "c", "1.5", "10", None)]
+    raw = spark.createDataFrame(rows, cols)
+    assert sorted(r.seq for r in C.clean_purchases(raw).collect()) == [1, 3, 4]
+    assert [(r.seq, r.quantite, r.prix_achat_total, r.reason) for r in C.purchases_rejects(raw).collect()] == [(2, "2.5", "-70", "quantite:not_whole")]
+    rep = C.purchases_report(raw).first()
+    assert (rep.n_input, rep.n_empty, rep.n_incomplete, rep.n_undated, rep.n_rejected, rep.n_kept) == (7, 1, 1, 1, 1, 3)
