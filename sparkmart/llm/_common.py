@@ -76,11 +76,13 @@ def thinned(df: DataFrame, by: str, order: str, want: dict, counts: dict) -> Dat
     sample needs, however many tasks read the table.
     """
     top = 1 << 30
-    some = F.lit(False)
+    some = []
     for value, k in want.items():
         share = min(1.0, (1.3 * k + 100) / max(counts.get(value, 0), 1))
-        some = some | ((F.col(by) == value) & (F.pmod(F.col(order), F.lit(top)) < int(share * top)))
-    return df.where(some)
+        some.append((F.col(by) == value) & (F.pmod(F.col(order), F.lit(top)) < int(share * top)))
+    while len(some) > 1:  # in pairs, as a chain of many values would nest as deep
+        some = [a | b for a, b in zip(some[::2], some[1::2])] + some[len(some) - len(some) % 2:]
+    return df.where(some[0] if some else F.lit(False))
 
 
 def held_out(col: str = "doc_id") -> Column:

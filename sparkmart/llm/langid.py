@@ -3,8 +3,9 @@
 Bytes have learned embeddings; filters of several widths run over fixed-length
 windows of a text, their largest responses are pooled, and a softmax layer gives
 the languages.  The network is trained in numpy on the driver, on a bounded sample
-of labelled windows (``PER_LANG`` documents a language and ``WINDOWS`` windows of
-each), and applied in batches to all windows of every whole text inside tasks.  A
+of labelled windows (``PER_LANG`` documents a language, fewer where there are so many
+languages that these would be more than ``DOCS``, and ``WINDOWS`` windows of each; every
+label that occurs is learned), and applied in batches to all windows of every whole text inside tasks.  A
 text's scores are the means of its windows' probabilities, weighted by their letters.
 
 In use, a filter's response is a sum of table entries: for each width, pairs of
@@ -33,8 +34,8 @@ from pyspark.sql import functions as F
 from ..session import ship
 from ._common import id_hash, runs, thinned, utf8
 
-#: The training sample: documents of each language, languages, windows of each document.
-PER_LANG, MAX_LANGS, WINDOWS = 400, 200, 4
+#: The training sample: documents of each language, documents in all (but one of each language), windows of each document.
+PER_LANG, DOCS, WINDOWS = 400, 80_000, 4
 LENGTH = 256
 WIDTHS = (2, 3, 4)
 FILTERS, DIM = 16, 8
@@ -181,16 +182,19 @@ def score_rows(tables: Tables, data: np.ndarray, offsets: np.ndarray) -> np.ndar
 
 
 def training_windows(docs: DataFrame, text_col: str, lang_col: str, order: list[str], per_lang: int) -> list:
-    """(lang, window text) of a bounded sample: the first ``per_lang`` documents of each language by a hash."""
+    """(lang, window text) of a bounded sample: the first ``per_lang`` documents of each language by a hash of order and text."""
     size = LENGTH  # characters; cut to bytes afterwards
     last = F.greatest(F.length("t") - size, F.lit(0))
     starts = [F.floor(last * k / max(WINDOWS - 1, 1)).cast("int") + 1 for k in range(WINDOWS)]
     row = Window.partitionBy("lang").orderBy("h", "t")
     usable = (docs.where(F.col(text_col).rlike(r"\p{L}") & F.col(lang_col).isNotNull())
-              .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("t"), id_hash(*order).alias("h")))
-    counts = {r[0]: r[1] for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()}
+              .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("t"), id_hash(*order, text_col).alias("h")))
+    # distinct hashes count, so that repeated rows thin nothing out
+    counts = {r[0]: r[1] for r in usable.select("lang", "h").distinct().groupBy("lang").count().collect()}
+    per_lang = max(1, min(per_lang, DOCS // max(len(counts), 1)))
     return (thinned(usable, "lang", "h", dict.fromkeys(counts, per_lang), counts)
             .select("lang", "h", F.array_distinct(F.array(*[F.substr("t", s, F.lit(size)) for s in starts])).alias("t"))
+            .dropDuplicates(["lang", "h"])
             .withColumn("k", F.row_number().over(row)).where(F.col("k") <= per_lang)
             .select("lang", F.explode("t").alias("t")).collect())
 
@@ -206,7 +210,8 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order:
     for i, r in enumerate(rows):
         b = np.frombuffer(r[1].encode()[:LENGTH], np.uint8)
         x[i, :len(b)] = b
-    y = np.array([langs.index(r[0]) for r in rows])
+    place = {lang: k for k, lang in enumerate(langs)}
+    y = np.array([place[r[0]] for r in rows])
     return train(new_net(langs), x, y)
 
 

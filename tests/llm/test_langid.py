@@ -59,3 +59,13 @@ def test_sample_is_bounded(spark):
     docs = spark.createDataFrame([(i, f"some text number {i}", "en" if i % 9 else "fr") for i in range(900)], "doc_id long, text string, lang string")
     rows = langid.training_windows(docs, "text", "lang", ["doc_id"], 30)
     assert sum(r[0] == "en" for r in rows) == sum(r[0] == "fr" for r in rows) == 30
+
+
+def test_every_label_is_learned(spark):
+    schema = "doc_id long, text string, lang string"
+    one_id = spark.createDataFrame([(None if i % 2 else 7, f"some text number {i}", "en" if i % 2 else "fr") for i in range(3000)], schema)
+    assert [sum(r[0] == x for r in langid.training_windows(one_id, "text", "lang", ["doc_id"], 30)) for x in ("en", "fr")] == [30, 30]
+    same = spark.createDataFrame([(7, "the same text", "en")] * 3000, schema)
+    assert [tuple(r) for r in langid.training_windows(same, "text", "lang", ["doc_id"], 30)] == [("en", "the same text")]
+    many = spark.createDataFrame([(i, f"text {i}", f"l{i % 450}") for i in range(900)], schema)
+    assert {r[0] for r in langid.training_windows(many, "text", "lang", ["doc_id"], 5)} == {f"l{k}" for k in range(450)}
