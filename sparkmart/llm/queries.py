@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, line_dedup, minhash, packing, pii, token_counts, topk, toxicity
+from . import chat, decontaminate, filter_audit, langid, line_dedup, minhash, packing, pii, resampling, token_counts, topk, toxicity
 from ._common import held_out, read, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.deduplicate(before)
     return out.select("doc_id", F.col("chars").cast("long").alias("n_chars_before"), F.length("text").cast("long").alias("n_chars_after"),
                       F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), (F.length("text") < F.col("chars")).alias("changed"))
+
+
+@query("op12_filter_interactions", filter_audit.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op13_importance_resampling", resampling.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = (read(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return resampling.importance(docs, target, share=(10, 100), min_words=20, widths=(1, 1), buckets=10_000, seed=2024).select(
+        F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
