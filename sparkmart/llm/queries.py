@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, filter_audit, langid, line_dedup, minhash, packing, pii, resampling, token_counts, topk, toxicity
+from . import chat, decontaminate, filter_audit, langid, line_dedup, minhash, packing, pii, resampling, suffix_trees, token_counts, topk, toxicity
 from ._common import held_out, read, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,6 +107,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), (F.length("text") < F.col("chars")).alias("changed"))
 
 
+@query("op11_suffix_tree_dedup", suffix_trees.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_trees.deduplicate(read(spark, sf_dir, "documents").select("doc_id", "text"), min_words=50)
+    # a text that lost nothing is as it came: its words, joined by one space, are what the digest is of
+    words = F.array_join(F.split(F.btrim(text_or_empty(), F.lit(" \t\n\x0b\x0c\r")), r"[ \t-\r]+", -1), " ")
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(words.cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("op12_filter_interactions", filter_audit.ORACLE)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
