@@ -8,7 +8,9 @@ serves a daily batch and a streaming micro-batch (``streaming.orders``).
   same id (the source system drew a random one per request);
 * client upsert: case-insensitive key, the first spelling ever seen is kept,
   the phone is replaced only by a supplied one (the last supplied in event
-  order wins); employee upsert inserts unknown names only;
+  order wins); employee upsert keeps the first spelling too.  A dimension's state
+  has the event number of its spelling and phone, so merging is commutative,
+  associative and idempotent: any split and order of batches gives the same table;
 * invoice and line of one order are produced together from the same rows.
 """
 
@@ -74,9 +76,14 @@ def validate_orders(orders: DataFrame) -> DataFrame:
     )
 
 
+def validated(orders: DataFrame) -> DataFrame:
+    """``orders`` with their reasons, which stored events have already."""
+    return orders if "reject_reasons" in orders.columns else validate_orders(orders)
+
+
 def accepted(orders: DataFrame) -> DataFrame:
     """Valid events with their invoice key and display number (both hashed from the event key)."""
-    v = validate_orders(orders).filter("is_valid")
+    v = validated(orders).filter("is_valid")
     return v.select("*", invoice_key("event_key").alias("facture_id"), invoice_number("date_cmd", "event_key").alias("facture_no"),
                     F.when(F.col("telephone") == "", None).otherwise(F.col("telephone")).alias("tel"))
 
@@ -84,7 +91,7 @@ def accepted(orders: DataFrame) -> DataFrame:
 def with_known_service(orders: DataFrame, services: DataFrame) -> DataFrame:
     """Validated events; one whose service is not in the dimension is rejected with ``service:unknown``."""
     svc = services.select(F.col("libelle").alias("service"), "id_service")
-    v = validate_orders(orders).join(svc, "service", "left")
+    v = validated(orders).join(svc, "service", "left")
     unknown = F.col("is_valid") & F.col("id_service").isNull()
     return (v.withColumn("reject_reasons", F.when(unknown, F.lit("service:unknown")).otherwise(F.col("reject_reasons")))
             .withColumn("is_valid", F.col("is_valid") & ~unknown))
@@ -95,34 +102,67 @@ def rejected(orders: DataFrame, services: DataFrame) -> DataFrame:
     return with_known_service(orders, services).filter(~F.col("is_valid"))
 
 
-def upsert_clients(dim: DataFrame, orders: DataFrame) -> DataFrame:
-    """Client dimension after the batch (``dim``: id_client, nom_client, telephone, …).
+#: The event number of what a dimension had before any event: its spelling stays, its phone gives way.
+BEFORE = -(1 << 62)
 
-    The batch is first reduced to one row per lower-cased name (first
-    spelling, last supplied phone, in event order), so the join with the
-    dimension is one row per key on each side; hot clients cost one row.
-    """
+
+def client_state(dim: DataFrame) -> DataFrame:
+    """A client dimension (id_client, nom_client, telephone, ...) as the state that batches merge into."""
+    own = [c for c in dim.columns if c not in ("id_client", "nom_client", "telephone")]
+    seq = F.lit(BEFORE).cast("bigint")
+    phone = F.when(F.col("telephone").isNotNull(), F.struct(seq.alias("seq"), F.col("telephone").alias("text")))
+    return dim.select(lower_key("nom_client").alias("cle"), "id_client", F.struct(seq.alias("seq"), F.col("nom_client").alias("text")).alias("nom"),
+                      phone.alias("tel"), *own)
+
+
+def client_events(orders: DataFrame) -> DataFrame:
+    """One row per client of a batch: first spelling and last supplied phone, each with its event number."""
     a = accepted(orders)
-    new = a.groupBy(lower_key("client").alias("_k")).agg(
-        F.min_by("client", "seq").alias("_name"),
-        F.max_by("tel", F.when(F.col("tel").isNotNull(), F.col("seq"))).alias("_tel"))
-    d = dim.withColumn("_k", lower_key("nom_client"))
-    j = d.join(new, "_k", "full_outer")
-    cols = [c for c in dim.columns if c not in ("id_client", "nom_client", "telephone")]
-    return j.select(
-        F.coalesce("id_client", name_key(F.col("_name"))).alias("id_client"),
-        F.coalesce("nom_client", "_name").alias("nom_client"),
-        F.coalesce("_tel", "telephone").alias("telephone"),
-        *cols)
+    phone = F.when(F.col("tel").isNotNull(), F.struct("seq", F.col("tel").alias("text")))
+    return a.groupBy(lower_key("client").alias("cle")).agg(F.min(F.struct("seq", F.col("client").alias("text"))).alias("nom"), F.max(phone).alias("tel"))
+
+
+def merge_clients(state: DataFrame, events: DataFrame) -> DataFrame:
+    """The state after a batch: least event for the spelling, greatest for the phone."""
+    own = [c for c in state.columns if c not in ("cle", "id_client", "nom", "tel")]
+    both = state.unionByName(events, allowMissingColumns=True)
+    return both.groupBy("cle").agg(
+        F.coalesce(F.max("id_client"), name_key(F.min("nom")["text"])).alias("id_client"), F.min("nom").alias("nom"), F.max("tel").alias("tel"),
+        *[F.max(c).alias(c) for c in own])  # only a dimension's own row has them
+
+
+def client_rows(state: DataFrame) -> DataFrame:
+    """The client dimension that a state stands for."""
+    own = [c for c in state.columns if c not in ("cle", "id_client", "nom", "tel")]
+    return state.select("id_client", F.col("nom.text").alias("nom_client"), F.col("tel.text").alias("telephone"), *own)
+
+
+def upsert_clients(dim: DataFrame, orders: DataFrame) -> DataFrame:
+    """Client dimension after the batch (``dim``: id_client, nom_client, telephone, …); hot clients cost one row."""
+    return client_rows(merge_clients(client_state(dim), client_events(orders))).select(*dim.columns)
+
+
+def employee_state(dim: DataFrame) -> DataFrame:
+    return dim.select(lower_key("nom_employe").alias("cle"), "id_employe",
+                      F.struct(F.lit(BEFORE).cast("bigint").alias("seq"), F.col("nom_employe").alias("text")).alias("nom"))
+
+
+def employee_events(orders: DataFrame) -> DataFrame:
+    return accepted(orders).groupBy(lower_key("employe").alias("cle")).agg(F.min(F.struct("seq", F.col("employe").alias("text"))).alias("nom"))
+
+
+def merge_employees(state: DataFrame, events: DataFrame) -> DataFrame:
+    return state.unionByName(events, allowMissingColumns=True).groupBy("cle").agg(
+        F.coalesce(F.max("id_employe"), name_key(F.min("nom")["text"])).alias("id_employe"), F.min("nom").alias("nom"))
+
+
+def employee_rows(state: DataFrame) -> DataFrame:
+    return state.select("id_employe", F.col("nom.text").alias("nom_employe"))
 
 
 def upsert_employees(dim: DataFrame, orders: DataFrame) -> DataFrame:
     """Employee dimension after the batch: unknown names inserted, known ones untouched."""
-    a = accepted(orders)
-    new = a.groupBy(lower_key("employe").alias("_k")).agg(F.min_by("employe", "seq").alias("nom_employe"))
-    missing = new.join(dim.select(lower_key("nom_employe").alias("_k")), "_k", "left_anti")
-    add = missing.select(name_key(F.col("nom_employe")).alias("id_employe"), "nom_employe")
-    return dim.select("id_employe", "nom_employe").unionByName(add)
+    return employee_rows(merge_employees(employee_state(dim), employee_events(orders)))
 
 
 def order_facts(orders: DataFrame, services: DataFrame) -> DataFrame:

@@ -12,16 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean as C
+from ..operators import ingest as G
 from ..operators import mart as MT
 from ..operators import series as S
 from ..session import shared_dir
 from ..sources import feeds, files
 from ..sources import store as ST
+from ..streaming import orders as OS
 from . import inputs as I
 
 #: Each source's file format (every scan of the library is used).
 FORMATS = {"sales": "csv", "purchases": "json", "clients": "parquet"}
 _FEEDS = {"sales": feeds.sales_feed, "purchases": feeds.purchases_feed, "clients": feeds.clients_feed}
+#: Landed order files that one micro-batch takes.
+FILES_A_BATCH = 4
 _CSV = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
@@ -80,6 +84,22 @@ def build_series(spark: SparkSession, sf: str, root: str) -> None:
     ST.publish_all({"serie": long}, f"{root}/series", partition_by={"serie": ["series"]})
 
 
+def build_orders(spark: SparkSession, sf: str, root: str) -> None:
+    """The order feed with each event's reasons, computed once."""
+    ST.publish_all({"commandes": G.validate_orders(feeds.order_feed(spark, sf))}, f"{root}/orders")
+
+
+def build_ingested(spark: SparkSession, root: str) -> None:
+    """The order feed landed as files, every tenth event twice, and drained by the streaming job into its own tables."""
+    landing, base = f"{root}/order_landing", f"{root}/ingested"
+    feed = ST.read_published(spark, f"{root}/orders", "commandes").drop("reject_reasons", "is_valid", "statut", "date_cmd", "total")
+    feed.write.mode("overwrite").parquet(landing)
+    feed.where("seq % 10 = 0").write.mode("append").parquet(landing)  # delivered again, in other files
+    mart = lambda n: ST.read_published(spark, f"{root}/mart", n)
+    OS.seed_dimensions(mart("client"), mart("employe"), base)
+    OS.run_order_stream(spark, landing, base, f"{root}/order_checkpoint", feed.schema, mart("service"), files_per_batch=FILES_A_BATCH)
+
+
 def run_pipeline(spark: SparkSession, sf: str, root: str) -> None:
     """The whole job, in order; every set is switched to its new version when it is complete."""
     build_raw(spark, sf, root)
@@ -96,6 +116,7 @@ class Store:
 
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf, self.root = spark, sf, shared_dir(spark, "mart")
+        self._ingested: str | None = None
 
     @classmethod
     def of(cls, spark: SparkSession, sf: str) -> Store:
@@ -124,6 +145,8 @@ class Store:
         elif group == "mart":
             self._ensure("clean")
             build_mart(self.spark, self.root)
+        elif group == "orders":
+            build_orders(self.spark, self.sf, self.root)
         elif group == "mart_series":
             self._ensure("mart")
             build_mart_series(self.spark, self.root)
@@ -134,6 +157,20 @@ class Store:
         self._ensure("raw")
         return raw(self.spark, self.root, name)
 
+    def orders(self) -> DataFrame:
+        """The order feed's events with their reasons."""
+        return self._read("orders", "commandes")
+
+    def ingested(self) -> str:
+        """The root of the tables that the streaming job stored."""
+        root = f"{self.root}/ingested"
+        if self._ingested is None:
+            self._ensure("orders")
+            self._ensure("mart")
+            build_ingested(self.spark, self.root)
+            self._ingested = root
+        return self._ingested
+
     def clean(self, name: str) -> DataFrame:
         return self._read("clean", name)
 
