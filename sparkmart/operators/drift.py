@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import MONEY, round_half_up
 from ..functions.vocab import DRIFT_ERROR, DRIFT_MIN_POINTS, DRIFT_WARN, DRIFT_WINDOW_DAYS
+from ..sources import versions as V
 from .evaluation import seasonal_naive
 from .series import GLOBAL
 
@@ -110,7 +111,7 @@ def drift_status(measures: DataFrame, error: float = DRIFT_ERROR, warn: float =
 
     ``level``: skipped / insufficient_points / error / warning / ok.  A RelMAE
     at or above ``error`` is an error for the overall series and a warning for
-    the others.  ``notes`` carries the history notices.
+    the others.  ``notes`` carries the notices on history and points.
     """
     r = F.col("relmae_raw")  # levels by the ratio itself; the rounded one is for display
     level = (F.when(F.col("status") == "skipped", "skipped")
@@ -118,10 +119,39 @@ def drift_status(measures: DataFrame, error: float = DRIFT_ERROR, warn: float =
              .when((r >= error) & (F.col("series") == overall), "error")
              .when(r >= warn, "warning")
              .otherwise("ok"))
-    note = (F.when(F.col("status") == "skipped", F.col("detail"))
-            .when(F.col("short_history"), F.lit("short history: yearly seasonality not identifiable"))
-            .when(F.col("density") < LOW_DENSITY, F.lit("sparse history: seasonality estimated on few points")))
-    s = measures.select("series", "relmae", "n_relmae", level.alias("level"), note.alias("note"))
+    history = (F.when(F.col("status") == "skipped", F.col("detail"))
+               .when(F.col("short_history"), F.lit("short history: yearly seasonality not identifiable"))
+               .when(F.col("density") < LOW_DENSITY, F.lit("sparse history: seasonality estimated on few points")))
+    few = F.when(level == "insufficient_points", F.lit("too few comparison points: threshold not applied"))
+    s = measures.select("series", "relmae", "n_relmae", level.alias("level"), F.array_compact(F.array(history, few)).alias("notes"))
     # one row per series: a global window over this table is tiny
     failed = F.max((F.col("level") == "error").cast("int")).over(Window.partitionBy()) == 1
     return s.select("*", failed.alias("run_failed"))
+
+
+def run_record(status: DataFrame, overall: str = GLOBAL) -> DataFrame:
+    """One row on the run: what was measured, whether the overall series was evaluated, the outcome and the exit status.
+
+    ``outcome``: ``drift`` (the overall series' error, exit status 1), ``no_drift``, or ``not_evaluated`` where
+    the overall series has no level: no measure is not the same as no drift.
+    """
+    n = lambda c: F.coalesce(F.sum(F.when(c, 1)), F.lit(0)).cast("bigint")
+    level, whole = F.col("level"), F.col("series") == overall
+    evaluated = F.coalesce(F.bool_or(whole & level.isin("error", "warning", "ok")), F.lit(False))
+    failed = F.coalesce(F.bool_or(level == "error"), F.lit(False))
+    r = status.agg(n(level != "skipped").alias("n_measured"), n(level == "skipped").alias("n_skipped"), n(level == "insufficient_points").alias("n_too_few"),
+                   n(level == "warning").alias("n_warnings"), evaluated.alias("overall_evaluated"), failed.alias("failed"))
+    outcome = F.when(F.col("failed"), "drift").when(F.col("overall_evaluated"), "no_drift").otherwise("not_evaluated")
+    return r.select("*", outcome.alias("outcome"), F.col("failed").cast("int").alias("exit_status"))
+
+
+def record_run(measures: DataFrame, root: str) -> int:
+    """Write the measures, levels and record of a run in one commit; the job's exit status."""
+    spark, status = measures.sparkSession, drift_status(measures)
+    change = V.merged(V.write_lot(measures, root, "mesures"), V.write_lot(status, root, "niveaux"))
+    state = V.applied(V.snapshot(spark, root), change, 0)
+    own = run_record(V.read(spark, root, state | {"parts": change["add"]}, "niveaux"))  # of this run's levels
+    change = V.merged(change, V.write_lot(own.withColumn("execute_le", F.current_timestamp()), root, "executions"))
+    status_ = own.first()["exit_status"]  # one row
+    V.commit(spark, root, V.snapshot(spark, root), change)
+    return status_

@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, DateType, DoubleType, LongType, StringType, StructField,
+from pyspark.sql.types import (ArrayType, BooleanType, DateType, DoubleType, LongType, StringType, StructField,
                                StructType)
 
 from ..functions.vocab import CV_HORIZON, CV_INITIAL, CV_PERIOD
@@ -188,11 +188,12 @@ def forecast_series(series: DataFrame, horizon: int = 180) -> DataFrame:
 
 
 def model_params(series: DataFrame) -> DataFrame:
-    """Fitted parameters per series (the model table; no pickled objects)."""
+    """Fitted parameters per series (the model table; no pickled objects); ``scoring`` predicts from them."""
     schema = StructType([
         StructField("series", StringType()), StructField("n_obs", LongType()),
         StructField("first_ds", DateType()), StructField("last_ds", DateType()),
         StructField("y_scale", DoubleType()), StructField("sigma", DoubleType()),
+        StructField("bend", DoubleType()), StructField("daily", BooleanType()),
         StructField("changepoints", ArrayType(DoubleType())),
         StructField("coefficients", ArrayType(DoubleType()))])
 
@@ -203,7 +204,7 @@ def model_params(series: DataFrame) -> DataFrame:
         d = pd.to_datetime(pdf["ds"])
         return pd.DataFrame([{
             "series": pdf["series"].iloc[0], "n_obs": m["n"], "first_ds": d.min().date(),
-            "last_ds": d.max().date(), "y_scale": m["scale"], "sigma": m["sigma"],
+            "last_ds": d.max().date(), "y_scale": m["scale"], "sigma": m["sigma"], "bend": m["lam"], "daily": m["daily"],
             "changepoints": [float(c) for c in m["cps"]],
             "coefficients": [float(b) for b in m["beta"]]}])
 

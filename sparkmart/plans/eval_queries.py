@@ -9,9 +9,12 @@ forecast store.  The per-series model runs through the same jobs in
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..functions.vocab import CV_HORIZON, CV_INITIAL, CV_PERIOD, DRIFT_WINDOW_DAYS
 from ..operators import drift as DR
 from ..operators import evaluation as E
+from ..operators import scoring as SC
 from ..operators import serving as SV
 from . import inputs as I
 from .oracle_feeds import with_ctes
@@ -138,7 +141,7 @@ def _hval(s: str, x: str) -> str:
     return f"((CAST({s} AS DOUBLE) + {part}) / CAST(w AS DOUBLE))"
 
 
-@query("metrics_by_horizon", _sql(f"""
+METRICS_BY_HORIZON = f"""
 SELECT series, CAST(h AS INTEGER) AS horizon_days,
   CAST(round_even({_hval('S_mae - iS_mae', 'ix_mae')}, 0) AS BIGINT) AS mae,
   CASE WHEN z = 0 THEN {rhu(_hval('S_mape - iS_mape', 'ix_mape') + ' * 100', 2)} END AS mape_pct,
@@ -150,11 +153,35 @@ FROM (
     arg_max(i.x_mae, i.h) AS ix_mae, arg_max(i.x_mape, i.h) AS ix_mape, arg_max(i.x_cov, i.h) AS ix_cov
   FROM ({_HC}) t JOIN ({_HC}) i ON t.series = i.series AND i.C - i.n <= t.C - t.w
   WHERE t.C - t.w >= 0 AND t.h IN (30, 60, 90)
-  GROUP BY 1, 2, 3, 4, 5, 6, 7, 8) r"""))
+  GROUP BY 1, 2, 3, 4, 5, 6, 7, 8) r"""
+
+
+@query("metrics_by_horizon", _sql(METRICS_BY_HORIZON))
 def metrics_by_horizon(spark, sf):
     return E.metrics_by_horizon(_fc(spark, sf))
 
 
+WIDTHS = """SELECT series, date_diff('day', cutoff, ds) AS step, COUNT(*) AS n, quantile_disc(abs(y - yhat), 0.8) AS half_width
+FROM {} GROUP BY 1, 2"""
+CALIBRATED = """SELECT f.series, f.cutoff, f.ds, f.y, f.yhat, f.yhat - w.half_width AS yhat_lower, f.yhat + w.half_width AS yhat_upper
+FROM fc0 f JOIN widths w ON f.series = w.series AND date_diff('day', f.cutoff, f.ds) = w.step"""
+CALIBRATED_CTES = EVAL_CTES[:-2] + [("fc0", FC), ("widths", WIDTHS.format("fc0")), ("fc", CALIBRATED)]
+
+
+@query("conformal_widths", _sql(f"""SELECT series, CAST(step AS INTEGER) AS step, n, CAST(half_width AS DOUBLE) AS half_width
+FROM ({WIDTHS.format("fc")}) w"""))
+def conformal_widths(spark, sf):
+    """Half widths that 80 % of the rolling-origin residuals stay within, by series and step."""
+    return SC.conformal_widths(_fc(spark, sf))
+
+
+@query("calibrated_metrics_by_horizon", with_ctes(METRICS_BY_HORIZON, ctes=CALIBRATED_CTES))
+def calibrated_metrics_by_horizon(spark, sf):
+    """Errors and coverage with these half widths."""
+    fc = _fc(spark, sf)
+    return E.metrics_by_horizon(SC.with_widths(fc, SC.conformal_widths(fc), F.datediff("ds", "cutoff")))
+
+
 @query("relmae_table", _sql(f"""
 SELECT series, model, n,
   CAST(round_even(CAST(sae AS DOUBLE) / CAST(n AS DOUBLE), 0) AS BIGINT) AS mae,
@@ -238,19 +265,34 @@ def relmae(spark, sf):
     return _measures(spark, sf).drop("relmae_raw")
 
 
-@query("drift_status", _dsql("""
-SELECT series, relmae, n_relmae, level, note, MAX(CASE WHEN level = 'error' THEN 1 ELSE 0 END) OVER () = 1 AS run_failed
+STATUS = """SELECT series, relmae, n_relmae, level, list_filter([history, few], lambda x: x IS NOT NULL) AS notes,
+  MAX(CASE WHEN level = 'error' THEN 1 ELSE 0 END) OVER () = 1 AS run_failed
+FROM (SELECT *, CASE WHEN level = 'insufficient_points' THEN 'too few comparison points: threshold not applied' END AS few
 FROM (SELECT series, relmae, n_relmae,
   CASE WHEN status = 'skipped' THEN 'skipped' WHEN n_relmae < 10 THEN 'insufficient_points'
        WHEN relmae_raw >= 1.0 AND series = 'global' THEN 'error' WHEN relmae_raw >= 0.85 THEN 'warning' ELSE 'ok' END AS level,
   CASE WHEN status = 'skipped' THEN detail
        WHEN short_history THEN 'short history: yearly seasonality not identifiable'
-       WHEN density < 0.5 THEN 'sparse history: seasonality estimated on few points' END AS note
-FROM measures) m"""))
+       WHEN density < 0.5 THEN 'sparse history: seasonality estimated on few points' END AS history
+FROM measures) m) n"""
+
+
+@query("drift_status", _dsql(STATUS))
 def drift_status(spark, sf):
     return DR.drift_status(_measures(spark, sf))
 
 
+@query("drift_run", _dsql(f"""
+SELECT n_measured, n_skipped, n_too_few, n_warnings, overall_evaluated, failed,
+  CASE WHEN failed THEN 'drift' WHEN overall_evaluated THEN 'no_drift' ELSE 'not_evaluated' END AS outcome, CAST(failed AS INTEGER) AS exit_status
+FROM (SELECT COUNT(*) FILTER (WHERE level <> 'skipped') AS n_measured, COUNT(*) FILTER (WHERE level = 'skipped') AS n_skipped,
+  COUNT(*) FILTER (WHERE level = 'insufficient_points') AS n_too_few, COUNT(*) FILTER (WHERE level = 'warning') AS n_warnings,
+  COALESCE(bool_or(series = 'global' AND level IN ('error', 'warning', 'ok')), false) AS overall_evaluated,
+  COALESCE(bool_or(level = 'error'), false) AS failed FROM ({STATUS}) s) r"""))
+def drift_run(spark, sf):
+    return DR.run_record(DR.drift_status(_measures(spark, sf)))
+
+
 # ---------------------------------------------------------------- serving
 
 GRID = """SELECT series, CAST(last_ds + CAST(step AS INTEGER) AS DATE) AS ds, CAST(step AS INTEGER) AS step

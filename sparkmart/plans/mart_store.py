@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean as C
+from ..operators import forecaster as FM
 from ..operators import ingest as G
 from ..operators import mart as MT
 from ..operators import series as S
 from ..session import shared_dir
 from ..sources import feeds, files
 from ..sources import store as ST
+from ..sources import versions as V
 from ..streaming import orders as OS
 from . import inputs as I
 
@@ -84,6 +86,18 @@ def build_series(spark: SparkSession, sf: str, root: str) -> None:
     ST.publish_all({"serie": long}, f"{root}/series", partition_by={"serie": ["series"]})
 
 
+def build_models(spark: SparkSession, root: str) -> None:
+    """Fit every series of the published series once; the parameters replace each series' former ones."""
+    series = ST.read_published(spark, f"{root}/series", "serie").select("series", "ds", "y")
+    V.replace_part(FM.model_params(series), f"{root}/models", "parametres", "series")
+
+
+def build_cv(spark: SparkSession, root: str) -> None:
+    """Rolling-origin forecasts of every series, which the evaluation jobs read."""
+    series = ST.read_published(spark, f"{root}/series", "serie").select("series", "ds", "y")
+    ST.publish_all({"previsions": FM.cv_forecasts(series)}, f"{root}/cv")
+
+
 def build_orders(spark: SparkSession, sf: str, root: str) -> None:
     """The order feed with each event's reasons, computed once."""
     ST.publish_all({"commandes": G.validate_orders(feeds.order_feed(spark, sf))}, f"{root}/orders")
@@ -107,6 +121,7 @@ def run_pipeline(spark: SparkSession, sf: str, root: str) -> None:
     build_mart(spark, root)
     build_mart_series(spark, root)
     build_series(spark, sf, root)
+    build_models(spark, root)
 
 
 class Store:
@@ -147,6 +162,9 @@ class Store:
             build_mart(self.spark, self.root)
         elif group == "orders":
             build_orders(self.spark, self.sf, self.root)
+        elif group == "cv":
+            self._ensure("series")
+            build_cv(self.spark, self.root)
         elif group == "mart_series":
             self._ensure("mart")
             build_mart_series(self.spark, self.root)
@@ -157,6 +175,18 @@ class Store:
         self._ensure("raw")
         return raw(self.spark, self.root, name)
 
+    def models(self) -> DataFrame:
+        """The parameters that forecasts are made from, one row per series."""
+        root = f"{self.root}/models"
+        if V.snapshot(self.spark, root)["number"] < 0:
+            self._ensure("series")
+            build_models(self.spark, self.root)
+        return V.read_current(self.spark, root, "parametres")
+
+    def cv(self) -> DataFrame:
+        """(series, cutoff, ds, y, yhat, yhat_lower, yhat_upper) of the rolling-origin refits."""
+        return self._read("cv", "previsions")
+
     def orders(self) -> DataFrame:
         """The order feed's events with their reasons."""
         return self._read("orders", "commandes")

@@ -1,4 +1,4 @@
-"""Sinks: raw archive, versioned publish, partition replace.
+"""Sinks: raw archive, versioned publish (single parts are replaced by ``versions``).
 
 Tables live on the shared file system (HDFS / object store / local in tests).  A
 full replace writes a *new* version folder and then adds one numbered, immutable
@@ -136,14 +136,3 @@ def read_current(spark: SparkSession, table_root: str) -> DataFrame:
 def write_raw_archive(raw: dict[str, DataFrame], root: str) -> str:
     """Full replace of all raw tables as one version; every anomaly is kept as text."""
     return publish_all({name: archive_frame(df) for name, df in raw.items()}, root)
-
-
-def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Overwrite only the partitions present in ``df`` (per-series forecast replace)."""
-    spark = df.sparkSession
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)

@@ -1,8 +1,13 @@
 """Drift levels by the ratio itself; the ratio on days that have both forecasts."""
 
 import datetime as dt
+import os
+import uuid
+
+import pytest
 
 from sparkmart.operators import drift as DR
+from sparkmart.sources import versions as V
 
 
 def _measures(spark, ratio):
@@ -31,3 +36,23 @@ def test_a_day_without_forecast_is_in_neither_mean(spark):
     m = DR.drift_measures(series, spark.createDataFrame(fc, "series string, ds date, yhat double")).first()
     assert m.n_relmae == 27  # 28 days have a reference, one of them no forecast
     assert abs(m.relmae_raw - 0.5) < 1e-9  # 5 against 10 on every compared day
+
+
+@pytest.mark.parametrize("overall, level, outcome, exit_status, n_notes", [
+    ({"relmae_raw": 1.2}, "error", "drift", 1, 0), ({"relmae_raw": 0.5}, "ok", "no_drift", 0, 0), ({"relmae_raw": 0.9, "density": 0.3}, "warning", "no_drift", 0, 1),
+    ({"relmae_raw": 1.2, "n_relmae": 4, "short_history": True}, "insufficient_points", "not_evaluated", 0, 2),
+    ({"status": "skipped", "detail": "history too short"}, "skipped", "not_evaluated", 0, 1), (None, None, "not_evaluated", 0, 0)])
+def test_run_record_tells_no_measure_from_no_drift(spark, overall, level, outcome, exit_status, n_notes):
+    base = _measures(spark, 2.0)
+    row = base.first().asDict()
+    rows = [row | {"series": "service"}] + ([row | overall] if overall else [])
+    measures = spark.createDataFrame(rows, base.schema)
+    got = {r.series: r for r in DR.drift_status(measures).collect()}
+    assert got["service"].level == "warning"
+    if overall:
+        assert got["global"].level == level and len(got["global"].notes) == n_notes
+    root = os.path.join(spark.conf.get("spark.checkpoint.dir"), f"drift-{uuid.uuid4().hex[:8]}")
+    assert DR.record_run(measures, root) == exit_status and DR.record_run(measures, root) == exit_status
+    runs = V.read_current(spark, root, "executions").collect()
+    assert [(r.outcome, r.failed, r.n_measured) for r in runs] == [(outcome, bool(exit_status), len(rows) - (level == "skipped"))] * 2
+    assert V.read_current(spark, root, "mesures").count() == 2 * len(rows)

@@ -5,6 +5,7 @@ import datetime as dt
 import numpy as np
 
 from sparkmart.operators import forecaster as FM
+from sparkmart.operators import scoring as SC
 from sparkmart.operators import serving as SV
 
 
@@ -103,3 +104,42 @@ def test_all_variants_of_a_group_equal_single_fits(spark):
     for v in FM.VARIANTS[:2]:
         alone = FM.cv_forecasts(s, horizon=30, variants=[v]).toPandas().sort_values(key).reset_index(drop=True)
         assert together[together.variant == v[0]].reset_index(drop=True).yhat.equals(alone.yhat)
+
+
+def test_stored_parameters_score_as_the_fit_predicts(spark, tmp_path):
+    s = (_series_df(spark, _noisy(800), name="long").unionByName(_series_df(spark, _noisy(200, seed=3), name="under a year"))
+         .unionByName(_series_df(spark, [5.0, 7.0], name="two days")).unionByName(_series_df(spark, [5.0], name="one day")))
+    FM.model_params(s).write.parquet(str(tmp_path / "p"))
+    scored = SC.forecast(spark.read.parquet(str(tmp_path / "p")), 180)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+    key = ["series", "ds"]
+    got, want = (x.toPandas().sort_values(key).reset_index(drop=True) for x in (scored, FM.forecast_series(s, 180)))
+    assert got[key].equals(want[key]) and len(got) == 3 * 180
+    for c in ("yhat", "yhat_lower", "yhat_upper"):
+        assert np.allclose(got[c], want[c], rtol=1e-9, atol=1e-9)
+
+
+def test_variants_with_daily_terms_score_too(spark):
+    m = FM.fit(np.arange(18000, 18500), _noisy(500), 0.05, True)
+    row = ("v", m["n"], dt.date(1970, 1, 1) + dt.timedelta(days=18000), dt.date(1970, 1, 1) + dt.timedelta(days=18499), m["scale"], m["sigma"], m["lam"], True,
+           [float(c) for c in m["cps"]], [float(b) for b in m["beta"]])
+    params = spark.createDataFrame([row], "series string, n_obs long, first_ds date, last_ds date, y_scale double, sigma double, bend double, daily boolean, "
+                                          "changepoints array<double>, coefficients array<double>")
+    got = SC.forecast(params, 60).toPandas().sort_values("ds")
+    for c, want in zip(("yhat", "yhat_lower", "yhat_upper"), FM.predict(m, np.arange(18500, 18560))):
+        assert np.allclose(got[c], want, rtol=1e-9)
+
+
+def test_calibrated_bounds_cover_80_percent_of_every_series(spark):
+    from sparkmart.operators import evaluation as E
+    s = _series_df(spark, _noisy(1500), name="a").unionByName(_series_df(spark, _noisy(1400, seed=5, slope=-0.3), name="b"))
+    fc = FM.cv_forecasts(s, period=15).withColumn("yhat", SC.F.col("yhat").cast("decimal(38,2)"))
+    fc = SC.with_widths(fc, SC.conformal_widths(fc), SC.F.datediff("ds", "cutoff"))
+    rows = E.metrics_by_horizon(fc).collect()
+    assert len(rows) == 6 and all(78 <= r.coverage_pct <= 82 for r in rows)
+    # steps behind the last width go on with the square root
+    widths = spark.createDataFrame([("a", 1, 3.0), ("a", 4, 6.0)], "series string, step int, half_width double")
+    far = spark.createDataFrame([("a", 1, 10.0), ("a", 16, 10.0), ("z", 1, 10.0)], "series string, step int, yhat double")
+    got = {(r.series, r.step): r.yhat_upper for r in SC.with_widths(far, widths, SC.F.col("step")).collect()}
+    assert got == {("a", 1): 13.0, ("a", 16): 22.0, ("z", 1): None}

@@ -64,15 +64,6 @@ def test_publish_switches_pointer_and_keeps_old_version(spark):
     assert spark.read.parquet(f"{root}/v=v1/data").count() == 3
 
 
-def test_replace_partitions_touches_only_given_series(spark):
-    path = _dir(spark, "fc")
-    a = spark.createDataFrame([("a", 1), ("b", 2)], "series string, v int")
-    ST.replace_partitions(a, path, ["series"])
-    ST.replace_partitions(spark.createDataFrame([("a", 9)], "series string, v int"), path, ["series"])
-    got = sorted((r.series, r.v) for r in spark.read.parquet(path).collect())
-    assert got == [("a", 9), ("b", 2)]
-
-
 def test_clean_all_builds_each_job(spark, sf_small):
     from sparkmart.sources import feeds
     raw = {"sales": feeds.sales_feed(spark, sf_small), "clients": feeds.clients_feed(spark, sf_small),
