@@ -1,7 +1,9 @@
 """Cleaning jobs for the three raw sources.
 
-Each job is one lazy plan; row counters come from the same plan
-(:func:`sales_report`) rather than from extra passes.
+Each job is one lazy plan; with a :class:`Counters` it counts its steps while it runs, and
+``*_counts`` turns these into the job's report.  ``*_report`` computes the same report from
+the raw rows (an executor lost in mid-job can make observed counters run too high, which
+shows, as they then do not match the rows stored).
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from ..functions.labels import normalise_city, normalise_service, normalise_stat
 from ..functions.money import integral, round_even, safe_number
 from ..functions.text import clean_text, strip, text_or_nan
 from ..functions.vocab import TOTAL_SENTINELS
+from .counters import Counters, watched
 from .dedup import dedup_case_insensitive, keep_first
 
 
@@ -51,9 +54,10 @@ def _fractional(qty) -> Column:
     return qty.isNotNull() & integral(qty).isNull()
 
 
-def _first_sales(raw: DataFrame) -> DataFrame:
-    p = sales_parsed(raw).filter(F.col("date_facture").isNotNull() & F.col("client").isNotNull())
-    return recompute_totals(keep_first(p, ["facture_id"], ["seq"]))
+def _first_sales(raw: DataFrame, counters: Counters | None = None) -> DataFrame:
+    p = sales_parsed(watched(counters, raw, "input")).filter(F.col("date_facture").isNotNull() & F.col("client").isNotNull())
+    first = keep_first(watched(counters, p, "usable"), ["facture_id"], ["seq"])
+    return recompute_totals(watched(counters, first, "first"))
 
 
 def sales_rejects(raw: DataFrame) -> DataFrame:
@@ -62,14 +66,15 @@ def sales_rejects(raw: DataFrame) -> DataFrame:
     return r.select("seq", "facture_id", "quantite", F.lit("quantite:not_whole").alias("reason"))
 
 
-def clean_sales(raw: DataFrame) -> DataFrame:
+def clean_sales(raw: DataFrame, counters: Counters | None = None) -> DataFrame:
     """Flat cleaned sales, one row per kept invoice.
 
     Order matters (it decides which duplicate survives): drop rows lacking a
     date or client, then keep the first row per invoice id, then repair totals;
     invoices with a fractional quantity are rejected (:func:`sales_rejects`).
     """
-    r = _first_sales(raw).filter(~_fractional(F.col("qty_num")))
+    r = _first_sales(raw, counters).filter(~_fractional(F.col("qty_num")))
+    r = watched(counters, r, "kept", recomputed=F.col("recomputed"), no_employee=F.col("employe_en_charge").isNull())
     return r.select(
         "seq", "facture_id", "date_facture",
         F.col("statut").alias("statut_paiement"),
@@ -83,6 +88,13 @@ def clean_sales(raw: DataFrame) -> DataFrame:
     )
 
 
+def sales_counts(c: Counters) -> dict[str, int]:
+    """:func:`sales_report` from the counters of a run."""
+    n = {p: c.value(p) for p in ("input", "usable", "first", "kept")}
+    return {"n_input": n["input"], "n_dropped_missing": n["input"] - n["usable"], "n_duplicates": n["usable"] - n["first"], "n_rejected": n["first"] - n["kept"],
+            "n_recomputed": c.value("kept", "recomputed"), "n_kept": n["kept"], "n_without_employee": c.value("kept", "no_employee")}
+
+
 def _n(cond) -> Column:
     return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
 
@@ -126,10 +138,11 @@ def fix_negatives(df: DataFrame, col: str = "prix_achat_total") -> DataFrame:
                      neg.alias("was_negative"))
 
 
-def _usable_purchases(raw: DataFrame) -> DataFrame:
-    d = drop_empty_rows(raw).na.drop("any", subset=["fournisseur", "article"])
+def _usable_purchases(raw: DataFrame, counters: Counters | None = None) -> DataFrame:
+    d = watched(counters, drop_empty_rows(watched(counters, raw, "input")), "some")
+    d = watched(counters, d.na.drop("any", subset=["fournisseur", "article"]), "complete")
     d = d.withColumn("date_achat", parse_date("date")).filter(F.col("date_achat").isNotNull())
-    return fix_negatives(d)
+    return fix_negatives(watched(counters, d, "dated"))
 
 
 def purchases_rejects(raw: DataFrame) -> DataFrame:
@@ -138,14 +151,15 @@ def purchases_rejects(raw: DataFrame) -> DataFrame:
     return r.select("seq", "date_achat", "fournisseur", "article", "quantite", "prix_achat_total", F.lit("quantite:not_whole").alias("reason"))
 
 
-def clean_purchases(raw: DataFrame, compat_nan: bool = False) -> DataFrame:
+def clean_purchases(raw: DataFrame, compat_nan: bool = False, counters: Counters | None = None) -> DataFrame:
     """Drop empty / incomplete / undated rows, fix signs, type, trim.
 
     Purchases with a fractional quantity are rejected (:func:`purchases_rejects`).
     ``compat_nan`` reproduces the source behaviour of turning NULL text into
     the string ``nan``; by default NULL stays NULL (and is reported by DQ).
     """
-    d = _usable_purchases(raw).filter(~_fractional(safe_number("quantite")))
+    d = _usable_purchases(raw, counters).filter(~_fractional(safe_number("quantite")))
+    d = watched(counters, d, "kept", negative=F.col("was_negative"))
     txt = text_or_nan if compat_nan else strip
     return d.select(
         "seq", "date_achat",
@@ -158,6 +172,13 @@ def clean_purchases(raw: DataFrame, compat_nan: bool = False) -> DataFrame:
     )
 
 
+def purchases_counts(c: Counters) -> dict[str, int]:
+    """:func:`purchases_report` from the counters of a run."""
+    n = {p: c.value(p) for p in ("input", "some", "complete", "dated", "kept")}
+    return {"n_input": n["input"], "n_empty": n["input"] - n["some"], "n_incomplete": n["some"] - n["complete"], "n_undated": n["complete"] - n["dated"],
+            "n_rejected": n["dated"] - n["kept"], "n_sign_fixed": c.value("kept", "negative"), "n_kept": n["kept"]}
+
+
 def purchases_report(raw: DataFrame) -> DataFrame:
     """Step counters of :func:`clean_purchases`: one aggregate over the raw rows."""
     empty = F.coalesce(*[F.col(c) for c in PURCHASE_COLS]).isNull()
@@ -175,11 +196,17 @@ def purchases_report(raw: DataFrame) -> DataFrame:
 CLIENT_TEXT = ["nom_client", "entreprise", "telephone", "email", "ville"]
 
 
-def clean_clients(raw: DataFrame) -> DataFrame:
+def clean_clients(raw: DataFrame, counters: Counters | None = None) -> DataFrame:
     """Trim, fold missing spellings, normalise city, dedup case-insensitively."""
     c = raw.select("seq", *[clean_text(x).alias(x) for x in CLIENT_TEXT])
+    c = watched(counters, c, "input", moved=F.coalesce(normalise_city("ville") != F.col("ville"), F.lit(False)))
     c = c.withColumn("ville", normalise_city("ville"))
-    return dedup_case_insensitive(c, "nom_client", order=["seq"]).select("seq", *CLIENT_TEXT)
+    return watched(counters, dedup_case_insensitive(c, "nom_client", order=["seq"]), "kept").select("seq", *CLIENT_TEXT)
+
+
+def clients_counts(c: Counters) -> dict[str, int]:
+    """:func:`clients_report` from the counters of a run."""
+    return {"n_input": c.value("input"), "n_duplicates": c.value("input") - c.value("kept"), "n_city_normalised": c.value("input", "moved"), "n_kept": c.value("kept")}
 
 
 def clients_report(raw: DataFrame) -> DataFrame:
@@ -194,13 +221,26 @@ def clients_report(raw: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------------- all
 
-def clean_all(raw: dict[str, DataFrame], compat_nan: bool = False) -> dict[str, DataFrame]:
-    """The three cleaning jobs over a dict of raw sources, one lazy plan each."""
+def clean_all(raw: dict[str, DataFrame], compat_nan: bool = False, counters: dict[str, Counters] | None = None) -> dict[str, DataFrame]:
+    """The three cleaning jobs over a dict of raw sources, one lazy plan each (counted where ``counters`` has the job)."""
     out: dict[str, DataFrame] = {}
+    c = counters or {}
     if "sales" in raw:
-        out["sales"] = clean_sales(raw["sales"])
+        out["sales"] = clean_sales(raw["sales"], c.get("sales"))
     if "purchases" in raw:
-        out["purchases"] = clean_purchases(raw["purchases"], compat_nan)
+        out["purchases"] = clean_purchases(raw["purchases"], compat_nan, c.get("purchases"))
     if "clients" in raw:
-        out["clients"] = clean_clients(raw["clients"])
+        out["clients"] = clean_clients(raw["clients"], c.get("clients"))
+    return out
+
+
+def job_counts(raw: dict[str, DataFrame], counters: dict[str, Counters], stored: dict[str, DataFrame]) -> dict[str, dict[str, int]]:
+    """The reports of jobs that have run: the observed counters where they match the rows stored, else counted from the raw rows."""
+    of = {"sales": (sales_counts, sales_report), "purchases": (purchases_counts, purchases_report), "clients": (clients_counts, clients_report)}
+    out = {}
+    for name, (observed, counted) in of.items():
+        if name in counters:
+            r = observed(counters[name])
+            exact = r["n_kept"] == stored[name].count() and min(r.values()) >= 0 and r["n_input"] == raw[name].count()
+            out[name] = r if exact else {k: int(v) for k, v in counted(raw[name]).first().asDict().items()}
     return out

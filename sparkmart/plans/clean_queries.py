@@ -250,23 +250,24 @@ SELECT COUNT(*) AS n_input,
   (SELECT SUM(CASE WHEN nom_employe IS NULL THEN 1 ELSE 0 END) FROM sales_clean)::BIGINT AS n_without_employee
 FROM sales_parsed""", feeds=["sales"], ctes=SALES_CTES))
 def clean_report(spark, sf):
-    return C.sales_report(Store.of(spark, sf).raw("sales"))
+    """The step counters that the job itself observed."""
+    return Store.of(spark, sf).counters("sales")
 
 
 @query("clean_report_purchases", with_ctes("""
 SELECT COUNT(*) AS n_input, SUM(CASE WHEN empty THEN 1 ELSE 0 END)::BIGINT AS n_empty,
   SUM(CASE WHEN NOT empty AND partial THEN 1 ELSE 0 END)::BIGINT AS n_incomplete,
   SUM(CASE WHEN NOT empty AND NOT partial AND d IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_undated,
+  (SELECT COUNT(*) FROM purch_rejects) AS n_rejected,
   SUM(CASE WHEN NOT empty AND NOT partial AND d IS NOT NULL AND neg THEN 1 ELSE 0 END)::BIGINT AS n_sign_fixed,
   (SELECT COUNT(*) FROM purch_clean) AS n_kept
 FROM (SELECT date IS NULL AND fournisseur IS NULL AND article IS NULL AND categorie IS NULL AND quantite IS NULL
         AND prix_achat_total IS NULL AND mode_paiement IS NULL AS empty, fournisseur IS NULL OR article IS NULL AS partial,
         """ + X.parse_date("date") + """ AS d, COALESCE(""" + X.safe_number("prix_achat_total") + """ < 0, false) AS neg
       FROM purchases) p""",
-                                           feeds=["purchases"], ctes=PURCH_CTES))
+                                           feeds=["purchases"], ctes=[*PURCH_CTES, ("purch_rejects", _PURCH_REJECTS)]))
 def clean_report_purchases(spark, sf):
-    # the columns of its SQL; purchases_balance has n_rejected too
-    return C.purchases_report(Store.of(spark, sf).raw("purchases")).drop("n_rejected")
+    return Store.of(spark, sf).counters("purchases")
 
 
 @query("purchases_balance", with_ctes("""
@@ -290,4 +291,4 @@ SELECT COUNT(*) AS n_input, (COUNT(*) - (SELECT COUNT(*) FROM clients_clean))::B
   (SELECT COUNT(*) FROM clients_clean) AS n_kept
 FROM (SELECT {X.clean_text('ville')} AS v FROM clients) c""", feeds=["clients"], ctes=CLIENT_CTES))
 def clean_report_clients(spark, sf):
-    return C.clients_report(Store.of(spark, sf).raw("clients"))
+    return Store.of(spark, sf).counters("clients")

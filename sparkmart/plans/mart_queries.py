@@ -10,9 +10,10 @@ from ..operators import mart as MT
 from ..operators import quality as Q
 from ..operators import serving as SV
 from ..operators import series as S
+from ..operators.constraints import violations
 from . import oracle_exprs as X
 from .clean_queries import CLIENT_CTES, PURCH_CTES, SALES_CTES
-from .mart_store import Store
+from .mart_store import RULES, Store
 from .oracle_feeds import q, with_ctes
 from .registry import query
 
@@ -386,3 +387,21 @@ def dq_null_employee(spark, sf):
         F.sum(F.when(F.col("id_employe").isNull(), 1).otherwise(0)).cast("bigint").alias("n_fact_null"),
         F.sum(F.when(F.col("nom_employe").isNull(), 1).otherwise(0)).cast("bigint").alias("n_source_null"))
     return a.select("*", (F.col("n_fact_null") <= F.col("n_source_null")).alias("ok"))
+
+
+def _rule_sql(r) -> str:
+    t, c = _TABLE_SQL[r.table], r.columns[0]
+    if r.kind == "unique":
+        key = _LK(c) if r.any_case else c
+        return f"SELECT '{r.name}' AS rule, (COUNT(*) - COUNT(DISTINCT COALESCE({key}, '')))::BIGINT AS n FROM {t}"
+    if r.kind == "foreign":
+        return f"SELECT '{r.name}' AS rule, COUNT(*) AS n FROM {t} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {r.key} FROM {_TABLE_SQL[r.parent]} WHERE {r.key} IS NOT NULL)"
+    broken = {"not_null": f"{c} IS NULL", "length": f"length({c}) > {r.limit}", "domain": f"{c} NOT IN ({', '.join(q(v) for v in r.values)})"}[r.kind]
+    return f"SELECT '{r.name}' AS rule, COUNT(*) FILTER (WHERE {broken}) AS n FROM {t}"
+
+
+@query("gate_report", _sql("\nUNION ALL ".join(_rule_sql(r) for r in RULES)))
+def gate_report(spark, sf):
+    """Every constraint that the publishing job holds the staged mart against, with its offending rows."""
+    m = Mart.of(spark, sf)
+    return violations({t: m.store.mart(t) for t in dict.fromkeys(r.table for r in RULES)}, RULES)

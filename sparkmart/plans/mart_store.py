@@ -11,11 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.vocab import LENGTH_BOUNDS, PAYMENT_STATUSES, SERVICES
 from ..operators import clean as C
 from ..operators import forecaster as FM
 from ..operators import ingest as G
 from ..operators import mart as MT
 from ..operators import series as S
+from ..operators.constraints import Rule, enforce
+from ..operators.counters import Counters
 from ..session import shared_dir
 from ..sources import feeds, files
 from ..sources import store as ST
@@ -53,11 +56,38 @@ def raw(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def build_clean(spark: SparkSession, root: str) -> None:
-    ST.publish_all(C.clean_all({n: raw(spark, root, n) for n in FORMATS}), f"{root}/clean")
+    """The cleaned feeds; the manifest has each job's step counters."""
+    source, counters = {n: raw(spark, root, n) for n in FORMATS}, {n: Counters() for n in FORMATS}
+    ST.publish_all(C.clean_all(source, counters=counters), f"{root}/clean", counters=lambda stored: C.job_counts(source, counters, stored))
+
+
+def _rules() -> list[Rule]:
+    not_null = {"client": ["id_client", "nom_client"], "employe": ["id_employe", "nom_employe"], "service": ["id_service", "libelle"],
+                "facture": ["id_facture", "date_facture", "statut_paiement", "id_client"],
+                "ligne_facture": ["description", "quantite", "total_ligne", "id_facture", "id_service"], "fournisseur": ["id_fournisseur", "nom"],
+                "categorie_achat": ["id_categorie", "libelle"],
+                "achat": ["date_achat", "libelle_article", "quantite", "prix_achat_total", "id_fournisseur", "id_categorie"]}
+    unique = [("client", "id_client"), ("employe", "id_employe"), ("service", "id_service"), ("service", "libelle"), ("facture", "id_facture"),
+              ("fournisseur", "id_fournisseur"), ("fournisseur", "nom"), ("categorie_achat", "id_categorie"), ("categorie_achat", "libelle")]
+    foreign = [("facture", "id_client", "client"), ("facture", "id_employe", "employe"), ("ligne_facture", "id_facture", "facture"),
+               ("ligne_facture", "id_service", "service"), ("achat", "id_fournisseur", "fournisseur"), ("achat", "id_categorie", "categorie_achat")]
+    return [*[Rule(t, (c,), "not_null") for t, cols in not_null.items() for c in cols], *[Rule(t, (c,), "length", limit=n) for t, c, n in LENGTH_BOUNDS],
+            Rule("facture", ("statut_paiement",), "domain", values=tuple(PAYMENT_STATUSES)), Rule("service", ("libelle",), "domain", values=tuple(SERVICES)),
+            *[Rule(t, (c,), "unique") for t, c in unique],
+            *[Rule(t, (c,), "unique", any_case=True) for t, c in (("client", "nom_client"), ("employe", "nom_employe"))],
+            *[Rule(t, (c,), "foreign", parent=p, key=c) for t, c, p in foreign]]
+
+
+#: What every published mart holds, and what the source files break and the mart only reports.
+RULES = _rules()
+REPORTED = frozenset({"facture.statut_paiement:not_null", "ligne_facture.quantite:not_null", "achat.quantite:not_null", "achat.id_categorie:not_null"})
 
 
 def build_mart(spark: SparkSession, root: str) -> None:
-    """Dimensions first (facts resolve their keys against the stored rows), then facts: one manifest."""
+    """Dimensions first (facts resolve their keys against the stored rows), then facts: one manifest.
+
+    The staged set is held against the constraints before it is published.
+    """
     clean = lambda n: ST.read_published(spark, f"{root}/clean", n)
     sales, purchases = clean("sales"), clean("purchases")
     dims = {"client": MT.merge_client_sources(clean("clients"), sales), "employe": MT.employees(sales), "service": MT.services(sales),
@@ -68,7 +98,8 @@ def build_mart(spark: SparkSession, root: str) -> None:
     facts = {"facture": MT.fact_invoice(sales, dim("client"), dim("employe"), with_source=True),
              "ligne_facture": MT.fact_line(sales, dim("service")),
              "achat": MT.fact_purchase(purchases, dim("fournisseur"), dim("categorie_achat"))}
-    ST.publish_all({n: dim(n) for n in dims} | facts, f"{root}/mart")
+    check = lambda staged, quarantine: enforce(staged, RULES, quarantine, REPORTED)
+    ST.publish_all({n: dim(n) for n in dims} | facts, f"{root}/mart", check=check)
 
 
 def build_mart_series(spark: SparkSession, root: str) -> None:
@@ -204,6 +235,12 @@ class Store:
     def clean(self, name: str) -> DataFrame:
         return self._read("clean", name)
 
+    def counters(self, job: str) -> DataFrame:
+        """The step counters that the cleaning job left in its manifest, as one row."""
+        self._ensure("clean")
+        counts = ST.manifest(self.spark, f"{self.root}/clean")["counters"][job]
+        return self.spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} bigint" for c in counts))
+
     def mart(self, name: str) -> DataFrame:
         df = self._read("mart", name)
         return df.drop("nom_employe") if name == "facture" else df

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,8 +82,15 @@ def manifest(spark: SparkSession, root: str) -> dict | None:
 
 
 def publish_all(tables: dict[str, DataFrame], root: str, version: str | None = None,
-                partition_by: dict[str, list[str]] | None = None) -> str:
-    """Write all tables as one new version, then commit one manifest for the set."""
+                partition_by: dict[str, list[str]] | None = None,
+                check: Callable[[dict[str, DataFrame], str], dict] | None = None,
+                counters: Callable[[dict[str, DataFrame]], dict] | None = None) -> str:
+    """Write all tables as one new version, then commit one manifest for the set.
+
+    ``check`` gets the staged tables and a folder for rows that break its rules; if it raises nothing is
+    published and the former version stays.  What it and ``counters`` (of the staged tables) return goes
+    into the manifest.
+    """
     version = version or uuid.uuid4().hex[:16]
     spark, schemas = next(iter(tables.values())).sparkSession, {}
     for name, df in tables.items():
@@ -91,7 +99,11 @@ def publish_all(tables: dict[str, DataFrame], root: str, version: str | None = N
             w = w.partitionBy(*partition_by[name])
         w.parquet(f"{root}/v={version}/{name}")
         schemas[name] = df.schema.json()
-    commit(spark, root, {"version": version, "schemas": schemas})
+    staged = {n: spark.read.schema(StructType.fromJson(json.loads(s))).parquet(f"{root}/v={version}/{n}") for n, s in schemas.items()}
+    extra = {"checks": check(staged, f"{root}/_quarantine/v={version}")} if check else {}
+    if counters:
+        extra["counters"] = counters(staged)
+    commit(spark, root, {"version": version, "schemas": schemas, **extra})
     return version
 
 
