@@ -10,6 +10,10 @@ bounded memory and passes on only its most frequent ones.  Tier 2 is each
 Python worker's own cache, which encodes what the table misses.  Pre-tokens are
 never shuffled, and the counts are exact whatever the table holds.
 
+Both tiers hold pre-tokens of at most ``LONG`` bytes: a longer one (a text without
+spaces may be one) is encoded when it comes and never counted, sent or kept.  So the
+table has at most ``TABLE_SIZE * LONG`` bytes (1 MB) and a worker's cache 25 MB of keys.
+
 Defined cases: null and empty texts have 0 bytes and 0 tokens; one row comes out
 for each row that goes in (repeated rows and null ids too); other columns of the
 input are neither needed nor read; an empty table gives an empty result.
@@ -33,8 +37,8 @@ from ._common import text_or_empty
 #: Entries of the broadcast table, and what a task hands on towards it.
 TABLE_SIZE = 16_384
 PER_TASK = 2_048
-#: Pre-tokens that a task counts, or a worker caches, at the same time.
-HELD = 400_000
+#: Pre-tokens that a task counts, or a worker caches, at the same time, and bytes of each at most.
+HELD, LONG = 400_000, 64
 
 _PRE_TOKEN = re.compile(" +[^ ]*")
 
@@ -50,14 +54,19 @@ def pre_tokens(text: str) -> list[str]:
     return parts
 
 
+def is_short(key: str) -> bool:
+    return len(key) <= LONG and (key.isascii() or len(key.encode()) <= LONG)
+
+
 def frequent_pre_tokens(docs: DataFrame, size: int = TABLE_SIZE, per_task: int = PER_TASK) -> DataFrame:
-    """(pre_token, n): the corpus's most frequent pre-tokens, by bounded counting in each task."""
+    """(pre_token, n): the corpus's most frequent short pre-tokens, by bounded counting in each task."""
+    ship(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for b in batches:
             for text in b.column(0).to_pylist():
-                seen.update(pre_tokens(text))
+                seen.update(filter(is_short, pre_tokens(text)))
                 if len(seen) > HELD:
                     seen = Counter(dict(heapq.nlargest(HELD // 2, seen.items(), key=lambda x: x[1])))
         top = heapq.nlargest(per_task, seen.items(), key=lambda x: x[1])
@@ -82,7 +91,7 @@ class _Lengths(dict):
 
     def __missing__(self, key: str) -> int:
         n = len(self.encode(key))
-        if len(self) < HELD:
+        if len(self) < HELD and is_short(key):
             self[key] = n
         return n
 

@@ -29,6 +29,21 @@ def test_odd_rows_and_bounded_tables(spark, make, odd, monkeypatch):
     assert token_counts.frequent_pre_tokens(make(odd), size=3).first().pre_token in ("word", "one", "")
 
 
+def test_long_pre_tokens_are_neither_sent_nor_kept(spark, make, monkeypatch):
+    sp, model = library(), tokenizer_file("piece_bpe_32k.model")
+    rnd = random.Random(9)
+    docs = [(i, "".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(5000))) for i in range(40)] + [(99, "a b " + "é" * 33 + " c")]
+    table = token_counts.frequent_pre_tokens(make(docs)).collect()
+    assert {r.pre_token for r in table} == {"a", "b", "c"}
+    got = {r.doc_id: r.n_tokens for r in token_counts.with_token_counts(make(docs), model).collect()}
+    assert got == {i: len(sp.encode(t)) for i, t in docs}
+    lengths = token_counts._Lengths({}, model)
+    before = len(lengths)
+    for _, t in docs[:5]:
+        assert lengths[t] == len(sp.encode(t))
+    assert lengths["b" * 64] and lengths["b" * 65] and len(lengths) == before + 1
+
+
 def test_query(spark, sf, documents):
     sp = library()
     got = {r.doc_id: r for r in QUERIES["op7_token_counts"](spark, sf).collect()}
