@@ -35,8 +35,8 @@ from ._common import runs, stored, text_or_empty, utf8
 
 # ---------------------------------------------------------------- tokens
 
-#: Pieces that a Python worker keeps the ids of.
-HELD = 1_000_000
+#: Pieces that a Python worker keeps the ids of: how many, ids of all of them, and bytes of each at most.
+HELD, HELD_IDS, LONG = 1_000_000, 8_000_000, 64
 #: Bytes of text that are looked up at a time.
 RUN = 1 << 22
 
@@ -80,8 +80,9 @@ def word_pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]
 class WordIds:
     """Texts' ids, put together from the ids of their ``word_pieces``.
 
-    All ids come from the tokenizer.  Those of a bounded number of pieces are kept (by
-    their 64-bit hash); the rest is encoded again when it comes.
+    All ids come from the tokenizer.  Those of a bounded number of short pieces are kept (by
+    their 64-bit hash; 32 MB of ids); the rest is encoded again when it comes, as a text
+    without spaces may be one long piece.
     """
 
     def __init__(self, model: bytes, end_id: int):
@@ -139,14 +140,18 @@ class WordIds:
         seen, one, which = np.unique(hashing.mix(hashing.run_hashes(data, first, end)), return_index=True, return_inverse=True)
         slot = np.array(list(map(self.slot.get, seen.tolist(), repeat(-1))), np.int64)
         missing = np.flatnonzero(slot < 0)
+        missing = missing[np.argsort((end - first)[one[missing]] > LONG, kind="stable")]  # short ones first
+        short = int(((end - first)[one[missing]] <= LONG).sum())
         slots, kept = self.slots, self.ids
-        if len(missing):
-            raw, to = data.tobytes(), one[missing]
+        for part, keep in ((missing[:short], True), (missing[short:], False)):
+            if not len(part):
+                continue
+            raw, to, new = data.tobytes(), one[part], self.slots
             text = [raw[s:e].decode() for s, e in zip(first[to].tolist(), end[to].tolist())]
             self.put(self.learn(text, (kind[to] != _OTHER).tolist()))
-            slot[missing] = np.arange(slots, self.slots)
-            if slots + len(missing) <= HELD:
-                self.slot.update(zip(seen[missing].tolist(), range(slots, self.slots)))
+            slot[part] = np.arange(new, self.slots)
+            if keep and self.slots <= HELD and self.ids <= HELD_IDS:
+                self.slot.update(zip(seen[part].tolist(), range(new, self.slots)))
                 slots, kept = self.slots, self.ids
         rows = len(offsets) - 1
         order = np.zeros(len(which) + rows, np.int64)  # slots, with a document's end after its chunks
@@ -154,7 +159,9 @@ class WordIds:
         length = self.length[order]
         total = np.concatenate([[0], np.cumsum(length)])
         ids = self.flat[np.repeat(self.start[order] - total[:-1], length) + np.arange(total[-1])]
-        self.slots, self.ids = slots, kept  # forget what is over the bound
+        self.slots, self.ids = slots, kept  # forget what is over the bounds
+        if len(self.flat) > 4 * max(self.ids, 1 << 20):
+            self.flat = self.flat[:2 * max(self.ids, 1 << 20)].copy()
         return ids, total[at + np.arange(rows + 1)]
 
 

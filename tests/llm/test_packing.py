@@ -118,3 +118,16 @@ def test_query(spark, sf, documents, tokenizer):
     rows = QUERIES["op2_best_fit_packing"](spark, sf).collect()
     used = check(rows, documents, tokenizer, 2048)
     assert used <= 1.01 * sum(r.length for r in rows) / 2048 + 1
+
+
+def test_long_pieces_are_not_kept():
+    rnd = random.Random(12)
+    ids = packing.WordIds(tokenizer_file("word_bpe_49k.json"), 0)
+    long = ["".join(chr(0x4E00 + rnd.randrange(3000)) for _ in range(3000)) for _ in range(6)]
+    texts = ["some words here", *long, "z" * 64 + " " + "z" * 65, "more words, here!"]
+    data, offsets = utf8(pa.array(texts))
+    for _ in range(2):
+        got, at = ids(data, offsets)
+        for k, t in enumerate(texts):
+            assert got[at[k]:at[k + 1]].tolist() == [*ids.tok.encode(t, add_special_tokens=False).ids, 0]
+    assert len(ids.slot) == len({"some", "words", "here", "z" * 64, "more", ",", "!"}) and ids.ids < 100
