@@ -61,9 +61,10 @@ def format_preferences(turns: DataFrame, trained: str = "assistant") -> DataFram
 def swapped_replies(conversations: DataFrame) -> DataFrame:
     """Pairs from single conversations (conv_id, turn, role, text), one for each conversation.
 
-    Chosen is the conversation up to its last assistant turn.  Rejected is the same with that reply
-    replaced by the last reply of the partner conversation (ids 2n and 2n + 1 are partners), or without
-    it if the partner has none.  A conversation without assistant turns is on both sides as it is.
+    Chosen is the conversation.  Rejected is the same with its last assistant reply replaced by the last
+    reply of the partner conversation (integer ids 2n and 2n + 1 are partners), or without it if the
+    partner has none.  Turns after that reply are on both sides (no assistant's, so without loss).  A
+    conversation without assistant turns is on both sides as it is.
     """
     t = (conversations.where("conv_id IS NOT NULL")
          .select(F.col("conv_id").alias("pair_id"), F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn"),
@@ -71,7 +72,7 @@ def swapped_replies(conversations: DataFrame) -> DataFrame:
     last = (t.where("role = 'assistant'").groupBy("pair_id").agg(F.max(F.struct("turn", "text")).alias("m"))
             .select("pair_id", F.col("m.turn").alias("last"), F.col("m.text").alias("reply")))
     both = t.join(last.select("pair_id", "last"), "pair_id", "left")
-    sides = both.withColumn("side", F.explode(F.when(F.col("last").isNull() | (F.col("turn") < F.col("last")), F.array(F.lit("chosen"), F.lit("rejected")))
+    sides = both.withColumn("side", F.explode(F.when(F.col("last").isNull() | (F.col("turn") != F.col("last")), F.array(F.lit("chosen"), F.lit("rejected")))
                                               .when(F.col("turn") == F.col("last"), F.array(F.lit("chosen")))))
     other = last.select(F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id"), F.col("reply").alias("text"))
     swapped = last.join(other, "pair_id").select("pair_id", F.col("last").alias("turn"), F.lit("assistant").alias("role"), "text",
@@ -86,8 +87,8 @@ WITH t AS (SELECT conv_id, coalesce(turn, -1) AS turn, coalesce(role, '') AS rol
 last AS (SELECT conv_id, turn AS l, text AS reply FROM (
            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC) AS k FROM t WHERE role = 'assistant') WHERE k = 1),
 sides AS (
-  SELECT conv_id, 'chosen' AS side, turn, role, text FROM t LEFT JOIN last USING (conv_id) WHERE l IS NULL OR turn <= l
-  UNION ALL SELECT conv_id, 'rejected', turn, role, text FROM t LEFT JOIN last USING (conv_id) WHERE l IS NULL OR turn < l
+  SELECT conv_id, 'chosen' AS side, turn, role, text FROM t LEFT JOIN last USING (conv_id)
+  UNION ALL SELECT conv_id, 'rejected', turn, role, text FROM t LEFT JOIN last USING (conv_id) WHERE l IS NULL OR turn <> l
   UNION ALL SELECT a.conv_id, 'rejected', a.l, 'assistant', b.reply FROM last a JOIN last b ON b.conv_id = xor(a.conv_id, 1)),
 pos AS (SELECT *, row_number() OVER (PARTITION BY conv_id, side ORDER BY turn, role, text) AS p,
                '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS shown,

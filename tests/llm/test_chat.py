@@ -30,12 +30,22 @@ def test_swapped_replies(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = {r.pair_id: (r.prompt, r.chosen, r.rejected) for r in chat.format_preferences(chat.swapped_replies(df)).collect()}
     show = lambda role, text: f"<|{role}|>\n{text}<|end|>\n"
-    assert got == {0: (show("user", "q"), show("assistant", "A"), show("assistant", "B")),
+    later = show("user", "later")
+    assert got == {0: (show("user", "q"), show("assistant", "A") + later, show("assistant", "B") + later),
                    1: (show("user", "r"), show("assistant", "B"), show("assistant", "A")),
                    2: (show("user", "alone"), show("assistant", "C"), ""),
                    4: (show("user", "no reply"), "", ""), -1: (show("", ""), "", "")}
 
 
+def test_swapped_replies_of_no_rows_and_long_texts(spark):
+    kinds = "conv_id int, turn long, role string, text string"
+    assert chat.format_preferences(chat.swapped_replies(spark.createDataFrame([], kinds))).count() == 0
+    long = "word " * 100_000
+    df = spark.createDataFrame([(2, 0, "user", long), (2, 1, "assistant", long), (2, 2, "user", long), (3, 0, "assistant", "x")], kinds)
+    got = {r.pair_id: r for r in chat.format_preferences(chat.swapped_replies(df)).collect()}
+    assert len(got[2].chosen) == 2 * len(long) + 2 * 8 + 14 + 9 and [m.loss for m in got[2].rejected_mask] == [0, 1, 0, 0]
+
+
 def test_query_against_sql_and_native(spark, sf):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{sf}/conversations.parquet'")
