@@ -11,9 +11,11 @@ class that shares the most buckets with others.  What a pivot leaves open is
 settled from the differences to it: for A and B of one pivot P the symmetric
 difference of A and B is |A^P| + |B^P| - 2 |(A^P) & (B^P)|, so each A's short
 difference to P stands for A, and classes that do not link to P are compared with
-the rest of P's classes in blocks of bounded size, as sparse vectors, giving out
-only links.  Every two classes that share a bucket are so decided exactly, and no
-large group meets in one task.
+each other and with the rest of P's classes in blocks of bounded size, as sparse
+vectors.  Classes that link to P need no comparison among themselves, so blocks of
+them alone are not dealt.  A block decides every pair and gives out a spanning forest
+of its links, at most one link a class.  Every two classes that share a bucket are so
+decided exactly, and no large group meets in one task.
 
 Links form components (``components``); the least document id of a component names it.
 
@@ -133,9 +135,43 @@ def _linked(common, na, nb, percent):
     return 100 * common >= percent * (na + nb - common)
 
 
+def forest(ok: np.ndarray, within: bool, joined: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of the links ``ok`` (rows x columns; one list of members if ``within``).
+
+    Members ``joined`` (rows, then columns unless ``within``) are linked to each other already.
+    """
+    n, m = ok.shape
+    if within:
+        near = ok | ok.T
+        neighbours = lambda x: near[x]
+    else:
+        none_a, none_b = np.zeros(n, bool), np.zeros(m, bool)
+        neighbours = lambda x: np.concatenate([none_a, ok[x]]) if x < n else np.concatenate([ok[:, x - n], none_b])
+    seen, out = joined.copy(), []
+    todo = np.flatnonzero(joined).tolist()
+    start = 0
+    while True:
+        while todo:
+            x = todo.pop()
+            new = np.flatnonzero(neighbours(x) & ~seen)
+            seen[new] = True
+            out += [(x, y) for y in new.tolist()]
+            todo += new.tolist()
+        while start < len(seen) and seen[start]:
+            start += 1
+        if start == len(seen):
+            break
+        seen[start] = True
+        todo.append(start)
+    return out if within else [(min(x, y), max(x, y) - n) for x, y in out]
+
+
 def links_in_block(a: list[np.ndarray], b: list[np.ndarray] | None, size_a: np.ndarray, size_b: np.ndarray,
                    open_a: np.ndarray, open_b: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links between two lists of differences to one pivot (b None: within a), where a side is open."""
+    """A spanning forest of the links between two lists of differences to one pivot (b None: within a).
+
+    Members that are not open are linked to the pivot, and so to each other.
+    """
     left, right = a, a if b is None else b
     da, db = np.array([len(x) for x in left]), np.array([len(x) for x in right])
     n, both = len(left), left if b is None else [*left, *right]
@@ -161,8 +197,8 @@ def links_in_block(a: list[np.ndarray], b: list[np.ndarray] | None, size_a: np.n
     common = (size_a[:, None] + size_b[None] - apart) / 2
     ok = _linked(common, size_a[:, None], size_b[None], percent) & (open_a[:, None] | open_b[None])
     if b is None:
-        ok = np.triu(ok, 1)
-    return list(zip(*np.nonzero(ok)))
+        np.fill_diagonal(ok, False)
+    return forest(ok, b is None, ~open_a if b is None else ~np.concatenate([open_a, open_b]))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
@@ -199,12 +235,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     # groups where a pivot left something open: at least two members, one of them not linked to it
     group = (judged.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"), F.count_if(~F.col("linked")).alias("open"))
              .where("members > 1 AND open > 0"))
-    todo = judged.join(group, "pivot").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
-    apart = (todo.select("pivot", "digest", "linked", "blocks").join(own, "digest").join(other, "pivot")
-             .select("pivot", "digest", "n", "linked", "blocks",
+    # open members have blocks of their own, before those of the others; blocks of others alone are not dealt
+    n_open, n_other = (F.ceil(c / BLOCK).cast("int") for c in (F.col("open"), F.col("members") - F.col("open")))
+    todo = judged.join(group, "pivot").withColumn("open_blocks", n_open).withColumn("other_blocks", n_other)
+    apart = (todo.select("pivot", "digest", "linked", "open_blocks", "other_blocks").join(own, "digest").join(other, "pivot")
+             .select("pivot", "digest", "n", "linked", "open_blocks", "other_blocks",
                      F.concat(F.array_except("e", "pe"), F.array_except("pe", "e")).alias("apart")))
-    block = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
-    dealt = (apart.withColumn("own", block).withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
+    hashed = lambda n: F.pmod(F.xxhash64("digest"), F.greatest(F.col(n), F.lit(1))).cast("int")
+    block = F.when(F.col("linked"), F.col("open_blocks") + hashed("other_blocks")).otherwise(hashed("open_blocks"))
+    dealt = (apart.withColumn("own", block)
+             .withColumn("with", F.explode(F.expr("sequence(0, open_blocks - 1 + if(linked, 0, other_blocks))")))
              .withColumn("lo", F.least("own", "with")).withColumn("hi", F.greatest("own", "with")))
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:

@@ -2,6 +2,7 @@ import collections
 import random
 import re
 
+import numpy as np
 import pytest
 
 from sparkmart.llm import minhash
@@ -68,6 +69,52 @@ def test_components_against_brute_force(spark, make, odd, monkeypatch, block):
     assert got == brute(docs, 3, 85)
 
 
+def test_forest_spans_the_links_of_a_block():
+    rng = np.random.default_rng(4)
+    for case in range(300):
+        within, n, m = case % 2 == 0, int(rng.integers(1, 9)), int(rng.integers(1, 9))
+        ok = rng.random((n, n if within else m)) < 0.25
+        if within:
+            np.fill_diagonal(ok, False)
+        size = n if within else n + m
+        joined = rng.random(size) < 0.4
+        shift = 0 if within else n
+
+        def parts(links):
+            parent = list(range(size))
+
+            def top(x):
+                while parent[x] != x:
+                    x = parent[x]
+                return x
+
+            left = np.flatnonzero(joined).tolist()
+            for a, b in [*zip(left, left[1:]), *links]:
+                parent[top(a)] = top(b)
+            return [[top(x) == top(y) for y in range(size)] for x in range(size)]
+
+        got = minhash.forest(ok, within, joined)
+        assert all(ok[a, b] or (within and ok[b, a]) for a, b in got) and len(got) <= size
+        assert parts([(a, b + shift) for a, b in got]) == parts([(a, b + shift) for a, b in zip(*np.nonzero(ok))])
+
+
+def test_links_of_a_template_family_do_not_grow_with_its_square(spark, make, monkeypatch):
+    rnd = random.Random(2)
+    text = [f"w{k}" for k in range(400)]
+    docs = []
+    for i in range(600):
+        w = list(text)
+        for k in rnd.sample(range(400), rnd.choice([5, 6, 7])):
+            w[k] = f"own{i}x{k}"
+        docs.append((i, " ".join(w)))
+    seen = []
+    real = minhash.components
+    monkeypatch.setattr(minhash, "components", lambda edges: seen.append(edges.count()) or real(edges))
+    got = [(r.doc_id, r.component_id) for r in minhash.near_duplicates(make(docs, 4), 3, 85).collect()]
+    assert sorted(got) == [(i, c) for i, _, c in sorted(brute(docs, 3, 85))]
+    assert seen[0] < 20 * len(docs)  # all links were 50,000 and more
+
+
 def test_keep_one(spark, make, odd):
     docs = copies(60) + odd
     frame = make(docs)
