@@ -14,8 +14,11 @@ sides.  Patterns and instances (identifiers, known or not) form a graph; in each
 Rounds go on until one finds nothing new; what is found only grows, so they end.  Texts are read once; the
 rounds work on the stored distinct edges of the graph, with sums and joins only.
 
-Unknown instances are runs of identifier characters with at least ``DIGITS`` digits that
-no base match touches.  What is found has the kind ``ctx_`` and the seed's kind.
+Unknown instances are what can fill a pattern's slot and has an identifier's shape: single
+tokens with an at sign or with ``DIGITS`` digits, and runs of digit groups with blanks,
+brackets, dots or hyphens between them and as many digits, that no base match touches.  A
+kind's shape counts in the score: one without ``DIGITS`` digits can only be an address, and
+one with an at sign nothing else.  What is found has the kind ``ctx_`` and the seed's kind.
 
 Spans are in code points, end exclusive.  They come from the lengths of the matches and of
 the text between them, so that DataFrame functions suffice (no Python in tasks).
@@ -33,8 +36,8 @@ from pyspark.sql import functions as F
 from ._common import fresh, same_document, stored, text_or_empty
 
 SUPPORT, CONFIDENCE, ACCEPT, DIGITS = 5, 0.8, 0.9, 4
-#: The former number of rounds, which only the test of few rounds still reads; rounds have no bound.
-ROUNDS = 4
+#: Characters around an identifier in which its neighbouring words are looked for; a word that they cut does not count.
+BEFORE, AFTER = 160, 80
 KINDS = ("email", "ip", "card", "phone")
 
 # The kinds' patterns find the leftmost non-overlapping matches.  Their beginnings are fixed by what
@@ -46,7 +49,10 @@ _MATCH = {
     # whole runs of digits with single separators that have 16 to 19 digits
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){15,18}+(?![ -]?[0-9])",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "other": r"(?<![A-Za-z0-9@._%+-])[A-Za-z@._%+-]*+[0-9][A-Za-z0-9@._%+-]*+",
+    # runs of digit groups (not within a token), tokens with an at sign, tokens with a digit
+    "other": r"(?:(?<![A-Za-z0-9@._%+()-])(?<![0-9)][ (])\+?\(?[0-9]++(?:(?:\) ?|[ .-]?\(|[ .-])[0-9]++)++(?![A-Za-z0-9@_%+])"
+             r"|(?<![A-Za-z0-9@._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9@._%+-]++"
+             r"|(?<![A-Za-z0-9@._%+-])[A-Za-z@._%+-]*+[0-9][A-Za-z0-9@._%+-]*+)",
 }
 _PART = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])?"
 _DIGITS_OF = "regexp_replace({v}, '[^0-9]', '')"
@@ -59,7 +65,7 @@ _HOLDS = {
     "ip": rf"x.v RLIKE r'^{_PART}(?:\.{_PART}){{3}}$'",
     "card": _LUHN.format(d=_DIGITS_OF.format(v="x.v")),
     "phone": f"length({_DIGITS_OF.format(v='x.v')}) BETWEEN 8 AND 15",
-    "other": f"length({_DIGITS_OF.format(v='x.v')}) >= {DIGITS}",
+    "other": f"instr(x.v, '@') > 0 OR length({_DIGITS_OF.format(v='x.v')}) >= {DIGITS}",
 }
 
 
@@ -86,7 +92,7 @@ def _located(kind: str) -> Column:
     m, g = f"m_{kind}", f"g_{kind}"
     sizes = f"zip_with(slice({g}, 1, size({m})), {m}, (a, b) -> length(a) + length(b))"
     one = (f"named_struct('s', p[i] + length({g}[i]), 'e', p[i] + length({g}[i]) + length(v), 'v', v, "
-           f"'l', right({g}[i], 48), 'r', left({g}[i + 1], 24))")
+           f"'l', right({g}[i], {BEFORE}), 'r', left({g}[i + 1], {AFTER}))")
     return F.expr(f"filter({_let('p', _sums_before(sizes), f'transform({m}, (v, i) -> {one})')}, x -> {_HOLDS[kind]})")
 
 
@@ -121,7 +127,10 @@ def graph(found: DataFrame, other: DataFrame) -> DataFrame:
     for k in (*KINDS, "other"):
         one = (other.select(F.struct("v", "l", "r").alias("x")) if k == "other" else found.select(F.explode(k).alias("x"))).select(
             F.lit(None if k == "other" else k).cast("string").alias("kind"), F.col("x.v").alias("value"),
-            F.split(F.trim(F.lower("x.l")), r"\s+").alias("l"), F.split(F.trim(F.lower("x.r")), r"\s+")[0].alias("r"))
+            F.split(F.trim(F.lower("x.l")), r"\s+").alias("l"), F.split(F.trim(F.lower("x.r")), r"\s+").alias("r"),
+            (F.length("x.l") >= BEFORE).alias("cut_l"), (F.length("x.r") >= AFTER).alias("cut_r"))
+        one = one.select("kind", "value", F.when(F.col("cut_l") & (F.size("l") <= 2), F.slice("l", F.lit(2), F.size("l"))).otherwise(F.col("l")).alias("l"),
+                         F.when(F.col("cut_r") & (F.size("r") == 1), "").otherwise(F.col("r")[0]).alias("r"))
         rows = one if rows is None else rows.union(one)
     last, two = F.element_at("l", -1), F.array_join(F.slice("l", -2, 2), " ")
     pattern = F.array(F.concat(F.lit("a "), last),
@@ -146,6 +155,7 @@ def bootstrap(edges: DataFrame, support: int = SUPPORT, confidence: float = CONF
                 .groupBy("pattern", "kind").agg(F.count_distinct("value").alias("f")).where(F.col("f") >= support))
         good = hits.join(size, "pattern").withColumn("c", F.col("f") / F.col("n")).where(F.col("c") >= confidence).select("pattern", "kind", "c")
         fresh = edges.where("kind IS NULL").select("pattern", "value").distinct().join(good, "pattern")
+        fresh = fresh.where("kind = 'email' OR instr(value, '@') = 0")
         score = (fresh.groupBy("value", "kind").agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("c"), F.lit(1e-9)))))).alias("score"))
                  .where(F.col("score") >= accept))
         best = score.groupBy("value").agg(F.max_by("kind", F.struct("score", "kind")).alias("kind"))

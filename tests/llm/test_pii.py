@@ -52,7 +52,7 @@ def plain_bootstrap(edges):
     size = {}
     for p, _, v in edges:
         size.setdefault(p, set()).add(v)
-    for _ in range(pii.ROUNDS):
+    while True:
         now = known | set(found.items())
         good = {}
         for p, values in size.items():
@@ -86,6 +86,33 @@ def test_contexts_discover_unseen_identifiers(spark, make):
     assert got[0] == base(rows[0][1])
 
 
+def test_identifiers_without_digits_and_with_blanks(spark, make):
+    rows = [(i, f"reach admin user{i}@mail.example.org for help") for i in range(9)] + [(20, "reach admin alice@intranet for help")]
+    rows += [(100 + i, f"please call phone +1 (604) 555-{1000 + i} now") for i in range(30)]
+    rows += [(50, "please call phone 555 12 34 now"), (51, "please call phone (604) 555-1234 now"), (52, "please call phone 12 now"),
+             (53, "please call phone 604.555.9876, or 555 77 66"), (54, "please call phone bob@intranet now")]
+    rows += [(60, "no context for 555 99 88 and eve@intranet"), (61, "555 12 34 again, alice@intranet too")]
+    texts, got = dict(rows), dict(spans(pii.personal_data(make(rows))))
+    found = {i: [(k, texts[i][s:e]) for k, s, e in x if k.startswith("ctx_")] for i, x in got.items()}
+    assert found[20] == [("ctx_email", "alice@intranet")] and found[50] == [("ctx_phone", "555 12 34")] and found[51] == [("ctx_phone", "(604) 555-1234")]
+    assert found[53] == [("ctx_phone", "604.555.9876")]
+    assert found[52] == found[60] == [] and not any(k == "ctx_phone" for k, _ in found[54])
+    assert found[61] == [("ctx_email", "alice@intranet"), ("ctx_phone", "555 12 34")]
+
+
+def test_words_that_the_context_cuts_do_not_count(spark, make):
+    # the long words differ in their far ends only; cut, they would be one pattern with nine seeds
+    rows = [(i, f"{chr(97 + i)}{'x' * 400} +1604555{1000 + i}") for i in range(9)] + [(20, f"z{'x' * 400} 5551234")]
+    assert dict(spans(pii.personal_data(make(rows))))[20] == []
+    rows = [(i, f"{'y' * 100} +1604555{1000 + i}") for i in range(12)] + [(20, f"{'y' * 100} 5551234")]
+    assert dict(spans(pii.personal_data(make(rows))))[20] == [("ctx_phone", 101, 108)]
+
+
+def test_candidates_take_linear_time(spark, make):
+    rows = [(1, "1) " * 60_000 + "x"), (2, "1 " * 60_000 + "@"), (3, "(1" * 60_000 + "z"), (4, "a." * 60_000), (5, "1.1-1 1(" * 20_000 + "q"), (6, "a@" * 50_000)]
+    assert pii.personal_data(make(rows)).count() == 6
+
+
 def test_rounds_against_brute_force(spark):
     rnd = random.Random(5)
     values = [(f"v{i}", rnd.choice(["ip", "email", None, None])) for i in range(120)]
