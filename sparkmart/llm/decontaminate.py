@@ -9,9 +9,11 @@ that starts at a multiple of 5 in the document.  So the documents probe only the
 blocks against a broadcast table of all 6-word pieces of the windows, and the few
 that meet are verified word by word as whole windows.  Nothing is missed and a
 fifth of the positions is probed.  Shorter items (if there are any) are probed at
-every position with their own length.  The table is broadcast only while it has
-at most ``BROADCAST_ROWS`` rows, which is counted first; beyond that the same join
-shuffles.  Everything is DataFrame functions; one pass over the documents.
+every position with their own length.  The table is broadcast only while it has at most
+``BROADCAST_ROWS`` rows and ``BROADCAST_BYTES`` bytes, which are counted first, and one
+pass over the documents does all.  Beyond that the probes alone (id, text key, position,
+key) are shuffled to the table, and the words of the few documents that meet it are
+fetched afterwards, once each.  Everything is DataFrame functions.
 
 Defined cases: null text has no words; a null item id counts as the id ``null``;
 repeated items count once; null and repeated document ids keep all their rows, and
@@ -27,8 +29,8 @@ from pyspark.sql import functions as F
 from ._common import fresh, same_document, stored
 
 NGRAM = 10
-#: Rows of the broadcast table at most (each about 100 bytes).
-BROADCAST_ROWS = 1_000_000
+#: Rows of the broadcast table at most, and bytes of its texts.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 128 << 20
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What words do not consist of, as they stand in the text (both cases of A-Z are letters here).
@@ -83,34 +85,60 @@ def scan(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, id_col: str
     """One row per document row: id, text_key, n_words, hits (positions of hit words), items (ids as text, sorted)."""
     table = stored(windows(benchmark, ngram, item_col, item_text), "windows")
     lengths = sorted(r[0] for r in table.select("n").distinct().collect())  # at most ``ngram`` values
-    # the mark that keeps a row for each document, hit or not, meets itself in the table
-    mark = table.sparkSession.sql("SELECT 0 n, '' window, array('') items, 0 d, xxhash64(-1) key")
-    table = table.unionByName(mark)
-    if table.count() <= BROADCAST_ROWS:
-        table = F.broadcast(table)
-
-    probes = ["array(named_struct('p', -1, 'key', xxhash64(-1)))"]
+    size = table.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("window") + F.octet_length(F.array_join("items", ",")) + 50).alias("bytes")).first()
+    probes = []
     for n in lengths:
         stride, block = scan_shape(n, ngram)
         probes.append(f"if(size(w) < {n}, array(), transform(sequence(0, greatest(size(w) - {block}, 0), {stride}), "
                       f"p -> named_struct('p', p, 'key', {_key(str(n), 'w', 'p', str(block))})))")
-    seen = (docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), words(F.col(text_col)).alias("w"))
-            .withColumn("probes", F.expr(f"concat({', '.join(probes)})"))
-             # outer: every row has its mark, and an inner one would filter on the whole expression once more
-            .select("id", "text_key", "w", F.inline_outer("probes")))
-    met = (seen.join(table, "key")
-           .where(f"p = -1 OR (p >= d AND p - d + n <= size(w) AND {_joined('w', 'greatest(p - d, 0)', 'n')} = window)")
-           .select("id", "text_key", F.size("w").cast("long").alias("n_words"), "p",
-                   F.expr("if(p < 0, NULL, named_struct('s', p - d, 'n', n))").alias("at"),
-                   F.expr("if(p < 0, NULL, items)").alias("items")))
-    found = (met.groupBy("id", "text_key", "n_words")
-             .agg(F.count_if(F.col("p") < 0).alias("rows"), F.collect_set("at").alias("at"), F.collect_set("items").alias("items")))
+    own = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), words(F.col(text_col)).alias("w"))
+    if size["rows"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES:
+        found = _scan_once(own, table, probes)
+    else:
+        found = _scan_shuffled(own, table, probes)
     return (found.withColumn("_", F.explode(F.expr("sequence(1L, rows)")))  # equal rows come back as often as they came
             .select(F.col("id").alias(id_col), "text_key", "n_words",
                     F.expr("array_sort(array_distinct(flatten(transform(at, x -> sequence(x.s, x.s + x.n - 1)))))").alias("hits"),
                     F.expr("array_sort(array_distinct(flatten(items)))").alias("items")))
 
 
+#: SQL: whether the window of a table row stands around the probe at ``p``.
+_VERIFIED = f"p >= d AND p - d + n <= size(w) AND {_joined('w', 'greatest(p - d, 0)', 'n')} = window"
+
+
+def _scan_once(own: DataFrame, table: DataFrame, probes: list[str]) -> DataFrame:
+    """(id, text_key, n_words, rows, at, items) with the table broadcast: one pass over the documents."""
+    # the mark that keeps a row for each document, hit or not, meets itself in the table
+    table = F.broadcast(table.unionByName(table.sparkSession.sql("SELECT 0 n, '' window, array('') items, 0 d, xxhash64(-1) key")))
+    mark = "array(named_struct('p', -1, 'key', xxhash64(-1)))"
+    seen = (own.withColumn("probes", F.expr(f"concat({', '.join([mark, *probes])})"))
+            # outer: every row has its mark, and an inner one would filter on the whole expression once more
+            .select("id", "text_key", "w", F.inline_outer("probes")))
+    met = (seen.join(table, "key").where(f"p = -1 OR ({_VERIFIED})")
+           .select("id", "text_key", F.size("w").cast("long").alias("n_words"), "p",
+                   F.expr("if(p < 0, NULL, named_struct('s', p - d, 'n', n))").alias("at"),
+                   F.expr("if(p < 0, NULL, items)").alias("items")))
+    return (met.groupBy("id", "text_key", "n_words")
+            .agg(F.count_if(F.col("p") < 0).alias("rows"), F.collect_set("at").alias("at"), F.collect_set("items").alias("items")))
+
+
+def _scan_shuffled(own: DataFrame, table: DataFrame, probes: list[str]) -> DataFrame:
+    """The same with a shuffled table: probes without words meet it, and what meets is verified document by document."""
+    heads = own.groupBy("id", "text_key", F.size("w").cast("long").alias("n_words")).agg(F.count(F.lit(1)).alias("rows"))
+    seen = own.withColumn("probes", F.expr(f"concat({', '.join(probes)})") if probes else F.expr("array(named_struct('p', 0, 'key', 0L))"))
+    # outer: an inner one would filter on the whole expression once more
+    probed = seen.select("id", "text_key", F.inline_outer("probes"))
+    met = probed.join(table.hint("merge"), "key").select("id", "text_key", "p", "n", "d", "window", "items")
+    met = stored(met.distinct(), "met").select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), "p", "n", "d", "window", "items")
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
+    some = own.join(met.select("_id", "_key").distinct(), same, "left_semi").dropDuplicates(["id", "text_key"])
+    hits = (some.join(met, same).where(_VERIFIED).groupBy("_id", "_key")
+            .agg(F.collect_set(F.expr("named_struct('s', p - d, 'n', n)")).alias("at"), F.collect_set("items").alias("items")))
+    none = lambda c, kind: F.coalesce(F.col(c), F.array().cast(kind)).alias(c)
+    return (heads.join(hits, same, "left")
+            .select("id", "text_key", "n_words", "rows", none("at", "array<struct<s: int, n: int>>"), none("items", "array<array<string>>")))
+
+
 def remove_documents(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, **cols: str) -> DataFrame:
     """``docs`` without the documents that hold a window of the benchmark."""
     id_col, text_col = cols.get("id_col", "doc_id"), cols.get("text_col", "text")

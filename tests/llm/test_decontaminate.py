@@ -66,3 +66,17 @@ def test_query_against_sql_and_native(spark, sf):
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
     got = sorted(map(tuple, df.collect()))
     assert got == sorted(con.execute(decontaminate.ORACLE).fetchall()) and any(r[5] for r in got)
+
+
+def test_shuffled_table_meets_probes_without_words(spark, make, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
+    seen = []
+    real = decontaminate.stored
+    monkeypatch.setattr(decontaminate, "stored", lambda df, name: seen.append((name, df)) or real(df, name))
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    out = decontaminate.scan(make(DOCS), bench)
+    plan = dict(seen)["met"]._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert any("SortMergeJoin [key" in x for x in plan)
+    below = [plan[k + 1] for k, x in enumerate(plan) if "Exchange hashpartitioning(key" in x]
+    assert len(below) == 2 and not any(re.search(r"\bw#", x) for x in below)
+    assert sorted([(r.doc_id, r.n_words, r.hits, r["items"]) for r in out.collect()], key=str) == brute(DOCS, ITEMS)
