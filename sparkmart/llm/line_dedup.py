@@ -46,8 +46,6 @@ from ._common import fresh, same_document, stored
 
 #: Words of a block that is deleted at least.
 MIN_WORDS = 25
-#: Bounds of the single-line seeds that runs replaced; only the first test of candidates still reads them.
-SEED_WORDS, RARE = 5, 8
 #: Letters of scripts that are written without spaces: about 2 and about 5 make a word.
 IDEOGRAMS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsBopomofo}"
 NO_SPACES = r"\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}"
@@ -262,7 +260,8 @@ def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     out = docs.join(gone.hint("merge"), same_document(id_col, text_col, id_, key), "left")
     if drop_emptied:
         out = out.where(~cut | (F.size(gone_) < F.size(lines)))
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col(gone_), i)), "\n")
+    at = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone_))  # by a hash set, linear in the lines
+    kept = F.array_join(F.transform(at, lambda i: F.get(lines, i)), "\n")
     out = out.withColumn(new, F.when(cut, kept).otherwise(F.col(text_col)))
     length = lambda c: F.when(cut, F.length(new).cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c)
     return out.select(*[F.col(new).alias(c) if c == text_col else length(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])

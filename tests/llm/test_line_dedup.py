@@ -6,19 +6,16 @@ from sparkmart.llm import line_dedup
 from sparkmart.llm.queries import QUERIES
 
 
-def brute(docs, min_words=line_dedup.MIN_WORDS, rare=line_dedup.RARE, seed_words=line_dedup.SEED_WORDS):
-    """{(id, text): new text}: all candidate pairs one by one."""
+def brute(docs, min_words=line_dedup.MIN_WORDS):
+    """{(id, text): new text}: all documents that share a line are aligned, pair by pair."""
     docs = sorted({d for d in docs if d[1] is not None}, key=lambda d: (d[0] is None, d[0] or 0))
     lines = [t.split("\n") for _, t in docs]
     words = [[len(x.split()) for x in ls] for ls in lines]
     held = collections.defaultdict(set)
     for n, ls in enumerate(lines):
-        for x, w in zip(ls, words[n]):
-            if w >= seed_words:
-                held[x].add(n)
-    pairs = set()
-    for h in map(sorted, held.values()):
-        pairs |= {(a, b) for a in h for b in h if a < b} if len(h) <= rare else {(h[0], b) for b in h[1:]}
+        for x in ls:
+            held[x].add(n)
+    pairs = {(a, b) for h in held.values() for a in h for b in h if a < b}
     gone = collections.defaultdict(set)
     for a, b in pairs:
         gone[b].update(line_dedup.blocks(lines[a], lines[b], words[b], min_words))
