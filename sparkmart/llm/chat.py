@@ -62,8 +62,8 @@ def swapped_replies(conversations: DataFrame) -> DataFrame:
     """Pairs from single conversations (conv_id, turn, role, text), one for each conversation.
 
     Chosen is the conversation.  Rejected is the same with its last assistant reply replaced by the last
-    reply of the partner conversation (integer ids 2n and 2n + 1 are partners), or without it if the
-    partner has none.  Turns after that reply are on both sides (no assistant's, so without loss).  A
+    reply of the partner conversation (ids 2n and 2n + 1 are partners; an id that is not written as an
+    integer has none), or without it if the partner has none.  Turns after that reply are on both sides (no assistant's, so without loss).  A
     conversation without assistant turns is on both sides as it is.
     """
     t = (conversations.where("conv_id IS NOT NULL")
@@ -74,7 +74,10 @@ def swapped_replies(conversations: DataFrame) -> DataFrame:
     both = t.join(last.select("pair_id", "last"), "pair_id", "left")
     sides = both.withColumn("side", F.explode(F.when(F.col("last").isNull() | (F.col("turn") != F.col("last")), F.array(F.lit("chosen"), F.lit("rejected")))
                                               .when(F.col("turn") == F.col("last"), F.array(F.lit("chosen")))))
-    other = last.select(F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id"), F.col("reply").alias("text"))
+    kind = t.schema["pair_id"].dataType
+    number = F.col("pair_id").cast("string").try_cast("bigint")
+    other = (last.where(number.cast("string") == F.col("pair_id").cast("string"))
+             .select(number.bitwiseXOR(F.lit(1)).cast(kind).alias("pair_id"), F.col("reply").alias("text")))
     swapped = last.join(other, "pair_id").select("pair_id", F.col("last").alias("turn"), F.lit("assistant").alias("role"), "text",
                                                  F.lit("rejected").alias("side"))
     return sides.select("pair_id", "turn", "role", "text", "side").unionByName(swapped)

@@ -46,6 +46,15 @@ def test_swapped_replies_of_no_rows_and_long_texts(spark):
     assert len(got[2].chosen) == 2 * len(long) + 2 * 8 + 14 + 9 and [m.loss for m in got[2].rejected_mask] == [0, 1, 0, 0]
 
 
+def test_partners_of_ids_that_are_no_integers(spark):
+    rows = [("4", 0, "assistant", "A"), ("5", 0, "assistant", "B"), ("x7", 0, "assistant", "C"), ("007", 0, "assistant", "D"), ("6", 0, "assistant", "E"),
+            ("", 0, "assistant", "F")]
+    df = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")
+    got = {r.pair_id: r.rejected for r in chat.format_preferences(chat.swapped_replies(df)).collect()}
+    show = lambda text: f"<|assistant|>\n{text}<|end|>\n"
+    assert got == {"4": show("B"), "5": show("A"), "x7": "", "007": "", "6": "", "": ""}
+
+
 def test_query_against_sql_and_native(spark, sf):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{sf}/conversations.parquet'")
