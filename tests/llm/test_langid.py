@@ -69,3 +69,39 @@ def test_every_label_is_learned(spark):
     assert [tuple(r) for r in langid.training_windows(same, "text", "lang", ["doc_id"], 30)] == [("en", "the same text")]
     many = spark.createDataFrame([(i, f"text {i}", f"l{i % 450}") for i in range(900)], schema)
     assert {r[0] for r in langid.training_windows(many, "text", "lang", ["doc_id"], 5)} == {f"l{k}" for k in range(450)}
+
+
+def test_first_step_goes_down_the_numeric_gradient(monkeypatch):
+    """Adam's first step is the rate against the sign of each gradient, so it shows them all."""
+    monkeypatch.setattr(langid, "LENGTH", 12)
+    rng = np.random.default_rng(1)
+    x, y = rng.integers(1, 256, (6, 12), dtype=np.uint8), np.array([0, 1, 2, 0, 1, 2])
+
+    def net():
+        n = langid.new_net(["a", "b", "c"])
+        n.emb, n.out, n.out_bias = n.emb.astype(float), n.out.astype(float), n.out_bias.astype(float)
+        n.filters, n.bias = [f.astype(float) for f in n.filters], [b.astype(float) for b in n.bias]
+        return n
+
+    def loss(n):
+        total = 0.0
+        for row, label in zip(x, y):
+            h = [max(0.0, max(sum(n.emb[row[i + k]] @ bank[k][:, f] for k in range(w)) + bias[f] for i in range(12 - w + 1)))
+                 for w, bank, bias in zip(langid.WIDTHS, n.filters, n.bias) for f in range(langid.FILTERS)]
+            z = np.array(h) @ n.out + n.out_bias
+            total += np.log(np.exp(z - z.max()).sum()) + z.max() - z[label]
+        return total / len(x)
+
+    start, moved, checked = net(), langid.train(net(), x, y, epochs=1), 0
+    for a, after in zip(start.params(), moved.params()):
+        for k in rng.choice(a.size, min(a.size, 20), replace=False):
+            at, was = np.unravel_index(k, a.shape), a.flat[k]
+            a[at] = was + 1e-6
+            up = loss(start)
+            a[at] = was - 1e-6
+            slope = (up - loss(start)) / 2e-6
+            a[at] = was
+            if abs(slope) > 1e-5:
+                assert abs((after[at] - was) + langid.RATE * np.sign(slope)) < 1e-4
+                checked += 1
+    assert checked > 30
