@@ -260,8 +260,9 @@ def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     out = docs.join(gone.hint("merge"), same_document(id_col, text_col, id_, key), "left")
     if drop_emptied:
         out = out.where(~cut | (F.size(gone_) < F.size(lines)))
-    at = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone_))  # by a hash set, linear in the lines
-    kept = F.array_join(F.transform(at, lambda i: F.get(lines, i)), "\n")
+    # the lines are split once (x) and their positions told apart by a hash set
+    left = F.transform(F.array(lines), lambda x: F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col(gone_)), lambda i: F.get(x, i)))
+    kept = F.array_join(F.get(left, F.lit(0)), "\n")
     out = out.withColumn(new, F.when(cut, kept).otherwise(F.col(text_col)))
     length = lambda c: F.when(cut, F.length(new).cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c)
     return out.select(*[F.col(new).alias(c) if c == text_col else length(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
