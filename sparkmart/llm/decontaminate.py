@@ -156,8 +156,9 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, ngram: int = NGRAM, **co
            .select(F.col(id_col).alias(id_), F.col("text_key").alias(key), F.col("hits").alias(hits)).dropDuplicates([id_, key]))
     joined = docs.join(hit, same_document(id_col, text_col, id_, key), "left")
     pieces = F.regexp_extract_all(F.col(text_col), F.lit(f"[{_OTHER}]*[^{_OTHER}]+"), F.lit(0))
-    at = F.array_except(F.sequence(F.lit(0), F.size(pieces) - 1), F.col(hits))  # by a hash set, linear in the words
-    kept = F.transform(at, lambda i: F.get(pieces, i))
+    # the pieces are found once (x) and their positions told apart by a hash set
+    left = F.transform(F.array(pieces), lambda x: F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col(hits)), lambda i: F.get(x, i)))
+    kept = F.get(left, F.lit(0))
     tail = F.regexp_extract(F.col(text_col), f"[{_OTHER}]*$", 0)
     text = F.when(F.col(hits).isNull(), F.col(text_col)).otherwise(F.concat(F.array_join(kept, ""), tail))
     return joined.withColumn(text_col, text).select(*[f"`{c}`" for c in docs.columns])
