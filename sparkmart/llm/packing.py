@@ -38,7 +38,7 @@ from ._common import runs, stored, text_or_empty, utf8
 #: Pieces that a Python worker keeps the ids of: how many, ids of all of them, and bytes of each at most.
 HELD, HELD_IDS, LONG = 1_000_000, 8_000_000, 64
 #: Bytes of text that are looked up at a time.
-RUN = 1 << 22
+RUN = 1 << 20
 
 #: Kinds of bytes: white space that only separates, letters, marks, others.
 _SPACE, _LETTERS, _MARKS, _OTHER = 0, 1, 2, 3
