@@ -8,6 +8,8 @@ executors.  A store belongs to one session and input folder.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -145,14 +147,18 @@ def build_ingested(spark: SparkSession, root: str) -> None:
     OS.run_order_stream(spark, landing, base, f"{root}/order_checkpoint", feed.schema, mart("service"), files_per_batch=FILES_A_BATCH)
 
 
+def steps(spark: SparkSession, sf: str, root: str) -> dict[str, Callable[[], None]]:
+    """The steps of the whole job, in order."""
+    return {"raw": lambda: build_raw(spark, sf, root), "clean": lambda: build_clean(spark, root), "mart": lambda: build_mart(spark, root),
+            "mart_series": lambda: build_mart_series(spark, root), "series": lambda: build_series(spark, sf, root),
+            "models": lambda: build_models(spark, root)}
+
+
 def run_pipeline(spark: SparkSession, sf: str, root: str) -> None:
     """The whole job, in order; every set is switched to its new version when it is complete."""
-    build_raw(spark, sf, root)
-    build_clean(spark, root)
-    build_mart(spark, root)
-    build_mart_series(spark, root)
-    build_series(spark, sf, root)
-    build_models(spark, root)
+    for step in steps(spark, sf, root).values():
+        step()
+
 
 
 class Store:
