@@ -13,7 +13,7 @@ blocks, indexes itself and answers with its own exact top k; the blocks' answers
 merged by a ranking per query.  No candidate leaves its task.
 
 Defined cases: null ids and null vectors are left out (they cannot be named or coded);
-a shorter vector is padded with zero bits; null components count as 0; repeated rows of
+a shorter vector is padded with zero bits, a longer one is refused with an error; null components count as 0; repeated rows of
 one id and code count once; a query finds itself, at distance 0; fewer than k vectors
 give fewer rows; an empty table gives an empty result; other columns are not read.
 """
@@ -41,7 +41,8 @@ _FLIPS = [np.flatnonzero(_COUNT == r).astype(np.uint16) for r in range(SEGMENT_B
 
 def sign_code(vector: str = "embedding") -> Column:
     """A vector's 64 sign bits as a long: bit i is set where component i is positive."""
-    return F.expr(f"aggregate(sequence(0, 63), 0L, (c, i) -> c | if(coalesce(get({vector}, i), 0) > 0, shiftleft(1L, i), 0L))")
+    code = f"aggregate(sequence(0, 63), 0L, (c, i) -> c | if(coalesce(get({vector}, i), 0) > 0, shiftleft(1L, i), 0L))"
+    return F.expr(f"if(size({vector}) > 64, cast(raise_error('a code holds 64 components') AS bigint), {code})")
 
 
 class SegmentIndex:

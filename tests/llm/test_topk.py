@@ -48,6 +48,12 @@ def test_codes_of_short_and_null_vectors(spark):
     assert [r[0] for r in df.select(topk.sign_code()).collect()] == [0b1001, -2**63, 0]
 
 
+def test_longer_vectors_are_refused(spark):
+    df = spark.createDataFrame([([1.0] * 65,)], "embedding array<float>")
+    with pytest.raises(Exception, match="64 components"):
+        df.select(topk.sign_code()).collect()
+
+
 def test_query_against_sql(spark, sf):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf}/embeddings.parquet'")
