@@ -266,7 +266,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         return pa.table({"a": names.take(pa.array([i[x] for x, _ in found], pa.int64())),
                          "b": names.take(pa.array([j[y] for _, y in found], pa.int64()))})
 
-    more = dealt.groupBy("pivot", "lo", "hi").applyInArrow(compare, "a binary, b binary")
+    # dealt by block: the join's partitioning by pivot would do for the grouping, with a hot pivot's blocks all in one task
+    more = dealt.repartition("pivot", "lo", "hi").groupBy("pivot", "lo", "hi").applyInArrow(compare, "a binary, b binary")
     edges = judged.where("linked").select(F.col("pivot").alias("a"), F.col("digest").alias("b")).union(more)
     roots = components(edges)
     named = (classes.join(roots, classes.digest == roots.node, "left")
