@@ -16,19 +16,21 @@ from ..functions.vocab import MONTH_MIN_DAYS, TRAILING_DAYS
 GLOBAL = "global"
 
 
-def _per_invoice(lines: DataFrame, key: str, amount: str, by: list[str]) -> DataFrame:
+def _per_invoice(lines: DataFrame, key: str, amount: str, by: list[str], tasks: int | None = None) -> DataFrame:
     """Sums per invoice (and label), partitioned by the invoice key alone.
 
     Without labels the sums are partial before the only exchange.  With labels the
-    lines are dealt by invoice once; the sums per (invoice, label) and the join to
-    the invoices both need no other exchange then.
+    lines are dealt by invoice once, over ``tasks`` tasks where that is given; the sums per
+    (invoice, label) and the join to the invoices both need no other exchange then.
     """
     rows = lines.select(key, *by, F.col(amount).cast("decimal(18,2)").alias("_a"))
-    return (rows.repartition(F.col(key)) if by else rows).groupBy(key, *by).agg(F.sum("_a").alias("_y"))
+    if by:
+        rows = rows.repartition(tasks, F.col(key)) if tasks else rows.repartition(F.col(key))
+    return rows.groupBy(key, *by).agg(F.sum("_a").alias("_y"))
 
 
 def daily_series(invoices: DataFrame, lines: DataFrame, *, inv_key: str, inv_date: str,
-                 line_key: str, amount: str, by: str | None = None) -> DataFrame:
+                 line_key: str, amount: str, by: str | None = None, tasks: int | None = None) -> DataFrame:
     """Revenue and distinct invoices per day (optionally per ``by`` label).
 
     Invoice ⋈ line is inner (an invoice without line counts nowhere).  Each
@@ -37,14 +39,14 @@ def daily_series(invoices: DataFrame, lines: DataFrame, *, inv_key: str, inv_dat
     aggregate.
     """
     extra = [by] if by else []
-    per_inv = _per_invoice(lines, line_key, amount, extra)
+    per_inv = _per_invoice(lines, line_key, amount, extra, tasks)
     inv = invoices.select(F.col(inv_key).alias(line_key), F.to_date(inv_date).alias("ds"))
     return (per_inv.join(inv, line_key).groupBy("ds", *extra)
             .agg(F.sum("_y").cast(MONEY).alias("y"), F.count(F.lit(1)).alias("n_orders")))
 
 
 def series_one_pass(invoices: DataFrame, lines: DataFrame, *, inv_key: str, inv_date: str,
-                    line_key: str, amount: str, label: str) -> DataFrame:
+                    line_key: str, amount: str, label: str, tasks: int | None = None) -> DataFrame:
     """Overall and per-label daily series from one pass and one exchange of the lines.
 
     Lines are summed per (invoice, label); an invoice's sums (at most one for each
@@ -52,7 +54,7 @@ def series_one_pass(invoices: DataFrame, lines: DataFrame, *, inv_key: str, inv_
     series and day is the number of distinct invoices.  Lines without a label count
     in the overall series only.
     """
-    per = (_per_invoice(lines.withColumnRenamed(label, "series"), line_key, amount, ["series"]).groupBy(line_key)
+    per = (_per_invoice(lines.withColumnRenamed(label, "series"), line_key, amount, ["series"], tasks).groupBy(line_key)
            .agg(F.collect_list(F.when(F.col("series").isNotNull(), F.struct("series", "_y"))).alias("_parts"), F.sum("_y").alias("_y")))
     inv = invoices.select(F.col(inv_key).alias(line_key), F.to_date(inv_date).alias("ds"))
     whole = F.array(F.struct(F.lit(GLOBAL).alias("series"), F.col("_y")))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import series as S
-from ..sources.tables import read_table
+from ..sources.tables import read_table, table_path, tasks_for
 
 
 def daily(spark: SparkSession, sf: str) -> DataFrame:
@@ -27,7 +27,8 @@ def by_service(spark: SparkSession, sf: str) -> DataFrame:
     lines = li.join(p, li.l_partkey == p.p_partkey).select(
         "l_orderkey", "l_extendedprice", p.p_type.alias("service"))
     return S.daily_series(o, lines, inv_key="o_orderkey", inv_date="o_orderdate",
-                          line_key="l_orderkey", amount="l_extendedprice", by="service")
+                          line_key="l_orderkey", amount="l_extendedprice", by="service",
+                          tasks=tasks_for(spark, table_path(sf, "lineitem")))
 
 
 def series(spark: SparkSession, sf: str) -> DataFrame:
@@ -38,7 +39,8 @@ def series(spark: SparkSession, sf: str) -> DataFrame:
     lines = li.join(p, li.l_partkey == p.p_partkey).select(
         "l_orderkey", "l_extendedprice", p.p_type.alias("service"))
     return S.series_one_pass(o, lines, inv_key="o_orderkey", inv_date="o_orderdate",
-                             line_key="l_orderkey", amount="l_extendedprice", label="service")
+                             line_key="l_orderkey", amount="l_extendedprice", label="service",
+                             tasks=tasks_for(spark, table_path(sf, "lineitem")))
 
 
 def series_table(spark: SparkSession, sf: str) -> DataFrame:

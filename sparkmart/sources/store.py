@@ -116,6 +116,11 @@ def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root}/v={m['version']}/{name}").select(*schema.names)
 
 
+def folder(spark: SparkSession, root: str, name: str) -> str:
+    """Where one table of the current version of ``root`` lies."""
+    return f"{root}/v={current_version(spark, root)}/{name}"
+
+
 def retain(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     """Delete all but the last ``keep`` published versions; the deleted versions' names."""
     names, gone = _manifests(spark, root), []

@@ -84,3 +84,22 @@ def test_history_month_filter_is_per_series(spark):
     s = spark.createDataFrame(rows, "series string, ds date, y decimal(38,2), n_orders bigint")
     kept = S.keep_full_months(S.month_rollup(s)).collect()
     assert sorted((r.series, r.n_days) for r in kept) == [("a", 25), ("b", 5)]
+
+
+def test_lines_of_a_large_table_are_dealt_over_tasks_by_its_size(spark, tmp_path):
+    from sparkmart.plans import inputs
+    from sparkmart.sources import tables
+
+    n = 400_000
+    spark.range(n).selectExpr("id o_orderkey", "timestamp'2024-01-01' + make_interval(0, 0, 0, int(id % 50)) o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(20).selectExpr("id p_partkey", "concat('T', id % 3) p_type").write.parquet(f"{tmp_path}/part.parquet")
+    (spark.range(3 * n).selectExpr("id % 400000 l_orderkey", "xxhash64(id) % 20 * -1 % 20 + 0 x", "cast(xxhash64(id) % 100000 as double) / 100 l_extendedprice", "uuid() pad")
+     .selectExpr("l_orderkey", "abs(x) l_partkey", "l_extendedprice", "pad").write.parquet(f"{tmp_path}/lineitem.parquet"))
+    size = sum(f.stat().st_size for f in (tmp_path / "lineitem.parquet").glob("*.parquet"))
+    tasks = tables.tasks_for(spark, f"{tmp_path}/lineitem.parquet")
+    assert tasks and abs(tasks - size / tables.TASK_BYTES) <= 1.5
+    for df in (inputs.by_service(spark, str(tmp_path)), inputs.series(spark, str(tmp_path))):
+        assert f"hashpartitioning(l_orderkey#" in (plan := df._jdf.queryExecution().executedPlan().toString()) and f", {tasks}), REPARTITION_BY_NUM" in plan
+    assert tables.tasks_for(spark, f"{tmp_path}/part.parquet") is None
+    few = inputs.by_service(spark, str(tmp_path)).groupBy("service").sum("n_orders").count()
+    assert few == 3
