@@ -56,7 +56,9 @@ def _fractional(qty) -> Column:
 
 def _first_sales(raw: DataFrame, counters: Counters | None = None) -> DataFrame:
     p = sales_parsed(watched(counters, raw, "input")).filter(F.col("date_facture").isNotNull() & F.col("client").isNotNull())
-    first = keep_first(watched(counters, p, "usable"), ["facture_id"], ["seq"])
+    # dealt by invoice before they are sorted: a sort of a whole scan task would hold its split
+    dealt = watched(counters, p, "usable").repartition("facture_id")
+    first = keep_first(dealt, ["facture_id"], ["seq"])
     return recompute_totals(watched(counters, first, "first"))
 
 
