@@ -44,9 +44,8 @@ def cents(c) -> Column:
 
 
 def idiv(num, den) -> Column:
-    """Exact integer division, truncating toward zero (SQL ``div``)."""
-    q = col_(num).cast("decimal(38,0)") / col_(den).cast("decimal(38,0)")
-    return F.when(q >= 0, F.floor(q)).otherwise(F.ceil(q)).cast("bigint")
+    """Exact division of two bigints, truncating toward zero (SQL ``div``)."""
+    return F.call_function("div", col_(num).cast("bigint"), col_(den).cast("bigint"))
 
 
 def div_round_half_up(num, den) -> Column:

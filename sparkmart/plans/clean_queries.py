@@ -13,7 +13,7 @@ from ..operators.dedup import keep_first
 from ..sources import files
 from ..sources import store as ST
 from . import oracle_exprs as X
-from .mart_store import FORMATS, Store
+from .mart_store import Store
 from .oracle_feeds import with_ctes
 from .registry import query
 
@@ -69,9 +69,7 @@ CLIENT_CTES = [("clients_clean", CLIENTS_CLEAN)]
 
 def _scanned(spark, sf, name):
     """The landed source files, scanned as text."""
-    store = Store.of(spark, sf)
-    store.raw(name)  # lands the files
-    df = files.scan_source(spark, name, f"{store.root}/landing/{name}", FORMATS[name])
+    df = files.scan_source(spark, name, *Store.of(spark, sf).landed(name))
     return df.withColumn("seq", F.col("seq").cast("bigint"))
 
 
@@ -93,9 +91,7 @@ def raw_scan_clients(spark, sf):
 @query("raw_archive", with_ctes("SELECT *, true AS stamped FROM sales", feeds=["sales"]))
 def raw_archive(spark, sf):
     """The archived sales, as the current version of the raw tables has them."""
-    store = Store.of(spark, sf)
-    store.raw("sales")  # publishes the archive
-    df = ST.read_published(spark, f"{store.root}/raw", "sales")
+    df = ST.read_published(spark, Store.of(spark, sf).raw_set("sales"), "sales")
     return df.withColumn("seq", F.col("seq").cast("bigint")).withColumn("stamped", F.col("charge_le").isNotNull()).drop("charge_le")
 
 

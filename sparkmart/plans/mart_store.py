@@ -8,7 +8,7 @@ executors.  A store belongs to one session and input folder.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +25,7 @@ from ..session import shared_dir
 from ..sources import feeds, files
 from ..sources import store as ST
 from ..sources import versions as V
+from ..sources.tables import tasks_for
 from ..streaming import orders as OS
 from . import inputs as I
 
@@ -34,21 +35,24 @@ _FEEDS = {"sales": feeds.sales_feed, "purchases": feeds.purchases_feed, "clients
 #: Landed order files that one micro-batch takes.
 FILES_A_BATCH = 4
 _CSV = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+#: Landed files are compressed; as compressed text is read whole, a file holds so many rows at most.
+_LANDED = {"compression": "snappy", "maxRecordsPerFile": 500_000}
 
 
-def land(spark: SparkSession, sf: str, folder: str) -> dict[str, tuple[str, str]]:
-    """Write the three feeds as source files; the registry for ``scan_all``."""
+def land(spark: SparkSession, sf: str, folder: str, names: Iterable[str] = tuple(FORMATS)) -> dict[str, tuple[str, str]]:
+    """Write the feeds as source files; the registry for ``scan_all``."""
     out = {}
-    for name, fmt in FORMATS.items():
-        w = _FEEDS[name](spark, sf).write.mode("overwrite")
+    for name in names:
+        fmt = FORMATS[name]
+        w = _FEEDS[name](spark, sf).write.mode("overwrite").options(**_LANDED)
         (w.options(**_CSV) if fmt == "csv" else w).format(fmt).save(f"{folder}/{name}")
         out[name] = (f"{folder}/{name}", fmt)
     return out
 
 
-def build_raw(spark: SparkSession, sf: str, root: str) -> None:
-    """Source files, scanned as text and archived as they are."""
-    scanned = files.scan_all(spark, land(spark, sf, f"{root}/landing"))
+def build_raw(spark: SparkSession, sf: str, root: str, landed: dict[str, tuple[str, str]] | None = None) -> None:
+    """Source files (by default all three, landed now), scanned as text and archived as they are."""
+    scanned = files.scan_all(spark, landed or land(spark, sf, f"{root}/landing"))
     ST.write_raw_archive(scanned, f"{root}/raw")
 
 
@@ -57,9 +61,10 @@ def raw(spark: SparkSession, root: str, name: str) -> DataFrame:
     return df.withColumn("seq", F.col("seq").cast("bigint"))
 
 
-def build_clean(spark: SparkSession, root: str) -> None:
+def build_clean(spark: SparkSession, root: str, names: Iterable[str] = tuple(FORMATS)) -> None:
     """The cleaned feeds; the manifest has each job's step counters."""
-    source, counters = {n: raw(spark, root, n) for n in FORMATS}, {n: Counters() for n in FORMATS}
+    source = {n: raw(spark, root, n) for n in names}
+    counters = {n: Counters() for n in source}
     ST.publish_all(C.clean_all(source, counters=counters), f"{root}/clean", counters=lambda stored: C.job_counts(source, counters, stored))
 
 
@@ -87,12 +92,13 @@ REPORTED = frozenset({"facture.statut_paiement:not_null", "ligne_facture.quantit
                       "achat.quantite:not_null", "achat.id_categorie:not_null"})
 
 
-def build_mart(spark: SparkSession, root: str) -> None:
+def build_mart(spark: SparkSession, root: str, clean: Callable[[str], DataFrame] | None = None) -> None:
     """Dimensions first (facts resolve their keys against the stored rows), then facts: one manifest.
 
-    The staged set is held against the constraints before it is published.
+    The staged set is held against the constraints before it is published.  ``clean`` reads a
+    cleaned feed, by default from the set under ``root``.
     """
-    clean = lambda n: ST.read_published(spark, f"{root}/clean", n)
+    clean = clean or (lambda n: ST.read_published(spark, f"{root}/clean", n))
     sales, purchases = clean("sales"), clean("purchases")
     dims = {"client": MT.merge_client_sources(clean("clients"), sales), "employe": MT.employees(sales), "service": MT.services(sales),
             "fournisseur": MT.distinct_dimension(purchases, "nom_fournisseur", "id_fournisseur", "nom"),
@@ -111,7 +117,7 @@ def build_mart_series(spark: SparkSession, root: str) -> None:
     mart = lambda n: ST.read_published(spark, f"{root}/mart", n)
     lines = mart("ligne_facture").join(mart("service"), "id_service", "left").select("id_facture", "total_ligne", F.col("libelle").alias("service"))
     long = S.series_one_pass(mart("facture"), lines, inv_key="id_facture", inv_date="date_facture", line_key="id_facture",
-                             amount="total_ligne", label="service")
+                             amount="total_ligne", label="service", tasks=tasks_for(spark, ST.folder(spark, f"{root}/mart", "ligne_facture")))
     ST.publish_all({"serie": long.withColumn("rafraichi_le", F.current_timestamp())}, f"{root}/mart_series", partition_by={"serie": ["series"]})
 
 
@@ -164,13 +170,18 @@ def run_pipeline(spark: SparkSession, sf: str, root: str) -> None:
 
 
 class Store:
-    """A session's published tables of one input folder."""
+    """A session's published tables of one input folder.
+
+    Where the whole job has not run under its folder, each source is landed, archived and
+    cleaned in a folder of its own when a query needs it, so a query does the work of its sources.
+    """
 
     _open: dict[tuple[str, str], Store] = {}
 
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf, self.root = spark, sf, shared_dir(spark, "mart")
         self._ingested: str | None = None
+        self._landed: dict[str, tuple[str, str]] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, sf: str) -> Store:
@@ -191,14 +202,8 @@ class Store:
     def _ensure(self, group: str) -> None:
         if ST.manifest(self.spark, f"{self.root}/{group}") is not None:
             return
-        if group == "raw":
-            build_raw(self.spark, self.sf, self.root)
-        elif group == "clean":
-            self._ensure("raw")
-            build_clean(self.spark, self.root)
-        elif group == "mart":
-            self._ensure("clean")
-            build_mart(self.spark, self.root)
+        if group == "mart":
+            build_mart(self.spark, self.root, self.clean)
         elif group == "orders":
             build_orders(self.spark, self.sf, self.root)
         elif group == "cv":
@@ -210,9 +215,34 @@ class Store:
         else:
             build_series(self.spark, self.sf, self.root)
 
+    def _source(self, group: str, name: str) -> str:
+        """The folder over a source's ``raw`` or ``clean`` set: the whole job's, else the source's own (built now if it is not there)."""
+        if ST.manifest(self.spark, f"{self.root}/{group}") is not None:
+            return self.root
+        own = f"{self.root}/sources/{name}"
+        if ST.manifest(self.spark, f"{own}/{group}") is None:
+            if group == "raw":
+                build_raw(self.spark, self.sf, own, {name: self.landed(name)})
+            else:
+                self._source("raw", name)
+                build_clean(self.spark, own, [name])
+        return own
+
+    def landed(self, name: str) -> tuple[str, str]:
+        """A source's landed files: (folder, format)."""
+        if name not in self._landed:
+            if ST.manifest(self.spark, f"{self.root}/raw") is not None:
+                self._landed[name] = (f"{self.root}/landing/{name}", FORMATS[name])
+            else:
+                self._landed |= land(self.spark, self.sf, f"{self.root}/sources/{name}/landing", [name])
+        return self._landed[name]
+
+    def raw_set(self, name: str) -> str:
+        """The folder of the published set that holds a source's raw archive."""
+        return f"{self._source('raw', name)}/raw"
+
     def raw(self, name: str) -> DataFrame:
-        self._ensure("raw")
-        return raw(self.spark, self.root, name)
+        return raw(self.spark, self._source("raw", name), name)
 
     def models(self) -> DataFrame:
         """The parameters that forecasts are made from, one row per series."""
@@ -241,12 +271,11 @@ class Store:
         return self._ingested
 
     def clean(self, name: str) -> DataFrame:
-        return self._read("clean", name)
+        return ST.read_published(self.spark, f"{self._source('clean', name)}/clean", name)
 
     def counters(self, job: str) -> DataFrame:
         """The step counters that the cleaning job left in its manifest, as one row."""
-        self._ensure("clean")
-        counts = ST.manifest(self.spark, f"{self.root}/clean")["counters"][job]
+        counts = ST.manifest(self.spark, f"{self._source('clean', job)}/clean")["counters"][job]
         return self.spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} bigint" for c in counts))
 
     def mart(self, name: str) -> DataFrame:
