@@ -3,20 +3,22 @@
 Words are hashed into a table of learned embeddings (a word's vector is the sum of its
 own row and those of its first 4 and 5 bytes, which inflected forms share); filters of several widths run
 over the words of a whole text, their largest responses are pooled, and a logistic
-layer scores the text.  The network is trained in numpy on the driver, on a bounded
-sample of labelled texts (``PER_LABEL`` of each label, texts of at most ``MAX_CHARS``
-characters), each weighted so that the labels count as they do among all labelled
-rows.  A fifth of the sample is kept out of the training: it calibrates the scores
-(a logistic map) and gives each language its threshold.  The language is no input of
-the score; it only picks the threshold of the extra decision.
+layer scores the text.  The network is trained on every labelled row and its whole text:
+the rows are dealt by a hash into shards of about ``SHARD`` rows, each shard is trained on
+in a task (numpy), and after each of ``ROUNDS`` rounds the shards' networks are averaged,
+weighted by their rows, as the start of the next; one shard alone needs one round.  A fifth
+of all labelled rows, by a hash, is kept out of a first training: it calibrates the scores
+(a logistic map) and gives each language its threshold, from counts of its outputs to two
+decimals.  The network in use is trained on all rows.  The language is no input of the
+score; it only picks the threshold of the extra decision.
 
 Defined cases: null and empty texts get the score of no words; without labelled
 rows, or with one label only, every score is that label's share (0 without any);
 languages without both labels in the calibration part use the common threshold; null
 languages too; an id with several label rows counts once for each of them, so equal
 ones weigh more and contradicting ones teach both labels; an id with several texts
-gives each of its labels to all of them; ids that tie in the sample's order go by
-their texts; one row comes out for each row that goes in; other columns are kept, but
+gives each of its labels to all of them; rows of a shard are taken in the order of a hash
+of id, text and label; one row comes out for each row that goes in; other columns are kept, but
 for those named as ``score_out`` and ``decision_out``, which the results replace.
 """
 
@@ -30,15 +32,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
 from . import hashing
-from ._common import id_hash, runs, thinned, utf8
+from ._common import id_hash, runs, stored, utf8
 
-#: The training sample: texts of each label, and the longest text in it.
-PER_LABEL, MAX_CHARS = {1: 2000, 0: 5000}, 20_000
+#: Labelled rows of a shard (about), rounds of training where there are several, pieces that a network is averaged in.
+SHARD, ROUNDS, PIECES = 7000, 4, 16
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 15, 8, 8, (1, 2, 3)
 PREFIXES = (4, 5)
 #: Passes over the sample: as many as make STEPS batches, within these bounds.
@@ -112,14 +114,14 @@ def forward(net: WordNet, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray,
     return resp, h, h @ net.out + net.out_bias
 
 
-def train(net: WordNet, texts: list[np.ndarray], y: np.ndarray, weight: np.ndarray, seed: int = 9) -> WordNet:
-    """Adam on the weighted logistic loss; ``texts`` are padded bucket arrays."""
-    r = np.random.default_rng(seed)
+def train(net: WordNet, texts: list[np.ndarray], y: np.ndarray, weight: np.ndarray, seed: int = 9, part: tuple[int, int] = (0, 1)) -> WordNet:
+    """Adam on the weighted logistic loss; ``texts`` are padded bucket arrays.  ``part`` (k, n): the k-th of n parts of the epochs."""
+    r = np.random.default_rng(seed + part[0])
     p = net.params()
     m, v, t = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p], 0
     n_f = FILTERS
     epochs = min(max(-(-STEPS * BATCH // len(texts)), EPOCHS[0]), EPOCHS[1])
-    for epoch in range(epochs):
+    for epoch in range(epochs * part[0] // part[1], epochs * (part[0] + 1) // part[1]):
         drop = DROP * (1 - epoch / epochs)
         order = r.permutation(len(texts))
         for lo in range(0, len(order), BATCH):
@@ -178,58 +180,105 @@ def best_threshold(score: np.ndarray, y: np.ndarray, weight: np.ndarray) -> floa
     return float((s[k] + (s[k + 1] if k + 1 < len(s) else 0)) / 2)
 
 
-def sample(docs: DataFrame, labels: DataFrame, learn, id_col: str, text_col: str, label_col: str) -> tuple[list, dict[int, int]]:
-    """Bounded rows (label, text, lang) of each label, and all usable labels' counts."""
-    known = (labels.where(F.col(label_col).isin(*PER_LABEL) & F.col(id_col).isNotNull() & learn)
-             .select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"), id_hash(id_col).alias("h")))
-    counts = {r[0]: r[1] for r in known.groupBy("y").count().collect()}
-    texts = (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"),
-                         (F.col("lang") if "lang" in docs.columns else F.lit(None)).cast("string").alias("lang"))
-             .where(F.length("t") <= MAX_CHARS))
-    # twice the bound of ids, chosen by a hash, so that enough are left after the length limit
-    twice = {y: 2 * most for y, most in PER_LABEL.items()}
-    chosen = (thinned(known, "y", "h", twice, counts).withColumn("k", F.row_number().over(Window.partitionBy("y").orderBy("h", "id")))
-              .where(" OR ".join(f"(y = {y} AND k <= {most})" for y, most in twice.items())).select("id", "y"))
-    rank = Window.partitionBy("y").orderBy(id_hash("id"), "t")
-    rows = (texts.join(F.broadcast(chosen), "id")  # at most 2 * sum(PER_LABEL) ids
-            .withColumn("k", F.row_number().over(rank))
-            .where(" OR ".join(f"(y = {y} AND k <= {most})" for y, most in PER_LABEL.items()))
-            .select("y", "t", "lang").collect())
-    return rows, counts
+def labelled(docs: DataFrame, labels: DataFrame, learn, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """Every usable label with its text: (y, t, lang, h, rest); ``rest``: kept out of the first training."""
+    known = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & learn)
+             .select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")))
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"),
+                        (F.col("lang") if "lang" in docs.columns else F.lit(None)).cast("string").alias("lang"))
+    return (known.join(texts, "id").withColumn("h", id_hash("id", "t", "y"))
+            .select("y", "t", "lang", "h", (F.pmod(F.xxhash64("h"), F.lit(5)) == 0).alias("rest")))
+
+
+def _bucketed(texts: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
+    ids, at = word_ids(*utf8(texts))
+    return [ids[i:j] for i, j in zip(at[:-1], at[1:])]
+
+
+def _flat(net: WordNet) -> np.ndarray:
+    return np.concatenate([a.ravel() for a in net.params()])
+
+
+def _unflat(flat: np.ndarray) -> WordNet:
+    net, at = new_net(), 0
+    for a in net.params():
+        a[...] = flat[at:at + a.size].reshape(a.shape)
+        at += a.size
+    return net
+
+
+def _trained(sent, part: tuple[int, int]):
+    """Grouped-map body: one shard's rows -> the pieces of its network after these epochs."""
+    def run(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("h", "ascending"), ("y", "ascending")])
+        y = t["y"].to_numpy().astype(np.float32)
+        flat = _flat(train(_unflat(sent.value), _bucketed(t["t"]), y, np.ones(len(y), np.float32), part=part))
+        return pa.table({"piece": pa.array(range(PIECES), pa.int32()), "rows": pa.array([len(y)] * PIECES, pa.int64()),
+                         "part": pa.array([p.astype(np.float32).tobytes() for p in np.array_split(flat, PIECES)], pa.binary())})
+    return run
+
+
+def _mean(t: pa.Table) -> pa.Table:
+    """One piece of all shards' networks -> their mean, weighted by rows, in an order that no task decides."""
+    total, n = 0.0, 0
+    for m, p in sorted(zip(t["rows"].to_pylist(), t["part"].to_pylist())):
+        total, n = total + m * np.frombuffer(p, np.float32).astype(float), n + m
+    return pa.table({"piece": t["piece"].slice(0, 1), "part": pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())})
+
+
+def train_shards(rows: DataFrame, n: int) -> WordNet:
+    """A network trained on all ``n`` rows (y, t, h): shard by shard, averaged after each round."""
+    shards = max(1, round(n / SHARD))
+    flat, rounds = _flat(new_net()), ROUNDS if shards > 1 else 1
+    dealt = rows.select("y", "t", "h", F.pmod(F.xxhash64("h", F.lit(1)), F.lit(shards)).alias("shard"))
+    for k in range(rounds):
+        sent = rows.sparkSession.sparkContext.broadcast(flat)
+        trained = dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(_trained(sent, (k, rounds)), "piece int, rows long, part binary")
+        parts = trained.groupBy("piece").applyInArrow(_mean, "piece int, part binary").collect()  # one network
+        flat = np.concatenate([np.frombuffer(p.part, np.float32) for p in sorted(parts, key=lambda p: p.piece)])
+        sent.unpersist()
+    return _unflat(flat)
+
+
+def outputs(rows: DataFrame, net: WordNet) -> list:
+    """How many of ``rows`` have which (lang, y, output of the network to two decimals)."""
+    sent = rows.sparkSession.sparkContext.broadcast(_flat(net))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _unflat(sent.value)
+        for b in batches:
+            z = [float(forward(own, ids, np.array([0, len(ids)]))[2][0]) for ids in _bucketed(b.column("t"))]
+            yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("y"), pa.array(np.round(z, 2), pa.float64())], ["lang", "y", "z"])
+
+    return rows.select("lang", "y", "t").mapInArrow(score, "lang string, y int, z double").groupBy("lang", "y", "z").count().collect()
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn=None, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic") -> WordNet:
     """Train and calibrate on the labelled rows for which ``learn`` (a condition on the id) holds."""
-    rows, counts = sample(docs, labels, F.lit(True) if learn is None else learn, id_col, text_col, label_col)
-    net = new_net()
-    have = {y: sum(r[0] == y for r in rows) for y in (0, 1)}
-    if not have[0] or not have[1]:
+    ship(docs.sparkSession)
+    rows = stored(labelled(docs, labels, F.lit(True) if learn is None else learn, id_col, text_col, label_col), "toxicity")
+    counts = {(r.y, r.rest): r["count"] for r in rows.groupBy("y", "rest").count().collect()}
+    have = {(y, rest): counts.get((y, rest), 0) for y in (0, 1) for rest in (False, True)}
+    label = {y: have[y, False] + have[y, True] for y in (0, 1)}
+    if not label[0] or not label[1]:
+        net = new_net()
         net.out[:] = 0
-        net.out_bias[:] = 20.0 if have[1] else -20.0
+        net.out_bias[:] = 20.0 if label[1] else -20.0
         return net
-    share = {y: counts[y] / have[y] for y in (0, 1)}
-    mean = sum(counts.values()) / len(rows)
-    texts, y, lang = [], np.array([r[0] for r in rows], np.float32), [r[2] for r in rows]
-    for r in rows:
-        b = np.frombuffer(r[1].encode(), np.uint8)
-        texts.append(word_ids(b, np.array([0, len(b)]))[0])
-    weight = np.array([share[int(k)] / mean for k in y], np.float32)
-    part = np.zeros(len(rows), bool)
-    for k in (0, 1):  # a fifth of each label for the calibration
-        part[np.flatnonzero(y == k)[::5]] = True
-    fitted, rest = np.flatnonzero(~part), np.flatnonzero(part)
-    train(net, [texts[i] for i in fitted], y[fitted], weight[fitted])
-    z = np.concatenate([forward(net, texts[i], np.array([0, len(texts[i])]))[2] for i in rest]).astype(float)
-    net.scale, net.shift = calibrate(z, y[rest], weight[rest])
-    score = 1 / (1 + np.exp(-(net.scale * z + net.shift)))
-    tongue = np.array([lang[i] or "" for i in rest])
+    last = train_shards(rows, label[0] + label[1])
+    if not all(have.values()):
+        return last  # too few rows to keep some out
+    told = sorted(outputs(rows.where("rest"), train_shards(rows.where("NOT rest"), have[0, False] + have[1, False])),
+                  key=lambda r: (r.lang or "", r.y, r.z))
+    z, y = np.array([r.z for r in told]), np.array([r.y for r in told], float)
+    weight, tongue = np.array([r["count"] for r in told], float), np.array([r.lang or "" for r in told])
+    last.scale, last.shift = calibrate(z, y, weight)
+    score = 1 / (1 + np.exp(-(last.scale * z + last.shift)))
     for one in sorted(set(tongue)):
         mine = tongue == one
-        if one and 0 < y[rest][mine].sum() < mine.sum():
-            net.thresholds[one] = best_threshold(score[mine], y[rest][mine], weight[rest][mine])
-    last = train(new_net(), texts, y, weight)  # the network in use learns from the whole sample
-    last.scale, last.shift, last.thresholds = net.scale, net.shift, net.thresholds
+        if one and 0 < y[mine].sum() < mine.sum():
+            last.thresholds[one] = best_threshold(score[mine], y[mine], weight[mine])
     return last
 
 

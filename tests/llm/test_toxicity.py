@@ -153,3 +153,38 @@ def test_calibration_and_threshold():
     a, b = toxicity.calibrate(z, y, np.ones(6))
     assert a > 0 and abs((1 / (1 + np.exp(-(a * z + b)))).mean() - 0.5) < 0.05
     assert 0.2 < toxicity.best_threshold(np.array([0.9, 0.8, 0.2, 0.1]), np.array([1, 1, 0, 0]), np.ones(4)) < 0.8
+
+
+def test_every_labelled_row_and_its_whole_text_is_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD", 60)
+    docs = spark.createDataFrame([(i, ("w%d " % (i % 7)) * (12_000 if i == 3 else 5)) for i in range(240)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(240)], "doc_id long, toxic int")
+    rows = toxicity.labelled(docs, labels, F.lit(True), "doc_id", "text", "toxic")
+    assert rows.count() == 240 and rows.agg(F.max(F.length("t"))).first()[0] == 36_000  # neither rows nor long texts are left out
+    seen, real = [], toxicity._trained
+
+    def spy(sent, part):
+        seen.append(part)
+        return real(sent, part)
+
+    monkeypatch.setattr(toxicity, "_trained", spy)
+    net = toxicity.train_shards(rows.withColumn("y", F.col("y").cast("int")), 240)
+    assert seen == [(k, toxicity.ROUNDS) for k in range(toxicity.ROUNDS)] and np.isfinite(net.emb).all()
+
+
+def test_shards_are_averaged_by_their_rows():
+    part = lambda v: np.full(3, v, np.float32).tobytes()
+    t = pa.table({"piece": pa.array([2, 2], pa.int32()), "rows": [1, 3], "part": pa.array([part(4), part(8)], pa.binary())})
+    out = toxicity._mean(t).to_pylist()
+    assert out[0]["piece"] == 2 and np.allclose(np.frombuffer(out[0]["part"], np.float32), 7)
+
+
+def test_learns_over_several_shards(spark, monkeypatch):
+    rows = toy(1200)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "SHARD", 400)
+    net = toxicity.fit(docs, labels, learn=F.col("doc_id") < 900)
+    out = {r.doc_id: r.score for r in toxicity.with_toxicity(docs, net).collect()}
+    y = np.array([y for i, _, y in rows if i >= 900])
+    assert auc(np.array([out[i] for i, _, _ in rows if i >= 900]), y) > 0.9
