@@ -39,11 +39,11 @@ from ..session import ship
 from . import hashing
 from ._common import id_hash, runs, stored, utf8
 
-#: Labelled rows of a shard (about), rounds of training where there are several, pieces that a network is averaged in.
-SHARD, ROUNDS, PIECES = 7000, 4, 16
+#: Labelled rows of a shard (about); rounds and passes over the rows where there are several; pieces that a network is averaged in.
+SHARD, ROUNDS, PASSES, PIECES = 7000, 2, 4, 16
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 15, 8, 8, (1, 2, 3)
 PREFIXES = (4, 5)
-#: Passes over the sample: as many as make STEPS batches, within these bounds.
+#: Passes over the rows of one shard alone: as many as make STEPS batches, within these bounds.
 EPOCHS, STEPS = (8, 60), 600
 BATCH, RATE, DECAY = 32, 0.01, 1e-3
 #: Share of words blanked in the first training steps (less and less later), so that no text is learned by heart.
@@ -115,12 +115,12 @@ def forward(net: WordNet, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray,
 
 
 def train(net: WordNet, texts: list[np.ndarray], y: np.ndarray, weight: np.ndarray, seed: int = 9, part: tuple[int, int] = (0, 1)) -> WordNet:
-    """Adam on the weighted logistic loss; ``texts`` are padded bucket arrays.  ``part`` (k, n): the k-th of n parts of the epochs."""
+    """Adam on the weighted logistic loss; ``texts`` are padded bucket arrays.  ``part`` (k, n): the k-th of n parts of ``PASSES`` epochs."""
     r = np.random.default_rng(seed + part[0])
     p = net.params()
     m, v, t = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p], 0
     n_f = FILTERS
-    epochs = min(max(-(-STEPS * BATCH // len(texts)), EPOCHS[0]), EPOCHS[1])
+    epochs = PASSES if part[1] > 1 else min(max(-(-STEPS * BATCH // len(texts)), EPOCHS[0]), EPOCHS[1])
     for epoch in range(epochs * part[0] // part[1], epochs * (part[0] + 1) // part[1]):
         drop = DROP * (1 - epoch / epochs)
         order = r.permutation(len(texts))
@@ -191,8 +191,12 @@ def labelled(docs: DataFrame, labels: DataFrame, learn, id_col: str, text_col: s
 
 
 def _bucketed(texts: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
-    ids, at = word_ids(*utf8(texts))
-    return [ids[i:j] for i, j in zip(at[:-1], at[1:])]
+    data, offsets = utf8(texts)
+    out = []
+    for i, j in runs(offsets, 1 << 18):  # hashing takes many times the bytes it is given
+        ids, at = word_ids(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+        out += [ids[a:b] for a, b in zip(at[:-1], at[1:])]
+    return out
 
 
 def _flat(net: WordNet) -> np.ndarray:
@@ -247,7 +251,7 @@ def outputs(rows: DataFrame, net: WordNet) -> list:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _unflat(sent.value)
         for b in batches:
-            z = [float(forward(own, ids, np.array([0, len(ids)]))[2][0]) for ids in _bucketed(b.column("t"))]
+            z = np.array([forward(own, ids, np.array([0, len(ids)]))[2][0] for ids in _bucketed(b.column("t"))], float)
             yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("y"), pa.array(np.round(z, 2), pa.float64())], ["lang", "y", "z"])
 
     return rows.select("lang", "y", "t").mapInArrow(score, "lang string, y int, z double").groupBy("lang", "y", "z").count().collect()
