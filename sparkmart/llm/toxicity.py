@@ -186,7 +186,8 @@ def labelled(docs: DataFrame, labels: DataFrame, learn, id_col: str, text_col: s
              .select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")))
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"),
                         (F.col("lang") if "lang" in docs.columns else F.lit(None)).cast("string").alias("lang"))
-    return (known.join(texts, "id").withColumn("h", id_hash("id", "t", "y"))
+    # merged at any size: labels grow with the documents
+    return (known.join(texts.hint("merge"), "id").withColumn("h", id_hash("id", "t", "y"))
             .select("y", "t", "lang", "h", (F.pmod(F.xxhash64("h"), F.lit(5)) == 0).alias("rest")))
 
 
@@ -212,13 +213,20 @@ def _unflat(flat: np.ndarray) -> WordNet:
 
 
 def _trained(sent, part: tuple[int, int]):
-    """Grouped-map body: one shard's rows -> the pieces of its network after these epochs."""
+    """Grouped-map body: one shard's rows -> the pieces of its networks (0: of the rows not kept out, 1: of all) after these epochs."""
     def run(t: pa.Table) -> pa.Table:
         t = t.sort_by([("h", "ascending"), ("y", "ascending")])
-        y = t["y"].to_numpy().astype(np.float32)
-        flat = _flat(train(_unflat(sent.value), _bucketed(t["t"]), y, np.ones(len(y), np.float32), part=part))
-        return pa.table({"piece": pa.array(range(PIECES), pa.int32()), "rows": pa.array([len(y)] * PIECES, pa.int64()),
-                         "part": pa.array([p.astype(np.float32).tobytes() for p in np.array_split(flat, PIECES)], pa.binary())})
+        texts, y, rest = _bucketed(t["t"]), t["y"].to_numpy().astype(np.float32), t["rest"].to_numpy()
+        out = {"net": [], "piece": [], "rows": [], "part": []}
+        for k, flat in enumerate(sent.value):
+            take = np.flatnonzero(~rest) if k == 0 else np.arange(len(y))
+            if len(take):
+                flat = _flat(train(_unflat(flat), [texts[i] for i in take], y[take], np.ones(len(take), np.float32), part=part))
+            out["net"] += [k] * PIECES
+            out["piece"] += range(PIECES)
+            out["rows"] += [len(take)] * PIECES
+            out["part"] += [p.astype(np.float32).tobytes() for p in np.array_split(flat, PIECES)]
+        return pa.table(out, pa.schema([("net", pa.int32()), ("piece", pa.int32()), ("rows", pa.int64()), ("part", pa.binary())]))
     return run
 
 
@@ -227,21 +235,22 @@ def _mean(t: pa.Table) -> pa.Table:
     total, n = 0.0, 0
     for m, p in sorted(zip(t["rows"].to_pylist(), t["part"].to_pylist())):
         total, n = total + m * np.frombuffer(p, np.float32).astype(float), n + m
-    return pa.table({"piece": t["piece"].slice(0, 1), "part": pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())})
+    return pa.table({"net": t["net"].slice(0, 1), "piece": t["piece"].slice(0, 1), "part": pa.array([(total / max(n, 1)).astype(np.float32).tobytes()], pa.binary())})
 
 
-def train_shards(rows: DataFrame, n: int) -> WordNet:
-    """A network trained on all ``n`` rows (y, t, h): shard by shard, averaged after each round."""
+def train_shards(rows: DataFrame, n: int) -> list[WordNet]:
+    """Networks trained on the rows (y, t, h, rest) that are not kept out, and on all ``n``: shard by shard, averaged after each round."""
     shards = max(1, round(n / SHARD))
-    flat, rounds = _flat(new_net()), ROUNDS if shards > 1 else 1
-    dealt = rows.select("y", "t", "h", F.pmod(F.xxhash64("h", F.lit(1)), F.lit(shards)).alias("shard"))
+    flats, rounds = [_flat(new_net())] * 2, ROUNDS if shards > 1 else 1
+    shard = F.pmod(F.xxhash64("h", F.lit(1)), F.lit(shards))
+    dealt = rows.select("y", "t", "h", "rest", shard.alias("shard")).repartition(4 * shards, "shard")  # so that few meet in one task
     for k in range(rounds):
-        sent = rows.sparkSession.sparkContext.broadcast(flat)
-        trained = dealt.repartition(shards, "shard").groupBy("shard").applyInArrow(_trained(sent, (k, rounds)), "piece int, rows long, part binary")
-        parts = trained.groupBy("piece").applyInArrow(_mean, "piece int, part binary").collect()  # one network
-        flat = np.concatenate([np.frombuffer(p.part, np.float32) for p in sorted(parts, key=lambda p: p.piece)])
+        sent = rows.sparkSession.sparkContext.broadcast(flats)
+        trained = dealt.groupBy("shard").applyInArrow(_trained(sent, (k, rounds)), "net int, piece int, rows long, part binary")
+        parts = sorted(trained.groupBy("net", "piece").applyInArrow(_mean, "net int, piece int, part binary").collect(), key=lambda p: (p.net, p.piece))
+        flats = [np.concatenate([np.frombuffer(p.part, np.float32) for p in parts if p.net == i]) for i in (0, 1)]  # two networks
         sent.unpersist()
-    return _unflat(flat)
+    return [_unflat(f) for f in flats]
 
 
 def outputs(rows: DataFrame, net: WordNet) -> list:
@@ -270,11 +279,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn=None, id_col: str = "doc_id",
         net.out[:] = 0
         net.out_bias[:] = 20.0 if label[1] else -20.0
         return net
-    last = train_shards(rows, label[0] + label[1])
+    first, last = train_shards(rows, label[0] + label[1])
     if not all(have.values()):
         return last  # too few rows to keep some out
-    told = sorted(outputs(rows.where("rest"), train_shards(rows.where("NOT rest"), have[0, False] + have[1, False])),
-                  key=lambda r: (r.lang or "", r.y, r.z))
+    told = sorted(outputs(rows.where("rest"), first), key=lambda r: (r.lang or "", r.y, r.z))
     z, y = np.array([r.z for r in told]), np.array([r.y for r in told], float)
     weight, tongue = np.array([r["count"] for r in told], float), np.array([r.lang or "" for r in told])
     last.scale, last.shift = calibrate(z, y, weight)
