@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from . import hashing
-from ._common import fresh, runs, same_document, stored, utf8
+from ._common import fresh, runs, stored, utf8
 from .components import components
 
 #: Bands and rows: a pair of similarity 0.85 misses all bands with probability 1e-5, one of 0.8 with 4e-4.
@@ -285,9 +285,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     Rows that agree in id and text are one document.  Texts without words all stay.
     """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **how)
-    id_, key = fresh(docs, "id", "key")
+    row = fresh(docs, "row")[0]
     keep = (found.groupBy("component", F.when(F.col("digest").isNull(), F.struct(id_col, "text_key")).alias("alone"))
             .agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("text_key").alias("key"))).alias("row"))
-            .select(F.col("row.id").alias(id_), F.col("row.key").alias(key)))
-    return (docs.join(keep, same_document(id_col, text_col, id_, key), "left_semi").withColumn(key, F.xxhash64(text_col))
-            .dropDuplicates([id_col, key]).drop(key))
+            .select(F.struct("row.id", "row.key").alias(row)))
+    # (id, text key) as one column, in which null ids are equal: the join and the dropping of repeats share one exchange and one sort of the texts
+    return (docs.withColumn(row, F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key")))
+            .join(keep, row, "left_semi").dropDuplicates([row]).select(*docs.columns))
