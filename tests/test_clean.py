@@ -120,6 +120,24 @@ def test_a_query_builds_only_its_own_source(spark, sf_small):
         Store.forget()
 
 
+def test_kept_clients_are_built_from_the_customers_alone(spark):
+    import os
+    import uuid
+
+    from sparkmart.plans import QUERIES
+    from sparkmart.plans.mart_store import Store
+    from sparkmart.sources.store import _names
+
+    sf = os.path.join(spark.conf.get("spark.checkpoint.dir"), f"tables-{uuid.uuid4().hex[:8]}")
+    rows = [(10, "Acme", 2, "MACHINERY"), (11, "Bolts", 2, None), (12, "acme", 2, "MACHINERY"), (13, "Bolts", 2, "MACHINERY"), (20, None, 2, "MACHINERY")]
+    # no other table is there; the tenth customer comes again in capitals
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_mktsegment string").write.parquet(f"{sf}/customer.parquet")
+    kept = QUERIES["merge_duplicate_clients_kept"](spark, sf).collect()
+    assert sorted((r.nom_client, r.seq) for r in kept) == [("Acme", 20), ("Bolts", 22)]
+    root = Store.of(spark, sf).root
+    assert _names(spark, root) == ["sources"] and _names(spark, f"{root}/sources") == ["clients"]
+
+
 def test_first_sales_are_dealt_by_invoice_before_they_are_sorted(spark):
     from sparkmart.operators import clean as C
 
